@@ -17,22 +17,35 @@ def stream_prepare(pairs: DataFrame, family: str, eos: str | None = None) -> Dat
     return keep_text(training_text(pairs, family, eos))
 
 
-def stream_assemble(chunks: DataFrame) -> DataFrame:
-    """Chunks of each reply to its full text, emitted when the last missing chunk has come, in any order."""
+def _time_mode(ttl_ms: int | None) -> str:
+    return "None" if ttl_ms is None else "ProcessingTime"
+
+
+def stream_assemble(chunks: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+    """Chunks of each reply to its full text, emitted when the last missing chunk has come, in any order.
+
+    `ttl_ms` drops replies that get no further chunk for so long. It needs the processing time, with which an
+    availableNow run never ends, so it is for streams that stay up.
+    """
     return (
         chunks.select("rid", "seq", "chunk", "is_last")
         .groupBy("rid")
-        .transformWithStateInPandas(AssembleReplies(), "rid string, response string", "Append", "ProcessingTime")
+        .transformWithStateInPandas(
+            AssembleReplies(ttl_ms), "rid string, response string", "Append", _time_mode(ttl_ms)
+        )
     )
 
 
-def stream_tags(chunks: DataFrame) -> DataFrame:
+def stream_tags(chunks: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """Chunks of each reply to pieces (rid, piece_no, section, text); how it was cut makes no difference."""
     return (
         chunks.select("rid", "seq", "chunk", "is_last")
         .groupBy("rid")
         .transformWithStateInPandas(
-            TagSections(), "rid string, piece_no bigint, section string, text string", "Append", "ProcessingTime"
+            TagSections(ttl_ms),
+            "rid string, piece_no bigint, section string, text string",
+            "Append",
+            _time_mode(ttl_ms),
         )
     )
 

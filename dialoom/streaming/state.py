@@ -12,15 +12,16 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-TTL_MS = 24 * 3600 * 1000
-
 
 class AssembleReplies(StatefulProcessor):
     """Collects the chunks of a reply by number and emits the text once all up to the last are there."""
 
+    def __init__(self, ttl_ms: int | None = None) -> None:
+        self.ttl_ms = ttl_ms
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.waiting = handle.getMapState("waiting", "seq bigint", "chunk string", TTL_MS)
-        self.last = handle.getValueState("last", "seq bigint", TTL_MS)
+        self.waiting = handle.getMapState("waiting", "seq bigint", "chunk string", self.ttl_ms)
+        self.last = handle.getValueState("last", "seq bigint", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         new: dict[int, str] = {}
@@ -90,11 +91,14 @@ def read_sections(section: str, buffer: str, final: bool) -> tuple[list[tuple[st
 class TagSections(StatefulProcessor):
     """Cuts replies into tagged sections chunk by chunk; early chunks wait for their turn."""
 
+    def __init__(self, ttl_ms: int | None = None) -> None:
+        self.ttl_ms = ttl_ms
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.place = handle.getValueState(
-            "place", "section string, buffer string, next_seq bigint, piece_no bigint, last_seq bigint", TTL_MS
+            "place", "section string, buffer string, next_seq bigint, piece_no bigint, last_seq bigint", self.ttl_ms
         )
-        self.early = handle.getMapState("early", "seq bigint", "chunk string", TTL_MS)
+        self.early = handle.getMapState("early", "seq bigint", "chunk string", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         stored = self.place.get()
