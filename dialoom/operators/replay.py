@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialoom.functions.chatlog import (
@@ -28,64 +28,115 @@ def parse_log(log: DataFrame) -> DataFrame:
     )
 
 
-def _is(kind: str):
-    return F.when(F.col("kind") == kind, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+STATE = (
+    "user_id bigint, conversation bigint, messages bigint, system_message string, temperature double, ended boolean"
+)
 
 
-def replayed(parsed: DataFrame, *extra: Running) -> DataFrame:
-    """Rows of the session up to its first exit, with `conversation`, counted up by each /new, and `extra`."""
-    exits = Running("_exits", "sum", _is("exit"))
-    news = Running("conversation", "sum", _is("new"))
-    running = with_running(parsed, ["user_id"], time_block(parsed), ORDER, [exits, news, *extra])
-    live = (F.col("_exits") == 0) | ((F.col("_exits") == 1) & (F.col("kind") == "exit"))
-    return running.where(live).drop("_exits")
+def resume(parsed: DataFrame, state: DataFrame) -> DataFrame:
+    """Parsed rows with a `start` row in front of each session that carries what an earlier part left in force.
 
+    As a row the carried state goes through the same running values as the log: it needs no join on the
+    session, and a session without new rows keeps its state.
+    """
+    carried = state.select(
+        "user_id",
+        F.lit(-1).cast("bigint").alias("event_id"),
+        F.lit("0001-01-02 00:00:00").cast(parsed.schema["ts"].dataType).alias("ts"),
+        F.lit(None).cast("string").alias("line"),
+        F.lit("start").alias("kind"),
+        F.lit(None).cast("string").alias("argument"),
+        F.struct("conversation", "messages", "system_message", "temperature", "ended").alias("start"),
+    )
+    empty = F.lit(None).cast(carried.schema["start"].dataType)
+    return parsed.withColumn("start", empty).select(carried.columns).unionByName(carried)
+
+
+def _on(rows: DataFrame, kind: str, value: Column, carried: Column) -> Column:
+    """`value` on rows of a kind, `carried` on start rows, null elsewhere."""
+    case = F.when(F.col("kind") == kind, value)
+    return case.when(F.col("kind") == "start", carried) if "start" in rows.columns else case
 
-def segment_log(parsed: DataFrame) -> DataFrame:
-    """Conversation number of each row; rows after the first exit are gone."""
-    return replayed(parsed).select("user_id", "event_id", "ts", "kind", "conversation")
 
+def _one() -> Column:
+    return F.lit(1).cast("bigint")
 
-def _system() -> Running:
-    return Running("_system", "last", F.when(F.col("kind") == "system", F.col("argument")))
 
+def _system(rows: DataFrame) -> Running:
+    return Running("_system", "last", _on(rows, "system", F.col("argument"), F.col("start.system_message")))
 
-def _temperature() -> Running:
-    return Running("_temperature", "last", F.when(F.col("kind") == "temp", parse_temperature(F.col("argument"))))
+
+def _temperature(rows: DataFrame) -> Running:
+    number = parse_temperature(F.col("argument"))
+    return Running("_temperature", "last", _on(rows, "temp", number, F.col("start.temperature")))
+
+
+def replayed(rows: DataFrame, *extra: Running) -> DataFrame:
+    """Rows of the session up to its first exit, with `conversation`, counted up by each /new, and `extra`."""
+    exits = Running("_exits", "sum", _on(rows, "exit", _one(), F.col("start.ended").cast("bigint")))
+    news = Running("conversation", "sum", _on(rows, "new", _one(), F.col("start.conversation")))
+    running = with_running(rows, ["user_id"], time_block(rows), ORDER, [exits, news, *extra])
+    return running.where((F.col("_exits") == 0) | ((F.col("_exits") == 1) & F.col("kind").isin("exit", "start")))
+
+
+def segment_log(parsed: DataFrame) -> DataFrame:
+    """Conversation number of each row; rows after the first exit are gone."""
+    return replayed(parsed).select("user_id", "event_id", "ts", "kind", "conversation")
 
 
 def setting_as_of(parsed: DataFrame, kind: str, default=None) -> DataFrame:
     """The value of a setting in force at each message; it outlives /new."""
     if kind == "system":
-        extra, default = _system(), DEFAULT_SYSTEM_MESSAGE if default is None else default
+        extra, name, fallback = _system(parsed), "system_message", DEFAULT_SYSTEM_MESSAGE
     elif kind == "temperature":
-        extra, default = _temperature(), DEFAULT_TEMPERATURE if default is None else default
+        extra, name, fallback = _temperature(parsed), "temperature", DEFAULT_TEMPERATURE
     else:
         raise ValueError(f"unknown setting: {kind}")
-    name = "system_message" if kind == "system" else kind
-    return (
-        replayed(parsed, extra)
-        .where(F.col("kind") == "message")
-        .select("user_id", "event_id", "conversation", F.coalesce(extra.name, F.lit(default)).alias(name))
-    )
+    value = F.coalesce(extra.name, F.lit(fallback if default is None else default))
+    messages = replayed(parsed, extra).where(F.col("kind") == "message")
+    return messages.select("user_id", "event_id", "conversation", value.alias(name))
 
 
-def replay(parsed: DataFrame) -> DataFrame:
-    """Every message with its conversation, its number in it and the settings in force."""
-    settled = replayed(parsed, _system(), _temperature()).where(F.col("kind") == "message")
-    numbered = with_running(
-        settled,
-        ["user_id", "conversation"],
-        time_block(settled),
-        ORDER,
-        [Running("message_no", "sum", F.lit(1).cast("bigint"))],
-    )
-    return numbered.select(
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Adds `messages`, the number of messages of the conversation so far."""
+    count = Running("messages", "sum", _on(rows, "message", _one(), F.col("start.messages")))
+    return with_running(rows, ["user_id", "conversation"], time_block(rows), ORDER, [count])
+
+
+def messages_of(replayed_rows: DataFrame) -> DataFrame:
+    """The messages with the settings in force."""
+    return replayed_rows.where(F.col("kind") == "message").select(
         "user_id",
         "conversation",
-        (F.col("message_no") - 1).alias("message_no"),
+        (F.col("messages") - 1).alias("message_no"),
         "event_id",
         F.col("line").alias("text"),
         F.coalesce("_system", F.lit(DEFAULT_SYSTEM_MESSAGE)).alias("system_message"),
         F.coalesce("_temperature", F.lit(DEFAULT_TEMPERATURE)).alias("temperature"),
     )
+
+
+def replay(parsed: DataFrame) -> DataFrame:
+    """Every message with its conversation, its number in it and the settings in force."""
+    settled = replayed(parsed, _system(parsed), _temperature(parsed))
+    return messages_of(_numbered(settled.where(F.col("kind") == "message")))
+
+
+def continue_replay(parsed: DataFrame, state: DataFrame) -> DataFrame:
+    """A later part of the log replayed on top of the state before it, for `messages_of` and `state_of`."""
+    rows = resume(parsed, state)
+    return _numbered(replayed(rows, _system(rows), _temperature(rows)))
+
+
+def state_of(replayed_rows: DataFrame) -> DataFrame:
+    """The state of each session after its last row."""
+    last = F.max_by(F.struct("conversation", "messages", "_system", "_temperature"), F.struct(*ORDER))
+    sessions = replayed_rows.groupBy("user_id").agg(last.alias("l"), (F.max("_exits") > 0).alias("ended"))
+    return sessions.select(
+        "user_id",
+        "l.conversation",
+        "l.messages",
+        F.col("l._system").alias("system_message"),
+        F.col("l._temperature").alias("temperature"),
+        "ended",
+    )

@@ -579,8 +579,10 @@ def stream_tags(spark, sf_dir):
 @query
 def stream_replay(spark, sf_dir):
     sibling = streaming_session(spark)
-    events = _table_stream(sibling, sf_dir, "events")
-    return spark.read.parquet(_run(sibling, streams.stream_replay(inputs.chatlog(events)), "replay"))
+    log = inputs.chatlog(_table_stream(sibling, sf_dir, "events"))
+    folder = work_path(spark, "replay")
+    streams.stream_replay(log, folder, f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/messages").drop("batch")
 
 
 @query

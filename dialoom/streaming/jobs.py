@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from dialoom.functions.chatlog import DEFAULT_SYSTEM_MESSAGE, DEFAULT_TEMPERATURE, parse_temperature
 from dialoom.operators.prepare import keep_text, training_text
-from dialoom.operators.replay import parse_log
+from dialoom.operators.replay import STATE, continue_replay, messages_of, parse_log, state_of
 from dialoom.operators.scoring import exact_match_mean, score
-from dialoom.streaming.state import AssembleReplies, ReplaySession, TagSections
+from dialoom.streaming.state import AssembleReplies, TagSections
 
 
 def stream_prepare(pairs: DataFrame, family: str, eos: str | None = None) -> DataFrame:
@@ -50,33 +48,31 @@ def stream_tags(chunks: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     )
 
 
-def stream_replay(log: DataFrame) -> DataFrame:
-    """Each message of a live log with its conversation, number and the settings in force.
+def stream_replay(log: DataFrame, folder: str, checkpoint: str) -> None:
+    """Live replay: each micro-batch's messages go to `<folder>/messages`, the sessions' state to `<folder>/state`.
 
-    Rows of a session must not arrive before rows of an earlier micro-batch that follow them in the log.
-    Parsing happens before the shuffle, on the JVM.
+    A session's rows must follow the rows of earlier micro-batches. Keyed state would bring all rows of a
+    session in a micro-batch to one task; here the batch operators cut a long session into blocks, and only
+    one state row for each session passes from batch to batch. Both writes are named after the batch, so a
+    repeated batch replaces its own files.
     """
-    parsed = parse_log(log)
-    rows = parsed.select(
-        "user_id",
-        "event_id",
-        "ts",
-        "kind",
-        "line",
-        "argument",
-        F.when(F.col("kind") == "temp", parse_temperature(F.col("argument"))).alias("number"),
-    )
-    return (
-        rows.where(~F.col("kind").isin("blank", "help", "clear"))
-        .groupBy("user_id")
-        .transformWithStateInPandas(
-            ReplaySession(DEFAULT_SYSTEM_MESSAGE, DEFAULT_TEMPERATURE),
-            "user_id bigint, conversation bigint, message_no bigint, event_id bigint, text string, "
-            "system_message string, temperature double",
-            "Append",
-            "None",
-        )
+    spark = log.sparkSession
+
+    def advance(batch: DataFrame, batch_id: int) -> None:
+        previous = f"{folder}/state/batch={batch_id - 1}"
+        state = spark.createDataFrame([], STATE) if batch_id == 0 else spark.read.schema(STATE).parquet(previous)
+        rows = continue_replay(parse_log(batch), state).persist()
+        messages_of(rows).write.mode("overwrite").parquet(f"{folder}/messages/batch={batch_id}")
+        state_of(rows).write.mode("overwrite").parquet(f"{folder}/state/batch={batch_id}")
+        rows.unpersist()
+
+    query = (
+        log.writeStream.foreachBatch(advance)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
+    query.awaitTermination()
 
 
 def stream_score(samples: DataFrame) -> DataFrame:

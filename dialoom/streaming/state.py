@@ -144,61 +144,3 @@ class TagSections(StatefulProcessor):
 
     def close(self) -> None:
         pass
-
-
-class ReplaySession(StatefulProcessor):
-    """Live state of a chat session: conversation number, settings and the messages of the conversation.
-
-    Takes parsed rows and emits each message with what is in force. The history is only appended to and
-    cleared here, never read back, so a long conversation does not make its next message slower.
-    """
-
-    def __init__(self, system_message: str, temperature: float) -> None:
-        self.defaults = (0, 0, system_message, temperature, False)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.current = handle.getValueState(
-            "current", "conversation bigint, message_no bigint, system string, temperature double, ended boolean"
-        )
-        self.history = handle.getListState("history", "role string, content string")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        stored = self.current.get()
-        conversation, message_no, system, temperature, ended = stored if stored else self.defaults
-        if ended:
-            return
-        frame = pd.concat(list(rows)).sort_values(["ts", "event_id"])
-        messages: list[tuple[str, str]] = []
-        restarted = False
-        out = []
-        for event_id, kind, line, argument, number in zip(
-            frame["event_id"], frame["kind"], frame["line"], frame["argument"], frame["number"]
-        ):
-            if kind == "exit":
-                ended = True
-                break
-            if kind == "new":
-                conversation, message_no, messages, restarted = conversation + 1, 0, [], True
-            elif kind == "system" and isinstance(argument, str):
-                system = argument
-            elif kind == "temp" and number == number and number is not None:
-                temperature = float(number)
-            elif kind == "message":
-                messages.append(("user", line))
-                out.append((key[0], conversation, message_no, event_id, line, system, temperature))
-                message_no += 1
-        if ended:
-            self.history.clear()
-        elif messages:
-            self.history.put(messages) if restarted else self.history.appendList(messages)
-        elif restarted:
-            self.history.clear()
-        self.current.update((conversation, message_no, system, temperature, ended))
-        if out:
-            yield pd.DataFrame(
-                out,
-                columns=["user_id", "conversation", "message_no", "event_id", "text", "system_message", "temperature"],
-            )
-
-    def close(self) -> None:
-        pass
