@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,9 +62,21 @@ def _any_of(stops: list[str]) -> str:
     return "|".join(rf"\Q{stop}\E" for stop in stops)
 
 
+def _may_overlap(stops: list[str]) -> bool:
+    """True if an occurrence of one stop can share characters with an earlier start of another."""
+    return any(
+        a[i:].startswith(b) or b.startswith(a[i:]) for a in stops for b in stops for i in range(1, len(a)) if a != b
+    )
+
+
 def cut_at_stop(response: Column, stops: list[str] = STOPS) -> Column:
     """Response up to the earliest stop string."""
-    return F.get(F.split(response, _any_of(stops), 2), F.lit(0))
+    if _may_overlap(stops):
+        return F.get(F.split(response, _any_of(stops), 2), F.lit(0))
+    # Stops that cannot overlap may be cut one after the other, each by a plain byte search.
+    for stop in stops:
+        response = F.substring_index(response, stop, 1)
+    return response
 
 
 def stop_hit(response: Column, stops: list[str] = STOPS) -> Column:
@@ -83,11 +97,15 @@ def flexible_answer(response: Column) -> Column:
 
 def normalise_answer(text: Column) -> Column:
     """The ignored patterns removed in order, then lower case."""
-    reasoning, output_tag = IGNORED_PATTERNS[0], IGNORED_PATTERNS[1]
-    without_tags = F.regexp_replace(F.regexp_replace(text, reasoning, ""), output_tag, "")
+    reasoning, output_tag, _, _, _, final_dot = IGNORED_PATTERNS
+    # A plain search decides whether a tag pattern can match at all; most answers are bare numbers.
+    cleared = F.when(F.contains(text, F.lit("</reasoning>")), F.regexp_replace(text, reasoning, "")).otherwise(text)
+    without_tags = F.when(F.contains(cleared, F.lit("output>")), F.regexp_replace(cleared, output_tag, "")).otherwise(
+        cleared
+    )
     # Newlines, commas and dollar signs are single characters, so one translate does their three removals.
     plain = F.translate(without_tags, "\n\r,$", "")
-    return F.lower(F.when(F.endswith(plain, F.lit(".")), F.left(plain, F.length(plain) - 1)).otherwise(plain))
+    return F.lower(F.regexp_replace(plain, "(?d)" + final_dot, ""))
 
 
 def exact_match(prediction: Column, target: Column) -> Column:

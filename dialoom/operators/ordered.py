@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 TURNS_PER_PART = 512
 LOG_BLOCK_SECONDS = 900
+LONG_KEY_ROWS = 1_000_000
 
 
 class Running(NamedTuple):
@@ -40,13 +41,38 @@ def time_block(df: DataFrame, ts: str = "ts", seconds: int = LOG_BLOCK_SECONDS)
     return F.floor(F.unix_seconds(at) / seconds)
 
 
+def long_keys(df: DataFrame, keys: list[str], rows: int = LONG_KEY_ROWS) -> DataFrame:
+    """Keys with more than `rows` rows; there are fewer of them than the table has multiples of `rows`."""
+    return df.groupBy(*keys).count().where(F.col("count") > rows).select(*keys)
+
+
 def with_running(
-    df: DataFrame, keys: list[str], block: Column, order: list[str], values: list[Running]
+    df: DataFrame,
+    keys: list[str],
+    block: Column,
+    order: list[str],
+    values: list[Running],
+    long: DataFrame | None = None,
 ) -> DataFrame:
-    """Running values per key in the given order, each including its own row."""
-    blocked = df.withColumn("_block", block)
+    """Running values per key in the given order, each including its own row.
+
+    With `long`, the result of `long_keys` over some of `keys`, only those keys are cut into blocks: any other
+    key is one block, and the block totals are taken over the long keys alone. `long` is broadcast, as its
+    size is bounded by what it is made of.
+    """
+    cut = df
+    if long is None:
+        blocked = df.withColumn("_block", block)
+    else:
+        marked = F.broadcast(long.withColumn("_long", F.lit(True)))
+        blocked = df.join(marked, long.columns, "left").select(
+            *df.columns, F.when(F.col("_long"), block).otherwise(F.lit(0)).alias("_block")
+        )
+        cut = df.join(F.broadcast(long), long.columns, "left_semi")
+    cut = cut.withColumn("_block", block)
     for i, v in enumerate(values):
         blocked = blocked.withColumn(f"_in{i}", v.value)
+        cut = cut.withColumn(f"_in{i}", v.value)
 
     inside = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -75,7 +101,7 @@ def with_running(
 
     n = range(len(values))
     rows = blocked.select(*df.columns, "_block", *[local[i].alias(f"_run{i}") for i in n])
-    totals = blocked.groupBy(*keys, "_block").agg(*[total[i].alias(f"_all{i}") for i in n])
+    totals = cut.groupBy(*keys, "_block").agg(*[total[i].alias(f"_all{i}") for i in n])
     starts = totals.select(*keys, "_block", *[start[i].alias(f"_at{i}") for i in n])
     return rows.join(starts, [*keys, "_block"], "left").select(
         *df.columns, *[combined[i].alias(values[i].name) for i in n]

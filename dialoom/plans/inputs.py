@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dialoom.families import FAMILY_NAMES
 from dialoom.operators.turns import render_conversations, turn_pairs
+from dialoom.session import spread
 
 CHUNK_CHARS = 40
 STOP_DECOY = "Question: 99"
@@ -24,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys of the orders, dealt out over the cores for the answer patterns that are run on them."""
+    return spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
+
+
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations")
 

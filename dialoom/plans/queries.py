@@ -70,7 +70,7 @@ def versioned_name(spark, sf_dir):
 
 @query
 def samples_roundtrip(spark, sf_dir):
-    folder = files.write_samples(inputs.samples(inputs.table(spark, sf_dir, "orders")), work_path(spark, "samples"))
+    folder = files.write_samples(inputs.samples(inputs.orders(spark, sf_dir)), work_path(spark, "samples"))
     return files.read_samples(spark, folder).where((F.col("variant") == "fine_tune") & (F.col("model") == "m1"))
 
 
@@ -166,7 +166,7 @@ def render_per_config(spark, sf_dir):
 
 @query
 def pair_runs(spark, sf_dir):
-    return scoring.pair_runs(inputs.samples(inputs.table(spark, sf_dir, "orders")))
+    return scoring.pair_runs(inputs.samples(inputs.orders(spark, sf_dir)))
 
 
 @query
@@ -192,7 +192,7 @@ def sample_count(spark, sf_dir):
 
 
 def _scored(spark, sf_dir):
-    return scoring.score(inputs.samples(inputs.table(spark, sf_dir, "orders")))
+    return scoring.score(inputs.samples(inputs.orders(spark, sf_dir)))
 
 
 @query
@@ -207,12 +207,12 @@ def compare_runs(spark, sf_dir):
 
 @query
 def flip_counts(spark, sf_dir):
-    return scoring.flip_counts(scoring.pair_runs(inputs.samples(inputs.table(spark, sf_dir, "orders"))))
+    return scoring.flip_counts(scoring.pair_runs(inputs.samples(inputs.orders(spark, sf_dir))))
 
 
 @query
 def take_first(spark, sf_dir):
-    samples = inputs.samples(inputs.table(spark, sf_dir, "orders"))
+    samples = inputs.samples(inputs.orders(spark, sf_dir))
     return scoring.take_first(samples, ["model", "variant", "task", "doc_id"])
 
 
@@ -366,7 +366,7 @@ def replace_system(spark, sf_dir):
 
 @query
 def union_runs(spark, sf_dir):
-    samples = inputs.samples(inputs.table(spark, sf_dir, "orders"))
+    samples = inputs.samples(inputs.orders(spark, sf_dir))
     runs = [
         (model, variant, samples.where((F.col("model") == model) & (F.col("variant") == variant)).drop("model", "variant"))
         for model in ("m0", "m1", "m2")
@@ -430,18 +430,18 @@ def split_tags(spark, sf_dir):
 
 @query
 def eval_prompt(spark, sf_dir):
-    samples = inputs.samples(inputs.table(spark, sf_dir, "orders"))
+    samples = inputs.samples(inputs.orders(spark, sf_dir))
     return samples.select("doc_id", "variant", "repeat_no", ev.eval_prompt(F.col("question")).alias("prompt"))
 
 
 @query
 def eval_target(spark, sf_dir):
-    samples = inputs.samples(inputs.table(spark, sf_dir, "orders"))
+    samples = inputs.samples(inputs.orders(spark, sf_dir))
     return samples.select("doc_id", "variant", "repeat_no", ev.eval_target(F.col("answer")).alias("target"))
 
 
 def _responses(spark, sf_dir):
-    samples = inputs.samples(inputs.table(spark, sf_dir, "orders"))
+    samples = inputs.samples(inputs.orders(spark, sf_dir))
     return samples.select("doc_id", "variant", "repeat_no", "answer", "response")
 
 
@@ -611,7 +611,7 @@ def token_counts(spark, sf_dir):
 
 
 def _generate(spark, sf_dir):
-    samples = inputs.samples(inputs.table(spark, sf_dir, "orders"))
+    samples = inputs.samples(inputs.orders(spark, sf_dir))
     prompts = samples.select("doc_id", "variant", "repeat_no", ev.eval_prompt(F.col("question")).alias("prompt"))
     return generate_responses(prompts, stand_ins.load_adder, {"slip": 5}).drop("prompt")
 
@@ -644,13 +644,13 @@ def dataset_metrics(spark, sf_dir):
 
 @query
 def evaluate_runs(spark, sf_dir):
-    items = inputs.samples(inputs.table(spark, sf_dir, "orders"))
+    items = inputs.samples(inputs.orders(spark, sf_dir))
     return jobs.evaluate_runs(items, stand_ins.load_adder, {"slip": 5})
 
 
 @query
 def compare_all(spark, sf_dir):
-    return jobs.compare_all(inputs.samples(inputs.table(spark, sf_dir, "orders")))
+    return jobs.compare_all(inputs.samples(inputs.orders(spark, sf_dir)))
 
 
 @query
