@@ -158,7 +158,7 @@ def extract_response(raw: Column, family: str | Column, clean: bool = False) ->
 def extract_by_pattern(raw: Column, pattern: str | Column) -> Column:
     """Group 1 of a caller's pattern, stripped; null without a match. `$` means what it means in Python."""
     p = F.concat(F.lit("(?sd)"), pattern if isinstance(pattern, Column) else F.lit(pattern))
-    return F.when(F.regexp_like(raw, p), strip(F.regexp_extract(raw, p, 1)))
+    return F.when(F.regexp_like(raw, p), strip(F.call_function("regexp_extract", raw, p, F.lit(1))))
 
 
 # --- tags ------------------------------------------------------------------------------------------------
