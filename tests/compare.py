@@ -28,6 +28,10 @@ def duck(sf_dir: str):
     return con
 
 
+def plan(df, mode: str = "formatted") -> str:
+    return df.sparkSession.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+
+
 def plain(value):
     if isinstance(value, decimal.Decimal):
         return float(value) if value % 1 else int(value)
