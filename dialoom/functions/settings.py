@@ -54,9 +54,8 @@ def default_settings() -> Column:
 
 def merge_config(defaults: Column, overrides: Column) -> Column:
     """Key-wise merge: a key present in `overrides` wins, also with a null value; unknown keys are kept."""
-    return F.map_zip_with(
-        defaults, overrides, lambda k, base, own: F.when(F.map_contains_key(overrides, k), own).otherwise(base)
-    )
+    kept = F.filter(F.map_entries(defaults), lambda entry: ~F.map_contains_key(overrides, entry["key"]))
+    return F.map_from_entries(F.concat(kept, F.map_entries(overrides)))
 
 
 def setting_or(settings: Column, key: str, fallback: Column) -> Column:
