@@ -98,13 +98,8 @@ def flexible_answer(response: Column) -> Column:
 def normalise_answer(text: Column) -> Column:
     """The ignored patterns removed in order, then lower case."""
     reasoning, output_tag, _, _, _, final_dot = IGNORED_PATTERNS
-    # A plain search decides whether a tag pattern can match at all; most answers are bare numbers.
-    cleared = F.when(F.contains(text, F.lit("</reasoning>")), F.regexp_replace(text, reasoning, "")).otherwise(text)
-    without_tags = F.when(F.contains(cleared, F.lit("output>")), F.regexp_replace(cleared, output_tag, "")).otherwise(
-        cleared
-    )
-    # Newlines, commas and dollar signs are single characters, so one translate does their three removals.
-    plain = F.translate(without_tags, "\n\r,$", "")
+    # No tag contains a newline, comma or dollar sign, so one pass removes tags and these characters alike.
+    plain = F.regexp_replace(F.regexp_replace(text, reasoning, ""), output_tag + r"|[\n\r,$]", "")
     return F.lower(F.regexp_replace(plain, "(?d)" + final_dot, ""))
 
 

@@ -111,6 +111,17 @@ def render_chat(messages: Column, family: str | Column, add_generation_prompt: b
     return by_family(family, one)
 
 
+def render_pair(user: Column, assistant: Column, family: str | Column) -> Column:
+    """A user/assistant pair as one text: `render_chat` of `to_chat`, as a plain concatenation."""
+
+    def one(name: str) -> Column:
+        t = TEMPLATES[name]
+        between = F.lit(t.user_close + t.assistant_open)
+        return F.concat(F.lit(t.user_open), user, between, assistant, F.lit(t.assistant_close))
+
+    return by_family(family, one)
+
+
 # --- extraction ------------------------------------------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dialoom.families import FAMILY_NAMES, families_table
 from dialoom.functions.settings import setting_or
-from dialoom.functions.text import append_eos, render_chat, to_chat
+from dialoom.functions.text import append_eos, render_pair, to_chat
 
 
 def with_chat(pairs: DataFrame) -> DataFrame:
@@ -22,7 +22,7 @@ def keep_text(df: DataFrame) -> DataFrame:
 
 def training_text(pairs: DataFrame, family: str | Column, eos: str | None = None) -> DataFrame:
     """Pairs with their templated `text`; `eos` appends an end token."""
-    text = render_chat(to_chat(F.col("user"), F.col("assistant")), family)
+    text = render_pair(F.col("user"), F.col("assistant"), family)
     return pairs.withColumn("text", append_eos(text, eos) if eos else text)
 
 
@@ -62,9 +62,12 @@ def per_config(pairs: DataFrame, configs: list[tuple[str, str]]) -> DataFrame:
 
     The list is part of the plan, so the rows fan out inside the scan stage: no join and no shuffle.
     """
-    chat = to_chat(F.col("user"), F.col("assistant"))
+    user, assistant = F.col("user"), F.col("assistant")
     renderings = F.array(
-        *[F.struct(F.lit(name).alias("config"), render_chat(chat, family).alias("text")) for name, family in configs]
+        *[
+            F.struct(F.lit(name).alias("config"), render_pair(user, assistant, family).alias("text"))
+            for name, family in configs
+        ]
     )
     keys = [c for c in pairs.columns if c not in ("user", "assistant")]
     return pairs.select(*keys, F.inline(renderings))

@@ -533,7 +533,8 @@ def _merged(spark, sf_dir):
 
 @query
 def merge_config(spark, sf_dir):
-    return _merged(spark, sf_dir).select("k", F.explode("settings").alias("setting", "val"))
+    # As entries: exploding the map itself would compute it twice, once to drop empty maps.
+    return _merged(spark, sf_dir).select("k", F.inline(F.map_entries("settings")).alias("setting", "val"))
 
 
 @query

@@ -100,6 +100,17 @@ def test_rendering_turns_equals_rendering_messages(spark):
         assert by_turn == by_list
 
 
+def test_a_pair_is_rendered_like_its_chat(spark):
+    df = spark.createDataFrame([("U", "A", name) for name in FAMILY_NAMES], "u string, a string, f string")
+    user, assistant = F.col("u"), F.col("a")
+    for family in [F.col("f"), *FAMILY_NAMES]:
+        both = df.select(
+            tx.render_pair(user, assistant, family).alias("pair"),
+            tx.render_chat(tx.to_chat(user, assistant), family).alias("chat"),
+        )
+        assert all(row.pair == row.chat for row in both.collect())
+
+
 def read_tags(text):
     """Left-to-right reading of the blocks, for comparison."""
     out = {"preamble": "", "reasoning": None, "output": None, "rest": ""}
