@@ -95,22 +95,34 @@ def compare_runs(scored: DataFrame, flag: str = "flexible_right") -> DataFrame:
     return table.withColumn("difference", F.col(TUNED) - F.col(BASE))
 
 
-def judge_pairs(paired: DataFrame) -> DataFrame:
-    """Paired runs as (model, task, doc_id, base_right, tuned_right) by the flexible filter."""
-    target = normalise_answer(eval_target(F.col("answer")))
+def first_scores(scored: DataFrame, keys: list[str]) -> DataFrame:
+    """Both filters' marks of the first response of each sample.
 
-    def right(response: str) -> Column:
-        return F.coalesce(normalise_answer(flexible_answer(cut_at_stop(F.col(response)))) == target, F.lit(False))
+    Scoring before taking the first marks some repeats in vain, but only marks are shuffled, never texts.
+    """
+    return scored.groupBy(*keys).agg(
+        *[F.min_by(mark, "repeat_no").alias(mark) for mark in ("strict_right", "flexible_right")]
+    )
+
+
+def judge_runs(scored: DataFrame, mark: str = "flexible_right") -> DataFrame:
+    """First base and first tuned mark of each document, as (model, task, doc_id, base_right, tuned_right).
+
+    `pair_runs` without the texts; a missing response is wrong.
+    """
+
+    def first(variant: str) -> Column:
+        return F.coalesce(F.min_by(mark, F.when(F.col("variant") == variant, F.col("repeat_no"))), F.lit(False))
 
-    return paired.select(
-        "model", "task", "doc_id", right("base_response").alias("base_right"), right("tuned_response").alias("tuned_right")
+    return scored.groupBy("model", "task", "doc_id").agg(
+        first(BASE).alias("base_right"), first(TUNED).alias("tuned_right")
     )
 
 
-def flip_counts(paired: DataFrame) -> DataFrame:
+def flip_counts(judged: DataFrame) -> DataFrame:
     """Documents both runs got right, only one of them, or neither."""
     base, tuned = F.col("base_right"), F.col("tuned_right")
-    return judge_pairs(paired).groupBy("model", "task").agg(
+    return judged.groupBy("model", "task").agg(
         F.count_if(base & tuned).alias("both_right"),
         F.count_if(base & ~tuned).alias("only_base"),
         F.count_if(~base & tuned).alias("only_tuned"),

@@ -141,12 +141,14 @@ def fold_system(turns: DataFrame, family: str | Column) -> DataFrame:
     is_system, is_user = F.col("role") == "system", F.col("role") == "user"
     heads = (
         turns.where(is_system | is_user)
-        .groupBy("conv_id")
-        .agg(
-            F.min(F.when(is_system, F.col("turn"))).alias("_system"),
-            F.min(F.when(is_user, F.col("turn"))).alias("_user"),
-            F.min_by("text", F.when(is_system, F.col("turn"))).alias("_text"),
+        .select(
+            "conv_id",
+            F.when(is_system, F.col("turn")).alias("_at"),
+            F.when(is_user, F.col("turn")).alias("_user_at"),
+            F.when(is_system, F.col("text")).alias("_said"),
         )
+        .groupBy("conv_id")
+        .agg(F.min("_at").alias("_system"), F.min("_user_at").alias("_user"), F.min_by("_said", "_at").alias("_text"))
         .where(F.col("_system").isNotNull() & F.col("_user").isNotNull())
     )
     changes = heads.select(

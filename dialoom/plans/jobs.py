@@ -13,7 +13,7 @@ from dialoom.operators.packing import BATCH_SIZE, SEQUENCE_LIMIT, turn_shard
 from dialoom.operators.prepare import keep_text, training_text
 from dialoom.operators.python_functions import generate_responses
 from dialoom.operators.replay import parse_log, replay
-from dialoom.operators.scoring import exact_match_mean, judge_pairs, pair_runs, score
+from dialoom.operators.scoring import exact_match_mean, first_scores, judge_runs, score
 from dialoom.operators.turns import prompt_history, turn_pairs
 from dialoom.sources.files import write_prepared
 
@@ -95,20 +95,17 @@ def evaluate_runs(items: DataFrame, load: Callable[[], Callable], params: dict |
     """Items to prompts, responses by the caller's model, then first response, filters and mean match."""
     keys = ["model", "variant", "task", "doc_id"]
     prompts = items.select(*keys, "repeat_no", "answer", eval_prompt(F.col("question")).alias("prompt"))
-    responses = generate_responses(prompts, load, params)
-    first = responses.groupBy(*keys).agg(
-        F.min_by("response", "repeat_no").alias("response"), F.min_by("answer", "repeat_no").alias("answer")
-    )
-    return exact_match_mean(score(first), ["model", "variant", "task"])
+    scored = score(generate_responses(prompts, load, params))
+    return exact_match_mean(first_scores(scored, keys), ["model", "variant", "task"])
 
 
 def compare_all(samples: DataFrame) -> DataFrame:
     """Base against tuned by model and task: means, difference and flips.
 
-    The samples are shuffled once, to pair the runs; both comparisons are then one small aggregation.
+    The samples' marks are shuffled once, to pair the runs; both comparisons are then one small aggregation.
     """
     base, tuned = F.col("base_right"), F.col("tuned_right")
-    judged = judge_pairs(pair_runs(samples))
+    judged = judge_runs(score(samples))
     table = judged.groupBy("model", "task").agg(
         F.count("*").alias("docs"),
         (F.sum(base.cast("bigint")) / F.count("*")).alias("base"),

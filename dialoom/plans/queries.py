@@ -207,7 +207,7 @@ def compare_runs(spark, sf_dir):
 
 @query
 def flip_counts(spark, sf_dir):
-    return scoring.flip_counts(scoring.pair_runs(inputs.samples(inputs.orders(spark, sf_dir))))
+    return scoring.flip_counts(scoring.judge_runs(_scored(spark, sf_dir)))
 
 
 @query

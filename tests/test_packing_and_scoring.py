@@ -87,7 +87,7 @@ def test_pairs_without_a_counterpart(spark):
     )
     paired = {r.doc_id: (r.base_response, r.tuned_response) for r in sc.pair_runs(samples).collect()}
     assert paired == {1: ("5", None), 2: (None, "<output>7</output>")}
-    flips = sc.flip_counts(sc.pair_runs(samples)).first()
+    flips = sc.flip_counts(sc.judge_runs(sc.score(samples))).first()
     assert (flips.both_right, flips.only_base, flips.only_tuned, flips.neither) == (0, 1, 1, 0)
     stacked = sc.union_runs([("a", "base", samples.drop("model", "variant")), ("b", "base", samples.drop("model", "variant"))])
     assert stacked.count() == 6
