@@ -134,10 +134,19 @@ def prompt_spans(turns: DataFrame, family: str | Column) -> DataFrame:
 def fold_system(turns: DataFrame, family: str | Column) -> DataFrame:
     """First system text moved in front of the first user text, for families without a system turn.
 
-    A conversation without a user turn keeps its system turn. The changes are joined on the table's key.
+    A conversation without a user turn keeps its system turn.
     """
+    return _folded(turns, family).drop("_part")
+
+
+def _folded(turns: DataFrame, family: str | Column, column: str = "text") -> DataFrame:
+    """`fold_system` with the `_part` of each turn, over the text or over its length as `chars`.
+
+    The changes are joined on (conv_id, part), so that what follows on the same keys needs no further shuffle.
+    """
+    parted = turns.withColumn("_part", part_of(F.col("turn")))
     if isinstance(family, str) and TEMPLATES[family].system_open is not None:
-        return turns
+        return parted
     is_system, is_user = F.col("role") == "system", F.col("role") == "user"
     heads = (
         turns.where(is_system | is_user)
@@ -145,60 +154,59 @@ def fold_system(turns: DataFrame, family: str | Column) -> DataFrame:
             "conv_id",
             F.when(is_system, F.col("turn")).alias("_at"),
             F.when(is_user, F.col("turn")).alias("_user_at"),
-            F.when(is_system, F.col("text")).alias("_said"),
+            F.when(is_system, F.col(column)).alias("_said"),
         )
         .groupBy("conv_id")
-        .agg(F.min("_at").alias("_system"), F.min("_user_at").alias("_user"), F.min_by("_said", "_at").alias("_text"))
+        .agg(F.min("_at").alias("_system"), F.min("_user_at").alias("_user"), F.min_by("_said", "_at").alias("_moved"))
         .where(F.col("_system").isNotNull() & F.col("_user").isNotNull())
     )
-    changes = heads.select(
-        "conv_id",
-        F.inline(
-            F.array(
-                F.struct(F.col("_system").alias("turn"), F.lit(None).cast("string").alias("_prefix")),
-                F.struct(F.col("_user").alias("turn"), F.concat("_text", F.lit("\n\n")).alias("_prefix")),
-            )
-        ),
-    ).withColumn("_changed", F.lit(True))
-    joined = turns.join(changes, ["conv_id", "turn"], "left").withColumn(
-        "_changed", F.coalesce("_changed", F.lit(False)) & folds_system(family)
-    )
-    return joined.where(~(F.col("_changed") & F.col("_prefix").isNull())).select(
-        *[
-            F.when(F.col("_changed"), F.concat("_prefix", "text")).otherwise(F.col("text")).alias("text")
-            if c == "text"
-            else F.col(c)
-            for c in turns.columns
-        ]
+    touched = F.array_distinct(F.array(part_of(F.col("_system")), part_of(F.col("_user"))))
+    changes = heads.select("conv_id", F.explode(touched).alias("_part"), "_system", "_user", "_moved")
+    folds = folds_system(family)
+    moved = F.coalesce(folds & (F.col("turn") == F.col("_system")), F.lit(False))
+    led = folds & (F.col("turn") == F.col("_user"))
+    gap = "\n\n"
+    longer = (
+        F.concat("_moved", F.lit(gap), column) if column == "text" else F.col("_moved") + len(gap) + F.col(column)
     )
+    folded = F.when(led, longer).otherwise(F.col(column)).alias(column)
+    joined = parted.join(changes, ["conv_id", "_part"], "left")
+    return joined.where(~moved).select(*[folded if c == column else F.col(c) for c in parted.columns])
 
 
 def render_turns(turns: DataFrame, family: str | Column) -> DataFrame:
     """Adds `rendered`, each turn's share of the conversation text, after folding."""
-    folded = fold_system(turns, family)
-    return folded.withColumn("rendered", render_turn(F.col("role"), F.col("text"), family))
+    return _rendered(turns, family).drop("_part")
 
 
-def render_conversations(turns: DataFrame, family: str | Column, size: int = TURNS_PER_PART) -> DataFrame:
+def _rendered(turns: DataFrame, family: str | Column) -> DataFrame:
+    return _folded(turns, family).withColumn("rendered", render_turn(F.col("role"), F.col("text"), family))
+
+
+def render_conversations(turns: DataFrame, family: str | Column) -> DataFrame:
     """Rendered text as (conv_id, part, text): one row for each part of a conversation."""
     pieces = F.array_sort(F.collect_list(F.struct("turn", "rendered")))
     return (
-        render_turns(turns, family)
-        .groupBy("conv_id", part_of(F.col("turn"), size).alias("part"))
+        _rendered(turns, family)
+        .groupBy("conv_id", F.col("_part").alias("part"))
         .agg(F.array_join(F.transform(pieces, lambda p: p["rendered"]), "").alias("text"))
     )
 
 
 def _positions(turns: DataFrame, family: str | Column) -> DataFrame:
-    """Every rendered turn with its end offset in the conversation and the number of messages so far."""
-    rendered = render_turns(turns, family)
+    """Every turn's `chars` with its end offset in the rendered conversation and the number of messages so far.
+
+    Only lengths are shuffled, no texts.
+    """
+    lengths = turns.select("conv_id", "turn", "role", F.length("text").cast("bigint").alias("chars"))
+    markers = F.length(render_turn(F.col("role"), F.lit(""), family))
     return with_running(
-        rendered,
+        _folded(lengths, family, "chars"),
         ["conv_id"],
-        part_of(F.col("turn")),
+        F.col("_part"),
         ["turn"],
         [
-            Running("end_pos", "sum", F.length("rendered").cast("bigint")),
+            Running("end_pos", "sum", F.col("chars") + markers),
             Running("n_messages", "sum", F.lit(1).cast("bigint")),
         ],
     )
@@ -208,13 +216,8 @@ def response_spans(turns: DataFrame, family: str | Column) -> DataFrame:
     """Character range [start_pos, end_pos) of each assistant answer in the rendered conversation."""
     answers = _positions(turns, family).where(F.col("role") == "assistant")
     closing = by_family(family, lambda name: F.lit(len(TEMPLATES[name].assistant_close)))
-    end = F.col("end_pos") - closing
-    return answers.select(
-        "conv_id",
-        "turn",
-        (end - F.length("text")).cast("bigint").alias("start_pos"),
-        end.cast("bigint").alias("end_pos"),
-    )
+    end = (F.col("end_pos") - closing).cast("bigint")
+    return answers.select("conv_id", "turn", (end - F.col("chars")).alias("start_pos"), end.alias("end_pos"))
 
 
 def assemble(chunks: DataFrame, size: int = TURNS_PER_PART) -> DataFrame:
