@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,22 +29,24 @@ def build_session(app: str = "dialoom", master: str | None = None, **conf: str)
 def work_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables, as named by `spark.checkpoint.dir`.
 
-    Only a local master may go without the setting: then a folder is made once for the session.
+    A session without the setting uses a folder below its warehouse, which every executor can reach too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="dialoom-"))
-    return context.getCheckpointDir().rstrip("/")
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(root)
+    return root.rstrip("/")
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A folder below the work root that no other run uses."""
-    return f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A folder below the work root that no other run uses; it goes when the session's JVM ends."""
+    path = f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(jvm_path.getParent())
+    files.deleteOnExit(jvm_path)
+    return path
 
 
 def checkpointed(df):
