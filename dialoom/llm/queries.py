@@ -4,15 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+
+from dialoom.llm.byte_bpe import encode_texts, read_ranks, round_trip_digests
 from dialoom.llm.common import table
 from dialoom.llm.exact_dedup import find_copies
+from dialoom.llm.quality import score_quality
+from dialoom.llm.token_counts import count_tokens
+
+RANKS, BYTE_BPE, WORD_BPE = map(
+    public_tokenizers.path, ("byte_bpe_50k.tiktoken", "byte_bpe_50k.json", "word_bpe_49k.json")
+)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_copies(table(spark, sf_dir, "documents")).marks
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup,)}
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = read_ranks(RANKS), public_tokenizers.PATTERN
+    return round_trip_digests(encode_texts(table(spark, sf_dir, "documents"), ranks, pattern), ranks, pattern)
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_byte_bpe, op7_quality_classifier, op10_token_counts)}
 
 ORACLE = {
     "op2_exact_dedup": """
