@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive rows of `batch` with at most `limit` bytes of text together, or one row of any length."""
-    lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch[column]), 0), dtype=np.int64)
+    lengths = np.asarray(pc.fill_null(pc.binary_length(batch[column]), 0), dtype=np.int64)
     ends = np.cumsum(lengths)
     start = 0
     while start < len(lengths):
@@ -58,9 +59,16 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) ->
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the offsets of its rows in them; nulls are empty."""
     kind = pa.large_string() if pa.types.is_large_string(column.type) else pa.string()
-    column = pa.concat_arrays([pa.compute.fill_null(column.cast(kind), "")])  # starts at offset 0
+    column = pa.concat_arrays([pc.fill_null(column.cast(kind), "")])  # starts at offset 0
     width = np.int64 if kind == pa.large_string() else np.int32
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, width)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def only_rows(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """Rows of `df` whose `key` is in the one column of `keys`, one row for each key, all columns as they were."""
+    (name,) = free_names(df, "_key")
+    keys = keys.toDF(name)
+    return df.withColumn(name, key).join(keys, name, "left_semi").dropDuplicates([name]).select(*df.columns)

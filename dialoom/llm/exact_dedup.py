@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import ascii_lower, free_names, written
+from dialoom.llm.common import ascii_lower, free_names, only_rows, written
 
 COUNTERS = 256
 
@@ -79,9 +79,9 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows of frequent texts that do not win go before any text is shuffled.
     """
     marks, winners = find_copies(docs, id_col, text_col, counters)
-    own, won, keep, key = free_names(docs, "_own", "_won", "_keep", "_key")
+    own, won, keep = free_names(docs, "_own", "_won", "_keep")
 
-    def full_key(digest: Column, doc_id: Column) -> Column:
+    def key(digest: Column, doc_id: Column) -> Column:
         return F.concat_ws(":", digest, doc_id.cast("string"))
 
     best = winners.select(F.col("text_sha256").alias(won), F.col("keep_id").alias(keep))
@@ -89,7 +89,6 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         docs.withColumn(own, text_digest(F.col(text_col)))
         .join(F.broadcast(best), F.col(own) == F.col(won), "left")
         .where(F.col(won).isNull() | F.col(id_col).eqNullSafe(F.col(keep)))
-        .withColumn(key, full_key(F.col(own), F.col(id_col)))
     )
-    stay = marks.where("kept").select(full_key(F.col("text_sha256"), F.col("doc_id")).alias(key))
-    return left.join(stay, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
+    stay = marks.where("kept").select(key(F.col("text_sha256"), F.col("doc_id")))
+    return only_rows(left, key(F.col(own), F.col(id_col)), stay).select(*docs.columns)

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from itertools import chain
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ def count_tokens(
                 split = [pieces_of(text or "") for text in part["text"].to_pylist()]
                 length = encoder.results(chain.from_iterable(split)).__getitem__
                 n_tokens = pa.array([sum(map(length, pieces)) for pieces in split], pa.int64())
-                n_bytes = pa.compute.fill_null(pa.compute.binary_length(part["text"]), 0).cast(pa.int64())
+                n_bytes = pc.fill_null(pc.binary_length(part["text"]), 0).cast(pa.int64())
                 yield pa.RecordBatch.from_arrays([part["doc_id"], n_bytes, n_tokens], ["doc_id", "n_bytes", "n_tokens"])
 
     kind = docs.schema[id_col].dataType.simpleString()
