@@ -200,8 +200,9 @@ def decode_ids(encoded: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, bytes binary")
 
 
-def round_trip_digests(encoded: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (of the decimal ids with spaces between) and decoded_sha256 of `encoded`."""
+def round_trip_digests(encoded: DataFrame, ranks: bytes, pattern: str, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (of the decimal ids with spaces between) and decoded_sha256 of `encoded`
+    (doc_id, ids), and the ids themselves if asked for. Null ids are none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks, pattern)
@@ -209,16 +210,16 @@ def round_trip_digests(encoded: DataFrame, ranks: bytes, pattern: str) -> DataFr
             for i in range(0, len(batch), 64):
                 part = batch.slice(i, 64)
                 rows = [ids or [] for ids in part["ids"].to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part["doc_id"],
-                        pa.array([len(ids) for ids in rows], pa.int64()),
-                        pa.array([hashlib.sha256(own.ids_text(ids).encode()).hexdigest() for ids in rows]),
-                        pa.array([hashlib.sha256(own.decode(ids)).hexdigest() for ids in rows]),
-                    ],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+                columns = {
+                    "doc_id": part["doc_id"],
+                    "n_tokens": pa.array([len(ids) for ids in rows], pa.int64()),
+                    "ids_sha256": pa.array([hashlib.sha256(own.ids_text(ids).encode()).hexdigest() for ids in rows]),
+                    "decoded_sha256": pa.array([hashlib.sha256(own.decode(ids)).hexdigest() for ids in rows]),
+                }
+                if with_ids:
+                    columns["ids"] = part["ids"]
+                yield pa.RecordBatch.from_pydict(columns)
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return encoded.select("doc_id", "ids").mapInArrow(run, schema)
+    return encoded.select("doc_id", "ids").mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))

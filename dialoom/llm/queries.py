@@ -9,6 +9,7 @@ import public_tokenizers
 from dialoom.llm.byte_bpe import encode_texts, read_ranks, round_trip_digests
 from dialoom.llm.common import table
 from dialoom.llm.exact_dedup import find_copies
+from dialoom.llm.mixing import mix
 from dialoom.llm.ngram_join import jaccard_components
 from dialoom.llm.quality import score_quality
 from dialoom.llm.token_counts import count_tokens
@@ -27,6 +28,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(encode_texts(table(spark, sf_dir, "documents"), ranks, pattern), ranks, pattern)
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -39,7 +44,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_byte_bpe, op7_quality_classifier, op9_ngram_jaccard_join, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_byte_bpe, op5_mixing, op7_quality_classifier, op9_ngram_jaccard_join, op10_token_counts)}
 
 ORACLE = {
     "op2_exact_dedup": """
