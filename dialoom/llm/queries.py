@@ -9,10 +9,12 @@ import public_tokenizers
 from dialoom.llm.byte_bpe import encode_texts, read_ranks, round_trip_digests
 from dialoom.llm.common import table
 from dialoom.llm.exact_dedup import find_copies
+from dialoom.llm.id_shards import read_documents, write_ids
 from dialoom.llm.mixing import mix
 from dialoom.llm.ngram_join import jaccard_components
 from dialoom.llm.quality import score_quality
 from dialoom.llm.token_counts import count_tokens
+from dialoom.session import work_path
 
 RANKS, BYTE_BPE, WORD_BPE = map(
     public_tokenizers.path, ("byte_bpe_50k.tiktoken", "byte_bpe_50k.json", "word_bpe_49k.json")
@@ -28,6 +30,12 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(encode_texts(table(spark, sf_dir, "documents"), ranks, pattern), ranks, pattern)
 
 
+def op4_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "ids")
+    write_ids(table(spark, sf_dir, "documents"), path, WORD_BPE)
+    return read_documents(spark, path)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -44,7 +52,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_byte_bpe, op5_mixing, op7_quality_classifier, op9_ngram_jaccard_join, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_byte_bpe, op4_token_id_output, op5_mixing, op7_quality_classifier, op9_ngram_jaccard_join, op10_token_counts)}
 
 ORACLE = {
     "op2_exact_dedup": """
