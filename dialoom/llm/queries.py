@@ -10,6 +10,8 @@ from dialoom.llm.byte_bpe import encode_texts, read_ranks, round_trip_digests
 from dialoom.llm.common import table
 from dialoom.llm.exact_dedup import find_copies
 from dialoom.llm.id_shards import read_documents, write_ids
+from dialoom.llm.license_scan import oracle as license_oracle
+from dialoom.llm.license_scan import scan_licenses
 from dialoom.llm.mixing import mix
 from dialoom.llm.ngram_join import jaccard_components
 from dialoom.llm.quality import score_quality
@@ -40,6 +42,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,7 +58,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_byte_bpe, op4_token_id_output, op5_mixing, op7_quality_classifier, op9_ngram_jaccard_join, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_byte_bpe, op4_token_id_output, op5_mixing, op6_license_scan, op7_quality_classifier, op9_ngram_jaccard_join, op10_token_counts)}
 
 ORACLE = {
     "op2_exact_dedup": """
@@ -64,4 +70,5 @@ ORACLE = {
           doc_id = max(doc_id) over w as kept, text_sha256
         from d window w as (partition by text_sha256)
     """,
+    "op6_license_scan": license_oracle(),
 }
