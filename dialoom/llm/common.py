@@ -67,6 +67,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def row_keys(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of a whole row; rows that repeat have the same."""
+    every = [F.col(f"`{c}`") for c in df.columns]
+    return [F.xxhash64(*every), F.xxhash64(F.lit("salt"), *every)]
+
+
 def only_rows(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
     """Rows of `df` whose `key` is in the one column of `keys`, one row for each key, all columns as they were."""
     (name,) = free_names(df, "_key")

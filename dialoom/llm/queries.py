@@ -14,6 +14,7 @@ from dialoom.llm.license_scan import oracle as license_oracle
 from dialoom.llm.license_scan import scan_licenses
 from dialoom.llm.mixing import mix
 from dialoom.llm.ngram_join import jaccard_components
+from dialoom.llm.privacy import find_private
 from dialoom.llm.quality import score_quality
 from dialoom.llm.token_counts import count_tokens
 from dialoom.session import work_path
@@ -50,6 +51,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_private(table(spark, sf_dir, "documents"))
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -58,7 +63,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_byte_bpe, op4_token_id_output, op5_mixing, op6_license_scan, op7_quality_classifier, op9_ngram_jaccard_join, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_byte_bpe, op4_token_id_output, op5_mixing, op6_license_scan, op7_quality_classifier, op8_pii, op9_ngram_jaccard_join, op10_token_counts)}
 
 ORACLE = {
     "op2_exact_dedup": """
