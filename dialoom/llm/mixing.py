@@ -31,7 +31,7 @@ WEIGHTS = (5, 2, 1)
 SHARE, LIMIT = 1.5, 2
 BLOCK_WORDS = 256
 SHARD_SLOTS = 4096
-LOT_ROWS = 65_536
+LOT_ROWS = 4096
 MOST_SOURCES = 100_000  # a mixture has a weight for each source, so their number is that of a setting
 SEED = 20
 
@@ -150,7 +150,7 @@ def _placed(sizes: DataFrame, block: int, rows: int) -> DataFrame:
     """Parts (row, number, block, lo, hi) of documents in the blocks of their source; lo and hi count from the
     start of the block, `at` from the start of the document.
 
-    A source is dealt out by ids to lots of some 65,536 rows; the words before a document are those of earlier
+    A source is dealt out by ids to lots of some 4,096 rows; the words before a document are those of earlier
     lots and those before it in its lot.
     """
     lots = math.ceil(rows / LOT_ROWS)
@@ -218,7 +218,8 @@ def _slots(spark, sources: list[Source], shard_slots: int) -> DataFrame:
 
     earlier = Window.partitionBy("number").orderBy("shard")
     before = drawn.withColumn("before", F.sum("drawn").over(earlier) - F.col("drawn"))
-    return before.mapInPandas(fill, "shard long, place long, number int, block long, turn long, take long")
+    slots = before.mapInPandas(fill, "shard long, place long, number int, block long, turn long, take long")
+    return written(slots, "slots")  # many more rows than the plan can know, which would broadcast them
 
 
 @dataclass(frozen=True)
