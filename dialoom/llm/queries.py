@@ -12,6 +12,7 @@ from dialoom.llm.exact_dedup import find_copies
 from dialoom.llm.id_shards import read_documents, write_ids
 from dialoom.llm.license_scan import oracle as license_oracle
 from dialoom.llm.license_scan import scan_licenses
+from dialoom.llm.metric_search import top_k
 from dialoom.llm.mixing import mix
 from dialoom.llm.ngram_join import jaccard_components
 from dialoom.llm.privacy import find_private
@@ -24,6 +25,11 @@ RANKS, BYTE_BPE, WORD_BPE = map(
 )
 
 
+def op1_metric_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_copies(table(spark, sf_dir, "documents")).marks
 
@@ -63,9 +69,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_byte_bpe, op4_token_id_output, op5_mixing, op6_license_scan, op7_quality_classifier, op8_pii, op9_ngram_jaccard_join, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_metric_search, op2_exact_dedup, op3_byte_bpe, op4_token_id_output, op5_mixing, op6_license_scan, op7_quality_classifier, op8_pii, op9_ngram_jaccard_join, op10_token_counts)}
 
 ORACLE = {
+    "op1_metric_search": """
+        with v as (
+          select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as x
+          from embeddings
+          where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        s as (
+          select q.vec_id as query_id, v.vec_id, cast(list_inner_product(q.x, v.x) as bigint) as score
+          from v as q join v on q.vec_id % 50 = 0 and q.vec_id <> v.vec_id)
+        select query_id, cast(row_number() over w as integer) as rank, vec_id, score
+        from s window w as (partition by query_id order by score desc, vec_id)
+        qualify row_number() over w <= 5
+    """,
     "op2_exact_dedup": """
         with d as (
           select doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))
