@@ -15,15 +15,18 @@ Everything is a function of ids, sizes and the seed: reruns agree.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import free_names, written
+from dialoom.llm.common import free_names, row_keys, text_slices, written
 from dialoom.llm.textbytes import mixed
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -299,7 +302,7 @@ def mixed_documents(
     """
     key, salted, passing = free_names(docs, "_key", "_salted", "_pass")
     every = [F.col(f"`{c}`") for c in docs.columns]
-    keys = [F.xxhash64(*every).alias(key), F.xxhash64(F.lit("salt"), *every).alias(salted)]
+    keys = [k.alias(name) for k, name in zip(row_keys(docs), (key, salted), strict=True)]
     mixture = _mixture(docs, keys, id_col, text_col, source_col, weights, block, shard_slots)
     stretches = mixture.takes.groupBy("row", "turn").agg(
         F.sort_array(F.collect_list(F.struct("at", "words"))).alias("stretches"), F.sum("words").alias("words")
@@ -312,30 +315,39 @@ def mixed_documents(
         .agg(F.collect_list(F.struct("row", "turn", "stretches")).alias(passing))
     )
 
-    @F.pandas_udf("string")
-    def cut(text: pd.Series, stretches: pd.Series) -> pd.Series:
-        return pd.Series([_cut(t, s) for t, s in zip(text, stretches, strict=True)], dtype=object)
-
     joined = docs.select("*", *keys).join(passes, [key, salted]).dropDuplicates([key, salted])
-    stretch = F.col(f"{passing}.stretches")
-    taken = F.when(stretch.isNull(), F.col(text_col)).otherwise(cut(F.col(text_col), stretch))
-    out = joined.select(*every, F.explode(passing).alias(passing)).withColumn(text_col, taken)
+    passes_of = joined.select(*every, F.explode(passing).alias(passing)).select(*every, F.col(f"{passing}.stretches"))
+    names = docs.columns
+    at = names.index(text_col)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            named = batch.rename_columns([f"{i}" for i in range(batch.num_columns)])
+            for part in text_slices(named, f"{at}"):
+                columns = part.columns
+                stretches = columns.pop().to_pylist()
+                partly = [i for i, s in enumerate(stretches) if s is not None]
+                texts = columns[at].take(pa.array(partly, pa.int64())).to_pylist()
+                new = dict(zip(partly, (_cut(t, stretches[i]) for i, t in zip(partly, texts, strict=True)), strict=True))
+                mask = pa.array([i in new for i in range(len(part))])
+                replaced = pa.array(list(new.values()), columns[at].type)
+                columns[at] = pc.replace_with_mask(columns[at], mask, replaced)
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    out = passes_of.mapInArrow(cut, docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 
 
-def _cut(text: str, stretches) -> str | None:
-    import re
-
-    if stretches is None:
-        return None
+def _cut(text: str, stretches: list[dict]) -> str:
+    """The words of `text` in the given stretches; those that adjoin are one."""
     bounds = [m.span() for m in re.finditer(WORD, text)]
     joined: list[list[int]] = []
     for part in stretches:
-        at, words = (part["at"], part["words"]) if isinstance(part, dict) else (part[0], part[1])
+        at, end = part["at"], part["at"] + part["words"]
         if joined and joined[-1][1] == at:
-            joined[-1][1] = at + words
+            joined[-1][1] = end
         else:
-            joined.append([at, at + words])
+            joined.append([at, end])
     return "\n".join(text[bounds[a][0] : bounds[b - 1][1]] for a, b in joined)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import free_names, text_bytes, text_slices, written
+from dialoom.llm.common import text_bytes, text_slices, written
 from dialoom.llm.textbytes import LOWER, row_counts, span_hashes, spans, words
 
 SHRINKAGE = 0.1
@@ -219,14 +219,14 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """
     known = labels.where(~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").alias("label"))
     model = fit(with_statistics(docs, id_col, text_col).join(known, "doc_id").select("label", "x"))
-    (score,) = free_names(docs, "_score")
+    names = docs.columns
+    at = names.index(text_col)
 
-    @F.pandas_udf("double")
-    def scored(text: pd.Series) -> pd.Series:
-        column = pa.array(text, pa.string())
-        batch = pa.RecordBatch.from_arrays([column], ["text"])
-        parts = [model.scores(statistics(part["text"])) for part in text_slices(batch, "text")]
-        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
-
-    return docs.withColumn(score, scored(F.col(text_col))).where(F.col(score) >= THRESHOLD).drop(score)
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            named = batch.rename_columns([f"{i}" for i in range(batch.num_columns)])
+            for part in text_slices(named, f"{at}"):
+                good = model.scores(statistics(part[at])) >= THRESHOLD
+                yield part.filter(pa.array(good)).rename_columns(names)
 
+    return docs.mapInArrow(kept, docs.schema)
