@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import text_slices, written
+from dialoom.llm.common import limit_batches, text_slices, written
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
@@ -89,6 +89,7 @@ def encode_texts(
     Null and empty texts have no ids. Repeated rows are encoded each; an empty table gives no rows; other
     columns are not read.
     """
+    limit_batches(docs)
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col), F.lit(""))
     named = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from dialoom.session import work_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +34,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def limit_batches(df: DataFrame) -> None:
+    """Has Arrow batches of the session hold no more than BATCH_ROWS rows, as texts may be long."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, BATCH_ROWS)
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """`names`, lengthened where `df` has such a column already."""
     taken = {c.lower() for c in df.columns}
@@ -54,6 +62,7 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) ->
         stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
         yield batch.slice(start, stop - start)
         start = stop
+    pa.default_memory_pool().release_unused()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

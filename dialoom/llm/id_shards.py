@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import text_slices
+from dialoom.llm.common import limit_batches, text_slices
 from dialoom.llm.pieces import Encoder, pieces_of, read_file
 from dialoom.llm.textbytes import mixed
 
@@ -179,6 +179,7 @@ def write_ids(
     written, in the order of their ids, and the key leads to the first. Null and empty texts have the end id
     alone. An empty table gives a folder without rows; other columns are not read.
     """
+    limit_batches(docs)
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     bounds = _bounds(named, shard_docs)
     definition = read_file(tokenizer_path)

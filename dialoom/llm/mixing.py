@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import free_names, row_keys, text_slices, written
+from dialoom.llm.common import free_names, limit_batches, row_keys, text_slices, written
 from dialoom.llm.textbytes import mixed
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -246,6 +246,7 @@ class Mixture:
 
 
 def _mixture(docs, keys, id_col, text_col, source_col, weights, block, shard_slots) -> Mixture:
+    limit_batches(docs)
     sizes = written(_sizes(docs, keys, id_col, text_col, source_col), "sizes")
     spark = docs.sparkSession
     sources = plan(sizes, weights, block)

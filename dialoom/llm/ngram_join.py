@@ -26,14 +26,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import only_rows, text_bytes, text_slices, written
+from dialoom.llm.common import limit_batches, only_rows, text_bytes, text_slices, written
 from dialoom.llm.components import components
 from dialoom.llm.textbytes import LOWER, mixed, row_counts, span_hashes, words
 
 WORDS = 3
 PERCENT = 90
 SLOT_BITS = 24
-CELL_NGRAMS = 1_000_000
+CELL_NGRAMS = 250_000
 
 
 def ngram_sets(column: pa.Array, n: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -338,6 +338,7 @@ def jaccard_components(
     nothing and have their own id. Rows that repeat link with each other; null ids are skipped when the
     smallest is taken. An empty table gives no rows; other columns are not read. Ids are numbers or texts.
     """
+    limit_batches(docs)
     text = F.coalesce(F.col(text_col), F.lit(""))
     named = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     shard_bits = min(16, max(6, math.ceil(math.log2(named.count() / 4096 + 1))))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import free_names, row_keys, text_bytes, text_slices, written
+from dialoom.llm.common import free_names, limit_batches, row_keys, text_bytes, text_slices, written
 from dialoom.llm.textbytes import LOWER, span_hashes, spans
 
 KINDS = ("email", "ip", "card", "phone")
@@ -218,6 +218,7 @@ def _disclosing(named: DataFrame, found: DataFrame, least: int) -> DataFrame:
 
 def _marked(docs: DataFrame, keys: list, id_col: str, text_col: str, window: int, least: int) -> DataFrame:
     """row, doc_id, the given keys, `base` and `spans` (kind, start, end) of every row."""
+    limit_batches(docs)
     named = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).alias("doc_id"),

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import text_bytes, text_slices, written
+from dialoom.llm.common import limit_batches, text_bytes, text_slices, written
 from dialoom.llm.textbytes import LOWER, row_counts, span_hashes, spans, words
 
 SHRINKAGE = 0.1
@@ -147,6 +147,7 @@ def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     [part["doc_id"], flat.cast(pa.list_(pa.float64()))], ["doc_id", "x"]
                 )
 
+    limit_batches(docs)
     kind = docs.schema[id_col].dataType.simpleString()
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return named.mapInArrow(run, f"doc_id {kind}, x array<double>")

@@ -52,7 +52,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """64-bit hashes of the given spans of bytes; equal spans have equal hashes."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    ahead, back = _powers(max(22, int(len(data)).bit_length()))
+    ahead, back = _powers(max(20, int(len(data)).bit_length()))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * ahead[: len(data)], out=sums[1:])
     return mixed((sums[ends] - sums[starts]) * back[starts])

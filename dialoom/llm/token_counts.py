@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import text_slices
+from dialoom.llm.common import limit_batches, text_slices
 from dialoom.llm.pieces import Encoder, pieces_of, read_file
 
 LIMIT = 1024
@@ -30,6 +30,7 @@ def count_tokens(
     Null and empty texts have no tokens. Repeated rows are counted each; an empty table gives no rows; other
     columns are not read.
     """
+    limit_batches(docs)
     definition = read_file(tokenizer_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
