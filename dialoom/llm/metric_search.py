@@ -28,7 +28,7 @@ from dialoom.llm.common import written
 
 TREE_ROWS = 8192
 LANE_QUERIES = 8192
-LEAF, FANOUT = 32, 16
+LEAF, FANOUT = 512, 32
 SCALE = 256
 SLACK = 1e-6  # distances are floats; scores are exact
 PAGES = "tree long, page int, leaf boolean, vectors binary, radii binary, to_parent binary, below binary, ids binary"
