@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 from typing import NamedTuple
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dialoom.llm.common import limit_batches, text_slices
-from dialoom.llm.pieces import Encoder, pieces_of, read_file
+from dialoom.llm.pieces import encoder, pieces_of, read_file
 from dialoom.llm.textbytes import mixed
 
 END_ID = 2
@@ -154,6 +155,10 @@ def entries_of(keys: np.ndarray, nulls: int = 0) -> np.ndarray:
 # ---- writing
 
 
+def _raw(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()  # 32 bits each
+
+
 def _bounds(docs: DataFrame, shard_docs: int) -> np.ndarray:
     """Smallest keys of the shards but the first. Only the key column is read; a number for each shard comes back."""
     shards = math.ceil(docs.count() / shard_docs)
@@ -185,12 +190,12 @@ def write_ids(
     definition = read_file(tokenizer_path)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(definition, lambda ids: np.array(ids, np.uint32).tobytes())
+        results = encoder(definition, _raw).results
         end = np.array([end_id], np.uint32).tobytes()
         for batch in batches:
             for part in text_slices(batch, "text"):
                 split = [pieces_of(text or "") for text in part["text"].to_pylist()]
-                raw = encoder.results(chain.from_iterable(split)).__getitem__
+                raw = results(chain.from_iterable(split)).__getitem__
                 ids = [np.frombuffer(b"".join([*map(raw, pieces), end]), np.uint32) for pieces in split]
                 wide = [int(x.max()) > 0xFFFF for x in ids]
                 packed = [x.astype("<u4" if w else "<u2").tobytes() for x, w in zip(ids, wide, strict=True)]

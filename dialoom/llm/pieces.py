@@ -40,20 +40,30 @@ def pieces_of(text: str) -> list[str]:
 
 
 class Encoder(Generic[T]):
-    """`reduce(ids)` for the pieces of texts."""
+    """`reduce(ids)` for the pieces of texts. Results not asked for in the last KEPT_CHARS / 2 may be forgotten."""
 
     def __init__(self, definition: str, reduce: Callable[[list[int]], T]):
         self.tokenizer = tokenizer(definition)
         self.reduce = reduce
         self.known: dict[str, T] = {}
+        self.before: dict[str, T] = {}
         self.chars = 0
 
     def results(self, pieces: Iterable[str]) -> dict[str, T]:
         """Results by piece, for `pieces` and others."""
-        if self.chars > KEPT_CHARS:
-            self.known, self.chars = {}, 0
-        new = [piece for piece in dict.fromkeys(pieces) if piece not in self.known]
+        if self.chars > KEPT_CHARS // 2:
+            self.before, self.known, self.chars = self.known, {}, 0
+        asked = set(pieces).difference(self.known)
+        again = asked.intersection(self.before)
+        self.known.update((piece, self.before[piece]) for piece in again)
+        new = list(asked - again)
         found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         self.known.update(zip(new, (self.reduce(e.ids) for e in found), strict=True))
-        self.chars += sum(map(len, new))
+        self.chars += sum(map(len, asked))
         return self.known
+
+
+@lru_cache(maxsize=2)
+def encoder(definition: str, reduce: Callable[[list[int]], T]) -> Encoder[T]:
+    """The encoder of a worker process, which keeps its results from task to task."""
+    return Encoder(definition, reduce)

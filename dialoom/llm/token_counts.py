@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialoom.llm.common import limit_batches, text_slices
-from dialoom.llm.pieces import Encoder, pieces_of, read_file
+from dialoom.llm.pieces import encoder, pieces_of, read_file
 
 LIMIT = 1024
 
@@ -34,11 +34,11 @@ def count_tokens(
     definition = read_file(tokenizer_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(definition, len)
+        results = encoder(definition, len).results
         for batch in batches:
             for part in text_slices(batch, "text"):
                 split = [pieces_of(text or "") for text in part["text"].to_pylist()]
-                length = encoder.results(chain.from_iterable(split)).__getitem__
+                length = results(chain.from_iterable(split)).__getitem__
                 n_tokens = pa.array([sum(map(length, pieces)) for pieces in split], pa.int64())
                 n_bytes = pc.fill_null(pc.binary_length(part["text"]), 0).cast(pa.int64())
                 yield pa.RecordBatch.from_arrays([part["doc_id"], n_bytes, n_tokens], ["doc_id", "n_bytes", "n_tokens"])
