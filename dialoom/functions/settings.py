@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from dialoom.functions.chatlog import NUMBER
+from dialoom.functions.text import strip
+
 # Default run settings; None is an explicit null.
 DEFAULT_SETTINGS = {
     "max_seq_length": "2048",
@@ -68,7 +71,7 @@ def cast_config(settings: Column) -> Column:
 
     def number(key: str) -> Column:
         text = settings[key]
-        value = text.try_cast("double")
+        value = F.when(F.rlike(strip(text), F.lit(NUMBER)), strip(text).try_cast("double"))
         bad = text.isNotNull() & value.isNull()
         return F.when(bad, F.raise_error(F.concat(F.lit(f"{key} is not a number: "), text))).otherwise(value)
 

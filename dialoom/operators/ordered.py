@@ -1,10 +1,10 @@
 """Running values and neighbours over keyed, ordered rows, without one task per key.
 
 A window over the bare key would put a whole key into one task, however large it is. Here each key is cut into
-blocks that are a fixed function of the row (a range of turn numbers, a span of time). The window runs inside
-a block; one small row per block carries the totals; a window over those rows gives each block its start; the
-start is joined back on (key, block). Only the local window moves the wide rows, and the join reuses its
-partitioning. Nothing depends on partition numbers, so recomputing a lost partition gives the same rows.
+blocks: ranges of turn numbers, which are a function of the row, or the ranges of an order over all rows, which
+are written down once. The window runs inside a block; one small row per block carries the totals; a window over
+those rows gives each block its start; the start is joined back on (key, block). Only the local window moves the
+wide rows, and the join reuses its partitioning. Recomputing a lost partition gives the same rows.
 """
 
 from __future__ import annotations
@@ -13,10 +13,11 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from dialoom.session import work_path
 
 TURNS_PER_PART = 512
-LOG_BLOCK_SECONDS = 900
-LONG_KEY_ROWS = 1_000_000
 
 
 class Running(NamedTuple):
@@ -27,23 +28,22 @@ class Running(NamedTuple):
     value: Column
 
 
-def part_of(turn: Column, size: int = TURNS_PER_PART) -> Column:
+def part_of(turn: Column, size: int | None = None) -> Column:
     """Part of a conversation that a turn belongs to; at most `size` turns, as turns are numbered from 0."""
-    return F.floor(F.greatest(turn, F.lit(0)) / size)
-
+    return F.floor(F.greatest(turn, F.lit(0)) / (size or TURNS_PER_PART))
 
-def time_block(df: DataFrame, ts: str = "ts", seconds: int = LOG_BLOCK_SECONDS) -> Column:
-    """Span of time that a log row belongs to, free of the session's time zone for local timestamps."""
-    at = F.col(ts)
-    if df.schema[ts].dataType.typeName() == "timestamp_ntz":
-        days = F.unix_date(at.cast("date")).cast("bigint")
-        return F.floor((((days * 24 + F.hour(at)) * 60 + F.minute(at)) * 60 + F.second(at)) / seconds)
-    return F.floor(F.unix_seconds(at) / seconds)
 
+def in_ranges(df: DataFrame, order: list[str], ranges: int | None = None) -> DataFrame:
+    """`df` with `_range`, the number of the range it falls into when all rows are put in `order`.
 
-def long_keys(df: DataFrame, keys: list[str], rows: int = LONG_KEY_ROWS) -> DataFrame:
-    """Keys with more than `rows` rows; there are fewer of them than the table has multiples of `rows`."""
-    return df.groupBy(*keys).count().where(F.col("count") > rows).select(*keys)
+    The ranges are of like size, by default as many as there are shuffle partitions, so a key with most of the
+    rows has most of the ranges. They are written once, as the bounds are drawn from a sample and must not change.
+    """
+    path = work_path(df.sparkSession, "ranges")
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    schema = T.StructType([*df.schema.fields, T.StructField("_range", T.IntegerType())])
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 def with_running(
@@ -52,27 +52,11 @@ def with_running(
     block: Column,
     order: list[str],
     values: list[Running],
-    long: DataFrame | None = None,
 ) -> DataFrame:
-    """Running values per key in the given order, each including its own row.
-
-    With `long`, the result of `long_keys` over some of `keys`, only those keys are cut into blocks: any other
-    key is one block, and the block totals are taken over the long keys alone. `long` is broadcast, as its
-    size is bounded by what it is made of.
-    """
-    cut = df
-    if long is None:
-        blocked = df.withColumn("_block", block)
-    else:
-        marked = F.broadcast(long.withColumn("_long", F.lit(True)))
-        blocked = df.join(marked, long.columns, "left").select(
-            *df.columns, F.when(F.col("_long"), block).otherwise(F.lit(0)).alias("_block")
-        )
-        cut = df.join(F.broadcast(long), long.columns, "left_semi")
-    cut = cut.withColumn("_block", block)
+    """Running values per key in the given order, each including its own row. Blocks follow the order."""
+    blocked = df.withColumn("_block", block)
     for i, v in enumerate(values):
         blocked = blocked.withColumn(f"_in{i}", v.value)
-        cut = cut.withColumn(f"_in{i}", v.value)
 
     inside = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -101,19 +85,20 @@ def with_running(
 
     n = range(len(values))
     rows = blocked.select(*df.columns, "_block", *[local[i].alias(f"_run{i}") for i in n])
-    totals = cut.groupBy(*keys, "_block").agg(*[total[i].alias(f"_all{i}") for i in n])
+    totals = blocked.groupBy(*keys, "_block").agg(*[total[i].alias(f"_all{i}") for i in n])
     starts = totals.select(*keys, "_block", *[start[i].alias(f"_at{i}") for i in n])
     return rows.join(starts, [*keys, "_block"], "left").select(
         *df.columns, *[combined[i].alias(values[i].name) for i in n]
     )
 
 
-def with_next(df: DataFrame, key: str, order: str, columns: list[str], size: int = TURNS_PER_PART) -> DataFrame:
+def with_next(df: DataFrame, key: str, order: str, columns: list[str], size: int | None = None) -> DataFrame:
     """Adds `next_<column>` from the following row of the key for each of `columns`, null on its last row.
 
     Only rows from number `size` on can start a later part, so for ordinary keys the second read of `df` is a
     filter that the file statistics answer.
     """
+    size = size or TURNS_PER_PART
     inside = Window.partitionBy(key, "_part").orderBy(order)
     rows = df.withColumn("_part", part_of(F.col(order), size)).select(
         "*",

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialoom.functions.text import token_count
-from dialoom.operators.ordered import part_of
-from dialoom.session import checkpointed
+from dialoom.operators.ordered import in_ranges, part_of
 
 # Sequence limit and batch size of the default run.
 SEQUENCE_LIMIT = 2048
@@ -51,13 +50,11 @@ def pack_wrapped(df: DataFrame, block: int, shard: str, order: list[str]) -> Dat
 def pack_wrapped_global(df: DataFrame, block: int, order: list[str], partitions: int | None = None) -> DataFrame:
     """The same in one exact order over all rows, without a window over all rows.
 
-    The range-partitioned (key, n) table is written to the shared checkpoint folder, because the numbers of
-    range partitions may change when they are computed twice. Its partition totals, one row each, give the
-    offsets. Range bounds include the whole key, so a hot leading key is split as well.
+    The (key, n) table is written in ranges of the order (`in_ranges`), whose totals, one row each, give the
+    offsets. Range bounds include the whole key, so a hot leading key is split as well. Lengths are computed
+    once, before the ranges are drawn.
     """
-    slim = df.select(*order, "n")
-    ranged = slim.repartitionByRange(partitions, *order) if partitions else slim.repartitionByRange(*order)
-    ranged = checkpointed(ranged.withColumn("_range", F.spark_partition_id()))
+    ranged = in_ranges(df.select(*order, "n"), order, partitions)
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy("_range")
@@ -66,8 +63,7 @@ def pack_wrapped_global(df: DataFrame, block: int, order: list[str], partitions:
     )
     so_far = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_local", F.sum("n").over(so_far))
-    # One row for each range partition, a number fixed by the plan.
-    placed = local.join(F.broadcast(offsets), "_range").withColumn("end_token", F.col("_local") + F.col("_offset"))
+    placed = local.join(offsets, "_range").withColumn("end_token", F.col("_local") + F.col("_offset"))
     return _cut(placed.select(*order, "n", "end_token"), block)
 
 
@@ -105,10 +101,19 @@ def padding_waste(batched: DataFrame, shard: str) -> DataFrame:
 
 
 def length_order(df: DataFrame, order: list[str], partitions: int | None = None) -> DataFrame:
-    """Longest rows first, as sorted range partitions; the key in the bounds splits a crowded length."""
-    bounds = [F.col("n").desc(), *[F.col(c) for c in order]]
-    ranged = df.repartitionByRange(partitions, *bounds) if partitions else df.repartitionByRange(*bounds)
-    return ranged.sortWithinPartitions(*bounds)
+    """`position` of each row, from 0, with the longest rows first.
+
+    Keys and lengths alone are put in ranges, which are written once; the key in the bounds splits a crowded
+    length. Numbers inside a range and the sizes of earlier ranges, one row each, make the position.
+    """
+    negative = F.col("n") * -1
+    ranged = in_ranges(df.select(*order, "n", negative.alias("_minus")), ["_minus", *order], partitions)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_rows"))
+    offsets = sizes.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy("_minus", *order))
+    placed = ranged.withColumn("_local", inside).join(offsets, "_range")
+    return placed.select(*order, "n", (F.col("_offset") + F.col("_local") - 1).alias("position"))
 
 
 def length_profile(df: DataFrame, by: list[str], limit: int = SEQUENCE_LIMIT) -> DataFrame:

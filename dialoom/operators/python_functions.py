@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import pickle
 import sys
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -15,30 +18,48 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def with_tokens(df: DataFrame, tokenize: Callable[[str], list[int]] | None = None, text: str = "text") -> DataFrame:
-    """Adds `tokens`: the caller's token ids, or the whitespace pieces, which stay on the JVM."""
+def with_tokens(
+    df: DataFrame, tokenize: Callable[[list[str]], list[list[int]]] | None = None, text: str = "text"
+) -> DataFrame:
+    """Adds `tokens`: the caller's token ids, or the whitespace pieces, which stay on the JVM.
+
+    `tokenize` gets a list of texts and returns a list of ids for each; null texts are kept from it.
+    """
     if tokenize is None:
         return df.withColumn("tokens", F.regexp_extract_all(F.col(text), F.lit(r"\S+"), F.lit(0)))
 
     @F.pandas_udf("array<int>")
     def encode(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda value: None if value is None else list(tokenize(value)))
+        known = texts.notna()
+        out = pd.Series([None] * len(texts), dtype=object)
+        out[known.to_numpy()] = pd.Series(tokenize(texts[known].tolist()), dtype=object).to_numpy()
+        return out
 
     return df.withColumn("tokens", encode(F.col(text)))
 
 
+def _kept(loader: bytes) -> Callable:
+    """What the loader makes, kept in the worker process under the loader's own bytes."""
+    models = sys.modules.setdefault("_dialoom_models", ModuleType("_dialoom_models")).__dict__
+    key = hashlib.sha256(loader).hexdigest()
+    if key not in models:
+        models[key] = pickle.loads(loader)()
+    return models[key]
+
+
 def generate_responses(
     prompts: DataFrame, load: Callable[[], Callable], params: dict | None = None, batch_size: int = 64
 ) -> DataFrame:
     """Adds `response` by a model of the caller's.
 
-    `load` runs once per task and returns `generate(list of prompts, params) -> list of responses`, which is
-    called with at most `batch_size` prompts.
+    `load` returns `generate(list of prompts, params) -> list of responses`, which is called with at most
+    `batch_size` prompts. A Python worker process loads a model once and keeps it for all its tasks.
     """
     settings = dict(params or {})
+    loader = cloudpickle.dumps(load)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        generate = load()
+        generate = _kept(loader)
         for frame in frames:
             texts = frame["prompt"].tolist()
             answers: list[str] = []

@@ -13,7 +13,7 @@ from dialoom.functions.chatlog import (
     command_kind,
     parse_temperature,
 )
-from dialoom.operators.ordered import LONG_KEY_ROWS, Running, long_keys, time_block, with_running
+from dialoom.operators.ordered import Running, in_ranges, with_running
 
 ORDER = ["ts", "event_id"]
 
@@ -71,29 +71,29 @@ def _temperature(rows: DataFrame) -> Running:
     return Running("_temperature", "last", _on(rows, "temp", number, F.col("start.temperature")))
 
 
-def long_sessions(rows: DataFrame, long_rows: int = LONG_KEY_ROWS) -> DataFrame:
-    """Sessions of more than `long_rows` rows, which are worked on in blocks of time."""
-    return long_keys(rows, ["user_id"], long_rows)
+def _in_order(rows: DataFrame) -> DataFrame:
+    """Rows in ranges of the order of sessions and times: a long session, or a burst in one, has several."""
+    return in_ranges(rows, ["user_id", *ORDER])
 
 
-def _running(rows: DataFrame, keys: list[str], values: list[Running], long: DataFrame) -> DataFrame:
-    return with_running(rows, keys, time_block(rows), ORDER, values, long)
+def _running(rows: DataFrame, keys: list[str], values: list[Running]) -> DataFrame:
+    return with_running(rows, keys, F.col("_range"), ORDER, values)
 
 
-def replayed(rows: DataFrame, *extra: Running, long: DataFrame) -> DataFrame:
-    """Rows of the session up to its first exit, with `conversation`, counted up by each /new, and `extra`."""
+def replayed(rows: DataFrame, *extra: Running) -> DataFrame:
+    """Rows (`_in_order`) of the session up to its first exit, with `conversation`, counted up by each /new, and `extra`."""
     exits = Running("_exits", "sum", _on(rows, "exit", _one(), F.col("start.ended").cast("bigint")))
     news = Running("conversation", "sum", _on(rows, "new", _one(), F.col("start.conversation")))
-    running = _running(rows, ["user_id"], [exits, news, *extra], long)
+    running = _running(rows, ["user_id"], [exits, news, *extra])
     return running.where((F.col("_exits") == 0) | ((F.col("_exits") == 1) & F.col("kind").isin("exit", "start")))
 
 
-def segment_log(parsed: DataFrame, long_rows: int = LONG_KEY_ROWS) -> DataFrame:
+def segment_log(parsed: DataFrame) -> DataFrame:
     """Conversation number of each row; rows after the first exit are gone."""
-    return replayed(parsed, long=long_sessions(parsed, long_rows)).select("user_id", "event_id", "ts", "kind", "conversation")
+    return replayed(_in_order(parsed)).select("user_id", "event_id", "ts", "kind", "conversation")
 
 
-def setting_as_of(parsed: DataFrame, kind: str, default=None, long_rows: int = LONG_KEY_ROWS) -> DataFrame:
+def setting_as_of(parsed: DataFrame, kind: str, default=None) -> DataFrame:
     """The value of a setting in force at each message; it outlives /new."""
     if kind == "system":
         extra, name, fallback = _system(parsed), "system_message", DEFAULT_SYSTEM_MESSAGE
@@ -102,14 +102,14 @@ def setting_as_of(parsed: DataFrame, kind: str, default=None, long_rows: int = L
     else:
         raise ValueError(f"unknown setting: {kind}")
     value = F.coalesce(extra.name, F.lit(fallback if default is None else default))
-    messages = replayed(parsed, extra, long=long_sessions(parsed, long_rows)).where(F.col("kind") == "message")
+    messages = replayed(_in_order(parsed), extra).where(F.col("kind") == "message")
     return messages.select("user_id", "event_id", "conversation", value.alias(name))
 
 
-def _numbered(rows: DataFrame, long: DataFrame) -> DataFrame:
+def _numbered(rows: DataFrame) -> DataFrame:
     """Adds `messages`, the number of messages of the conversation so far."""
     count = Running("messages", "sum", _on(rows, "message", _one(), F.col("start.messages")))
-    return _running(rows, ["user_id", "conversation"], [count], long)
+    return _running(rows, ["user_id", "conversation"], [count])
 
 
 def messages_of(replayed_rows: DataFrame) -> DataFrame:
@@ -125,18 +125,16 @@ def messages_of(replayed_rows: DataFrame) -> DataFrame:
     )
 
 
-def replay(parsed: DataFrame, long_rows: int = LONG_KEY_ROWS) -> DataFrame:
+def replay(parsed: DataFrame) -> DataFrame:
     """Every message with its conversation, its number in it and the settings in force."""
-    long = long_sessions(parsed, long_rows)
-    settled = replayed(parsed, _system(parsed), _temperature(parsed), long=long)
-    return messages_of(_numbered(settled.where(F.col("kind") == "message"), long))
+    settled = replayed(_in_order(parsed), _system(parsed), _temperature(parsed))
+    return messages_of(_numbered(settled.where(F.col("kind") == "message")))
 
 
-def continue_replay(parsed: DataFrame, state: DataFrame, long_rows: int = LONG_KEY_ROWS) -> DataFrame:
+def continue_replay(parsed: DataFrame, state: DataFrame) -> DataFrame:
     """A later part of the log replayed on top of the state before it, for `messages_of` and `state_of`."""
-    rows = resume(parsed, state)
-    long = long_sessions(rows, long_rows)
-    return _numbered(replayed(rows, _system(rows), _temperature(rows), long=long), long)
+    rows = _in_order(resume(parsed, state))
+    return _numbered(replayed(rows, _system(rows), _temperature(rows)))
 
 
 def state_of(replayed_rows: DataFrame) -> DataFrame:

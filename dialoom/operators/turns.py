@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from dialoom.families import TEMPLATES, by_family
 from dialoom.functions.chatlog import DEFAULT_SYSTEM_MESSAGE
 from dialoom.functions.text import folds_system, render_turn, strip
-from dialoom.operators.ordered import TURNS_PER_PART, Running, part_of, with_next, with_running
+from dialoom.operators.ordered import Running, part_of, with_next, with_running
 
 
 def drop_blank(df: DataFrame, column: str) -> DataFrame:
@@ -53,7 +53,7 @@ def ensure_system(turns: DataFrame, default: str | None = DEFAULT_SYSTEM_MESSAGE
 def replace_system(turns: DataFrame, text: str) -> DataFrame:
     """The first system turn overwritten, or one added in front.
 
-    The anti join is on the table's key, so a large conversation spreads over all tasks.
+    Only system turns can be overwritten, so only they take part in the anti join; no other text is moved.
     """
     heads = turns.groupBy("conv_id").agg(
         F.min(F.when(F.col("role") == "system", F.col("turn"))).alias("_system"), F.min("turn").alias("_first")
@@ -64,7 +64,9 @@ def replace_system(turns: DataFrame, text: str) -> DataFrame:
         F.lit("system").alias("role"),
         F.lit(text.strip()).alias("text"),
     )
-    return turns.join(new.select("conv_id", "turn"), ["conv_id", "turn"], "left_anti").unionByName(new)
+    other = turns.where(~F.col("role").eqNullSafe("system"))
+    later = only_role(turns, "system").join(new.select("conv_id", "turn"), ["conv_id", "turn"], "left_anti")
+    return other.unionByName(later).unionByName(new)
 
 
 def turn_pairs(turns: DataFrame) -> DataFrame:
@@ -75,47 +77,67 @@ def turn_pairs(turns: DataFrame) -> DataFrame:
     )
 
 
-def collect_chat(turns: DataFrame, size: int = TURNS_PER_PART) -> DataFrame:
-    """Message arrays as (conv_id, part, messages).
+def collect_chat(turns: DataFrame, size: int | None = None) -> DataFrame:
+    """Message arrays as (conv_id, part, messages), each message with its turn.
 
-    A part holds the turns of one range of turn numbers, at most `size`, so no row grows without bound; a
-    conversation of up to `size` turns is the single part 0.
+    A part holds the turns of one range of turn numbers, at most `size`, so no row grows without bound. It is a
+    layout to store and read back (`explode_messages`); all parts of a conversation together are its messages.
     """
     ordered = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
     return (
         turns.groupBy("conv_id", part_of(F.col("turn"), size).alias("part"))
         .agg(ordered.alias("_m"))
-        .select(
-            "conv_id",
-            "part",
-            F.transform(
-                "_m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))
-            ).alias("messages"),
-        )
+        .select("conv_id", "part", F.col("_m").alias("messages"))
     )
 
 
 def explode_messages(chats: DataFrame) -> DataFrame:
-    """Message arrays (conv_id, messages) as a turn table."""
-    return chats.select("conv_id", F.posexplode("messages").alias("turn", "m")).select(
-        "conv_id", F.col("turn").cast("bigint").alias("turn"), F.col("m.role").alias("role"), F.col("m.content").alias("text")
+    """Message arrays (conv_id, messages) as a turn table. A message without a turn has its place in the list."""
+    place = F.col("place").cast("bigint")
+    numbered = "turn" in chats.schema["messages"].dataType.elementType.names
+    return chats.select("conv_id", F.posexplode("messages").alias("place", "m")).select(
+        "conv_id",
+        (F.coalesce("m.turn", place) if numbered else place).alias("turn"),
+        F.col("m.role").alias("role"),
+        F.col("m.content").alias("text"),
     )
 
 
-def prompt_history(turns: DataFrame, size: int = TURNS_PER_PART, keep: Sequence[str] = ()) -> DataFrame:
-    """For each user turn the messages up to it, as (conv_id, turn, part, messages) and the columns to `keep`.
+SIGNATURE_BASE = (1 << 31) - 1
 
-    `messages` are those of the turn's own part; for a conversation of up to `size` turns that is the whole
-    prompt. A longer prompt is the parts 0 .. part-1 of `collect_chat` followed by `messages`: repeating them
-    in every row would grow with the square of the conversation.
+
+def prompt_history(turns: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """For each user turn its prompt, all messages of the conversation up to it, in numbers.
+
+    (conv_id, turn, the columns to `keep`, n_messages, prompt_chars, signature). The signature is the sum over
+    the messages of the turn times a number made of role and text, so it tells other messages and another
+    order. Linear in the input for a conversation of any length; `prompts_for` gives the messages themselves.
     """
-    upto = Window.partitionBy("conv_id", "part").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-    message = F.struct("role", F.col("text").alias("content"))
+    message = F.concat("role", F.lit(">"), "text")
+    number = F.conv(F.left(F.md5(message), F.lit(7)), 16, 10).cast("bigint")
+    values = [
+        Running("n_messages", "sum", F.lit(1).cast("bigint")),
+        Running("prompt_chars", "sum", F.length(message).cast("bigint")),
+        Running("signature", "sum", F.pmod((F.col("turn") + 1) * number, F.lit(SIGNATURE_BASE))),
+    ]
     return (
-        turns.withColumn("part", part_of(F.col("turn"), size))
-        .withColumn("messages", F.collect_list(message).over(upto))
+        with_running(turns, ["conv_id"], part_of(F.col("turn")), ["turn"], values)
         .where(F.col("role") == "user")
-        .select("conv_id", "turn", "part", *keep, "messages")
+        .select("conv_id", "turn", *keep, "n_messages", "prompt_chars", "signature")
+    )
+
+
+def prompts_for(turns: DataFrame, targets: DataFrame) -> DataFrame:
+    """The complete prompt of each of `targets` (conv_id, turn), as (conv_id, turn, messages): every message up
+    to and with that turn, however many. The result is as large as what is asked for."""
+    asked = targets.select("conv_id", F.col("turn").alias("_asked")).distinct()
+    message = F.struct("turn", "role", F.col("text").alias("content"))
+    return (
+        turns.join(asked, "conv_id")
+        .where(F.col("turn") <= F.col("_asked"))
+        .groupBy("conv_id", "_asked")
+        .agg(F.array_sort(F.collect_list(message)).alias("messages"))
+        .withColumnRenamed("_asked", "turn")
     )
 
 
@@ -184,13 +206,25 @@ def _rendered(turns: DataFrame, family: str | Column) -> DataFrame:
 
 
 def render_conversations(turns: DataFrame, family: str | Column) -> DataFrame:
-    """Rendered text as (conv_id, part, text): one row for each part of a conversation."""
+    """Rendered text as (conv_id, part, start_pos, text): one row for each part of a conversation, with the place
+    in the whole text at which it starts. `whole_texts` puts the parts together."""
     pieces = F.array_sort(F.collect_list(F.struct("turn", "rendered")))
-    return (
+    parts = (
         _rendered(turns, family)
-        .groupBy("conv_id", F.col("_part").alias("part"))
+        .groupBy("conv_id", "_part")
         .agg(F.array_join(F.transform(pieces, lambda p: p["rendered"]), "").alias("text"))
     )
+    ends = _positions(turns, family).groupBy("conv_id", "_part").agg(F.max("end_pos").alias("_end"))
+    start = F.col("_end") - F.length("text")
+    return parts.join(ends, ["conv_id", "_part"]).select(
+        "conv_id", F.col("_part").alias("part"), start.alias("start_pos"), "text"
+    )
+
+
+def whole_texts(parts: DataFrame) -> DataFrame:
+    """(conv_id, text): the parts of each conversation put together."""
+    in_order = F.array_sort(F.collect_list(F.struct("part", "text")))
+    return parts.groupBy("conv_id").agg(F.array_join(F.transform(in_order, lambda p: p["text"]), "").alias("text"))
 
 
 def _positions(turns: DataFrame, family: str | Column) -> DataFrame:
@@ -220,16 +254,16 @@ def response_spans(turns: DataFrame, family: str | Column) -> DataFrame:
     return answers.select("conv_id", "turn", (end - F.col("chars")).alias("start_pos"), end.alias("end_pos"))
 
 
-def assemble(chunks: DataFrame, size: int = TURNS_PER_PART) -> DataFrame:
-    """Chunks joined in order to one response per `rid`, blank chunks dropped.
+def assemble(chunks: DataFrame, size: int | None = None) -> DataFrame:
+    """Chunks joined in order to one response per `rid`, blank and null chunks left out, repeated ones taken once.
 
-    Ranges of chunks are joined first and the few range texts after that, so a long reply is put together by
+    A reply of blank chunks alone is an empty text. Ranges of chunks are joined first and the few range texts after that, so a long reply is put together by
     several tasks and only its text, which is the result, meets in one row.
     """
+    said = F.when(strip(F.col("chunk")) != "", F.col("chunk")).otherwise("")
     ranges = (
-        drop_blank(chunks, "chunk")
-        .groupBy("rid", part_of(F.col("seq"), size).alias("_part"))
-        .agg(F.array_sort(F.collect_list(F.struct("seq", "chunk"))).alias("_c"))
+        chunks.groupBy("rid", part_of(F.col("seq"), size).alias("_part"))
+        .agg(F.array_sort(F.array_distinct(F.collect_list(F.struct("seq", said.alias("chunk"))))).alias("_c"))
         .select("rid", "_part", F.array_join(F.transform("_c", lambda c: c["chunk"]), "").alias("_text"))
     )
     return (

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialoom.families import FAMILY_NAMES
-from dialoom.operators.turns import render_conversations, turn_pairs
-from dialoom.session import spread
+from dialoom.operators.turns import render_conversations, turn_pairs, whole_texts
 
 CHUNK_CHARS = 40
 STOP_DECOY = "Question: 99"
@@ -26,8 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The keys of the orders, dealt out over the cores for the answer patterns that are run on them."""
-    return spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,12 +81,12 @@ def answers(turns: DataFrame) -> DataFrame:
 
 
 def raw_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw model output (conv_id, part, model_family, text): rendered conversations of all families, some with
-    a newline after the end marker and some with a blank, which no pattern but gemma's allows."""
+    """Raw model output (conv_id, model_family, text): rendered conversations of all families, some with a
+    newline after the end marker and some with a blank, which no pattern but gemma's allows."""
     family = family_of(F.col("conv_id"))
     tail = F.get(F.array(F.lit(""), F.lit("\n"), F.lit(" ")), (F.col("conv_id") % 3).cast("int"))
-    return render_conversations(turns(spark, sf_dir), family).select(
-        "conv_id", "part", family.alias("model_family"), F.concat("text", tail).alias("text")
+    return whole_texts(render_conversations(turns(spark, sf_dir), family)).select(
+        "conv_id", family.alias("model_family"), F.concat("text", tail).alias("text")
     )
 
 

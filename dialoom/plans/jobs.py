@@ -13,7 +13,7 @@ from dialoom.operators.packing import BATCH_SIZE, SEQUENCE_LIMIT, turn_shard
 from dialoom.operators.prepare import keep_text, training_text
 from dialoom.operators.python_functions import generate_responses
 from dialoom.operators.replay import parse_log, replay
-from dialoom.operators.scoring import exact_match_mean, first_scores, judge_runs, score
+from dialoom.operators.scoring import exact_match_mean, judge_runs, score
 from dialoom.operators.turns import prompt_history, turn_pairs
 from dialoom.sources.files import write_prepared
 
@@ -92,11 +92,14 @@ def dataset_metrics(
 
 
 def evaluate_runs(items: DataFrame, load: Callable[[], Callable], params: dict | None = None) -> DataFrame:
-    """Items to prompts, responses by the caller's model, then first response, filters and mean match."""
+    """First item of each sample to a prompt, a response by the caller's model, then filters and mean match.
+
+    Later repeats go before the model sees them.
+    """
     keys = ["model", "variant", "task", "doc_id"]
-    prompts = items.select(*keys, "repeat_no", "answer", eval_prompt(F.col("question")).alias("prompt"))
-    scored = score(generate_responses(prompts, load, params))
-    return exact_match_mean(first_scores(scored, keys), ["model", "variant", "task"])
+    first = items.groupBy(*keys).agg(F.min_by(F.struct("question", "answer"), "repeat_no").alias("_first"))
+    prompts = first.select(*keys, F.col("_first.answer").alias("answer"), eval_prompt(F.col("_first.question")).alias("prompt"))
+    return exact_match_mean(score(generate_responses(prompts, load, params)), ["model", "variant", "task"])
 
 
 def compare_all(samples: DataFrame) -> DataFrame:
@@ -119,9 +122,9 @@ def compare_all(samples: DataFrame) -> DataFrame:
 
 
 def replay_log(log: DataFrame) -> DataFrame:
-    """Each message of a log with the settings in force and the conversation so far.
+    """Each message of a log with the settings in force and its prompt in numbers, as `prompt_history` has them.
 
-    `messages` follows `prompt_history`: the messages of the turn's own part, the system message first.
+    A system message that is not empty stands before the messages and counts as one.
     """
     messages = replay(parse_log(log))
     conversation = F.struct("user_id", "conversation")
@@ -135,10 +138,8 @@ def replay_log(log: DataFrame) -> DataFrame:
         "temperature",
     )
     history = prompt_history(turns, keep=["event_id", "system_message", "temperature"])
-    system = F.struct(F.lit("system").alias("role"), F.col("system_message").alias("content"))
-    with_system = F.when(
-        (F.col("part") == 0) & (F.col("system_message") != ""), F.array_prepend("messages", system)
-    ).otherwise(F.col("messages"))
+    led = F.col("system_message") != ""
+    system_chars = F.length("system_message") + len("system>")
     return history.select(
         "conv_id.user_id",
         "conv_id.conversation",
@@ -146,6 +147,7 @@ def replay_log(log: DataFrame) -> DataFrame:
         "event_id",
         "system_message",
         "temperature",
-        "part",
-        with_system.alias("messages"),
+        (F.col("n_messages") + led.cast("bigint")).alias("n_messages"),
+        (F.col("prompt_chars") + F.when(led, system_chars).otherwise(0)).alias("prompt_chars"),
+        "signature",
     )

@@ -64,7 +64,7 @@ TABLES["fx_fam"] = (
 )
 
 TABLES["fx_turn_text"] = (
-    """select c.conv_id, c.turn, c.role, c.text, greatest(c.turn, 0) // 512 as part, f.*,
+    """select c.conv_id, c.turn, c.role, c.text, f.*,
   case when c.role = 'assistant' then f.aopen || c.text || f.aclose
        when c.role = 'system' and f.sopen is not null then f.sopen || c.text || f.uclose
        when f.sopen is null and u.user_turn is not null and c.turn = s.sys_turn then null
@@ -80,13 +80,13 @@ left join (select conv_id, min(turn) as user_turn from conversations where role
 )
 
 TABLES["fx_rendered"] = (
-    """select conv_id, part, any_value(family) as model_family, string_agg(rendered, '' order by turn) as text
-from fx_turn_text where rendered is not null group by conv_id, part""",
+    """select conv_id, any_value(family) as model_family, string_agg(rendered, '' order by turn) as text
+from fx_turn_text where rendered is not null group by conv_id""",
     ["fx_turn_text"],
 )
 
 TABLES["fx_raw"] = (
-    """select conv_id, part, model_family, text || case conv_id % 3 when 1 then chr(10) when 2 then ' ' else '' end as text
+    """select conv_id, model_family, text || case conv_id % 3 when 1 then chr(10) when 2 then ' ' else '' end as text
 from fx_rendered""",
     ["fx_rendered"],
 )
@@ -114,7 +114,7 @@ def _extract(patterns: dict[str, str]) -> str:
 
 
 TABLES["fx_extracted"] = (
-    f"""select conv_id, part, model_family, {_extract(_PATTERNS)} as answer,
+    f"""select conv_id, model_family, {_extract(_PATTERNS)} as answer,
   {_extract(_CLEAN)} as clean_answer from fx_raw""",
     ["fx_raw"],
 )
@@ -412,7 +412,7 @@ oracle(
   case when event_id % 3 = 2 then '00' || cast(event_id % 10 as varchar) else strftime(ts, '%Y_%m_%d_%H_%M') end as name
 from events""",
 )
-oracle("samples_roundtrip", "select * from fx_samples where variant = 'fine_tune' and model = 'm1'", "fx_samples")
+oracle("samples_roundtrip", "select * from fx_samples", "fx_samples")
 oracle("stream_chunks", "select * from fx_chunks", "fx_chunks")
 
 # --- projections and filters -------------------------------------------------------------------------------
@@ -423,7 +423,7 @@ oracle(
 )
 oracle("sft_text", "select text from fx_sft", "fx_sft")
 oracle("drop_blank", f"select user_id, event_id, input from fx_chatlog where {strip('input')} <> ''", "fx_chatlog")
-oracle("keep_extracted", "select conv_id, part, answer from fx_extracted where answer is not null and answer <> ''", "fx_extracted")
+oracle("keep_extracted", "select conv_id, answer from fx_extracted where answer is not null and answer <> ''", "fx_extracted")
 oracle(
     "family_rejects",
     """select k, config, model_family from fx_family_of_config
@@ -498,13 +498,13 @@ oracle("flip_counts", f"select model, task, {_FLIPS} from fx_flips group by all"
 oracle("take_first", "select model, variant, task, doc_id, response from fx_first", "fx_first")
 oracle(
     "assemble_chunks",
-    f"""select rid, string_agg(chunk, '' order by seq) as response from fx_chunks where {strip('chunk')} <> '' group by rid""",
+    f"""select rid, string_agg(case when {strip('chunk')} <> '' then chunk else '' end, '' order by seq) as response
+from fx_chunks group by rid""",
     "fx_chunks",
 )
 oracle(
     "collect_chat",
-    f"""select conv_id, greatest(turn, 0) // 512 as part, count(*) as n_messages, {_message_list()} as messages
-from conversations group by conv_id, greatest(turn, 0) // 512""",
+    f"""select conv_id, count(*) as n_messages, {_message_list()} as messages from conversations group by conv_id""",
 )
 oracle(
     "length_profile",
@@ -549,14 +549,21 @@ union all select 'all', count(*), count(*) filter ({_RIGHT_CHOICE}) / count(*) f
 
 # --- windows, order, packing -------------------------------------------------------------------------------
 oracle("turn_pairs", "select * from fx_pairs", "fx_pairs")
+_SIGNED = """count(*) over w as n_messages, cast(sum(length({message})) over w as bigint) as prompt_chars,
+    cast(sum((({turn} + 1) * cast('0x' || substr(md5({message}), 1, 7) as bigint)) % 2147483647) over w as bigint) as signature"""
 oracle(
     "prompt_history",
-    """select conv_id, turn, part, n_messages, length(history) as history_chars, md5(history) as history_md5 from (
-  select conv_id, turn, role, greatest(turn, 0) // 512 as part,
-    count(*) over w as n_messages, string_agg(role || '>' || text, chr(10)) over w as history
-  from conversations window w as (partition by conv_id, greatest(turn, 0) // 512 order by turn)) t
+    f"""select conv_id, turn, n_messages, prompt_chars, signature from (
+  select conv_id, turn, role, {_SIGNED.format(turn="turn", message="role || '>' || text")}
+  from conversations window w as (partition by conv_id order by turn)) t
 where role = 'user'""",
 )
+oracle(
+    "prompts_for",
+    """select conv_id, max(turn) as turn, string_agg(role || '>' || text, chr(10) order by turn) as prompt
+from (select *, max(turn) filter (role = 'user') over (partition by conv_id) as asked from conversations) t
+where turn <= asked group by conv_id""",
+)
 oracle(
     "prompt_spans",
     """select conv_id, turn, n_messages, prompt_chars from (
@@ -583,7 +590,7 @@ where role = 'assistant'""",
 )
 oracle("batch_ids", _batched("conv_id, turn"), "fx_counts")
 oracle("length_grouped_batches", "select * from fx_by_length", "fx_by_length")
-oracle("length_order", "select conv_id, turn, n from fx_counts order by n desc, conv_id, turn", "fx_counts")
+oracle("length_order", "select conv_id, turn, n, row_number() over (order by n desc, conv_id, turn) - 1 as position from fx_counts", "fx_counts")
 oracle(
     "truncate_tokens",
     r"select conv_id, turn, array_to_string(list_slice(regexp_extract_all(text, '\S+'), 1, 16), ' ') as text from conversations",
@@ -611,16 +618,16 @@ from (select conv_id, turn, cast(('0x' || substr(md5(cast(conv_id as varchar)),
 )
 
 # --- scalar functions --------------------------------------------------------------------------------------
-oracle("render_chat", "select conv_id, part, text from fx_rendered", "fx_rendered")
+oracle("render_chat", "select conv_id, text from fx_rendered", "fx_rendered")
 oracle(
     "generation_prompt",
-    """select c.conv_id, greatest(c.turn, 0) // 512 as part, string_agg(f.uopen || c.text || f.uclose, '' order by c.turn) || any_value(f.aopen) as prompt
-from conversations c join fx_fam f on f.f = c.conv_id % 5 where c.role = 'user' group by c.conv_id, greatest(c.turn, 0) // 512""",
+    "select conv_id, r.text || f.aopen as prompt from fx_rendered r join fx_fam f on f.f = r.conv_id % 5",
+    "fx_rendered",
     "fx_fam",
 )
 oracle("append_eos", "select conv_id, turn, case when turn % 2 = 1 then text || '<|im_end|>' else text end as text from conversations")
-oracle("remove_eos", "select conv_id, part, replace(text, '<|im_end|>', '') as text from fx_raw", "fx_raw")
-oracle("extract_response", "select conv_id, part, model_family, answer, clean_answer from fx_extracted", "fx_extracted")
+oracle("remove_eos", "select conv_id, replace(text, '<|im_end|>', '') as text from fx_raw", "fx_raw")
+oracle("extract_response", "select conv_id, model_family, answer, clean_answer from fx_extracted", "fx_extracted")
 oracle("split_tags", "select conv_id, turn, preamble, reasoning, output, rest from fx_sections", "fx_sections")
 oracle(
     "eval_prompt",
@@ -708,7 +715,6 @@ oracle(
     f"""select o_orderkey as doc_id, v.variant, cast(v.repeat_no as bigint) as repeat_no, {_GENERATED} as response
 from orders cross join (values ('base', 0), ('base', 1), ('fine_tune', 0), ('fine_tune', 1)) v(variant, repeat_no)""",
 )
-oracle("map_records", """select conv_id, "user" || '|' || cast(length(assistant) as varchar) as text from fx_pairs""", "fx_pairs")
 
 # --- composite jobs ----------------------------------------------------------------------------------------
 oracle(
@@ -755,10 +761,9 @@ oracle(
 )
 oracle(
     "replay_log",
-    """select user_id, conversation, message_no, event_id, system_message, temperature, part,
-  n_messages + case when part = 0 then 1 else 0 end as n_messages,
-  md5(case when part = 0 then 'system>' || system_message || chr(10) else '' end || history) as prompt_md5 from (
-  select *, message_no // 512 as part, count(*) over w as n_messages, string_agg('user>' || text, chr(10)) over w as history
-  from fx_messages window w as (partition by user_id, conversation, message_no // 512 order by message_no)) t""",
+    f"""select user_id, conversation, message_no, event_id, system_message, temperature,
+  n_messages + 1 as n_messages, prompt_chars + length('system>' || system_message) as prompt_chars, signature from (
+  select *, {_SIGNED.format(turn="message_no", message="'user>' || text")}
+  from fx_messages window w as (partition by user_id, conversation order by message_no)) t""",
     "fx_messages",
 )

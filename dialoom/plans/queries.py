@@ -12,7 +12,7 @@ from dialoom.functions import evaluation as ev
 from dialoom.functions import settings as st
 from dialoom.functions import text as tx
 from dialoom.operators import packing, prepare, replay, scoring, turns as tn
-from dialoom.operators.python_functions import generate_responses, map_records, with_tokens
+from dialoom.operators.python_functions import generate_responses, with_tokens
 from dialoom.plans import inputs, jobs, stand_ins
 from dialoom.session import streaming_session, work_path
 from dialoom.sources import files
@@ -46,10 +46,8 @@ def read_pairs(spark, sf_dir):
 @query
 def read_turns(spark, sf_dir):
     folder = work_path(spark, "messages")
-    tn.collect_chat(inputs.turns(spark, sf_dir)).where(F.col("part") == 0).write.json(folder)
-    whole = files.read_turns(spark, folder, layout="messages")
-    later = files.read_turns(spark, f"{sf_dir}/conversations.parquet").where(F.col("turn") >= tn.TURNS_PER_PART)
-    return whole.unionByName(later)
+    tn.collect_chat(inputs.turns(spark, sf_dir)).write.json(folder)
+    return files.read_turns(spark, folder, layout="messages")
 
 
 @query
@@ -71,7 +69,7 @@ def versioned_name(spark, sf_dir):
 @query
 def samples_roundtrip(spark, sf_dir):
     folder = files.write_samples(inputs.samples(inputs.orders(spark, sf_dir)), work_path(spark, "samples"))
-    return files.read_samples(spark, folder).where((F.col("variant") == "fine_tune") & (F.col("model") == "m1"))
+    return files.read_samples(spark, folder)
 
 
 def _run(sibling: SparkSession, stream: DataFrame, name: str) -> str:
@@ -127,7 +125,7 @@ def drop_blank(spark, sf_dir):
 def keep_extracted(spark, sf_dir):
     raw = inputs.raw_outputs(spark, sf_dir)
     answer = tx.extract_response(F.col("text"), F.col("model_family"))
-    return prepare.keep_extracted(raw.select("conv_id", "part", answer.alias("answer")))
+    return prepare.keep_extracted(raw.select("conv_id", answer.alias("answer")))
 
 
 @query
@@ -224,8 +222,10 @@ def assemble_chunks(spark, sf_dir):
 @query
 def collect_chat(spark, sf_dir):
     chats = tn.collect_chat(inputs.turns(spark, sf_dir))
-    size = F.size("messages").cast("bigint")
-    return chats.select("conv_id", "part", size.alias("n_messages"), message_text("messages").alias("messages"))
+    parts = chats.select("conv_id", "part", F.size("messages").alias("n"), message_text("messages").alias("text"))
+    in_order = F.array_sort(F.collect_list(F.struct("part", "text")))
+    text = F.array_join(F.transform(in_order, lambda p: p["text"]), "\n")
+    return parts.groupBy("conv_id").agg(F.sum("n").alias("n_messages"), text.alias("messages"))
 
 
 @query
@@ -285,16 +285,14 @@ def turn_pairs(spark, sf_dir):
 
 @query
 def prompt_history(spark, sf_dir):
-    history = tn.prompt_history(inputs.turns(spark, sf_dir))
-    text = message_text("messages")
-    return history.select(
-        "conv_id",
-        "turn",
-        "part",
-        F.size("messages").cast("bigint").alias("n_messages"),
-        F.length(text).cast("bigint").alias("history_chars"),
-        F.md5(text).alias("history_md5"),
-    )
+    return tn.prompt_history(inputs.turns(spark, sf_dir))
+
+
+@query
+def prompts_for(spark, sf_dir):
+    turns = inputs.turns(spark, sf_dir)
+    last = tn.only_role(turns, "user").groupBy("conv_id").agg(F.max("turn").alias("turn"))
+    return tn.prompts_for(turns, last).select("conv_id", "turn", message_text("messages").alias("prompt"))
 
 
 @query
@@ -366,9 +364,10 @@ def replace_system(spark, sf_dir):
 
 @query
 def union_runs(spark, sf_dir):
-    samples = inputs.samples(inputs.orders(spark, sf_dir))
+    folder = files.write_samples(inputs.samples(inputs.orders(spark, sf_dir)), work_path(spark, "samples"))
+    schema = "task string, doc_id bigint, repeat_no bigint, question string, answer string, response string"
     runs = [
-        (model, variant, samples.where((F.col("model") == model) & (F.col("variant") == variant)).drop("model", "variant"))
+        (model, variant, spark.read.schema(schema).json(f"{folder}/model={model}/variant={variant}"))
         for model in ("m0", "m1", "m2")
         for variant in ("base", "fine_tune")
     ]
@@ -386,15 +385,14 @@ def holdout_split(spark, sf_dir):
 
 @query
 def render_chat(spark, sf_dir):
-    return tn.render_conversations(inputs.turns(spark, sf_dir), inputs.family_of(F.col("conv_id")))
+    return tn.whole_texts(tn.render_conversations(inputs.turns(spark, sf_dir), inputs.family_of(F.col("conv_id"))))
 
 
 @query
 def generation_prompt(spark, sf_dir):
-    chats = tn.collect_chat(tn.only_role(inputs.turns(spark, sf_dir), "user"))
     family = inputs.family_of(F.col("conv_id"))
-    text = tx.render_chat(F.col("messages"), family, add_generation_prompt=True)
-    return chats.select("conv_id", "part", text.alias("prompt"))
+    whole = tn.whole_texts(tn.render_conversations(inputs.turns(spark, sf_dir), family))
+    return whole.select("conv_id", F.concat("text", tx.generation_prompt(family)).alias("prompt"))
 
 
 @query
@@ -406,7 +404,7 @@ def append_eos(spark, sf_dir):
 @query
 def remove_eos(spark, sf_dir):
     raw = inputs.raw_outputs(spark, sf_dir)
-    return raw.select("conv_id", "part", tx.remove_eos(F.col("text"), "<|im_end|>").alias("text"))
+    return raw.select("conv_id", tx.remove_eos(F.col("text"), "<|im_end|>").alias("text"))
 
 
 @query
@@ -415,7 +413,6 @@ def extract_response(spark, sf_dir):
     text, family = F.col("text"), F.col("model_family")
     return raw.select(
         "conv_id",
-        "part",
         "model_family",
         tx.extract_response(text, family).alias("answer"),
         tx.extract_response(text, family, clean=True).alias("clean_answer"),
@@ -617,12 +614,7 @@ def _generate(spark, sf_dir):
     return generate_responses(prompts, stand_ins.load_adder, {"slip": 5}).drop("prompt")
 
 
-def _shouted(spark, sf_dir):
-    return map_records(inputs.pairs(spark, sf_dir), stand_ins.question_and_length, "conv_id bigint, text string")
-
-
 QUERIES["generate_responses"] = _generate
-QUERIES["map_records"] = _shouted
 
 
 # --- composite jobs ----------------------------------------------------------------------------------------
@@ -656,15 +648,4 @@ def compare_all(spark, sf_dir):
 
 @query
 def replay_log(spark, sf_dir):
-    rows = jobs.replay_log(inputs.chatlog(inputs.table(spark, sf_dir, "events")))
-    return rows.select(
-        "user_id",
-        "conversation",
-        "message_no",
-        "event_id",
-        "system_message",
-        "temperature",
-        "part",
-        F.size("messages").cast("bigint").alias("n_messages"),
-        F.md5(message_text("messages")).alias("prompt_md5"),
-    )
+    return jobs.replay_log(inputs.chatlog(inputs.table(spark, sf_dir, "events")))

@@ -22,11 +22,6 @@ def load_adder():
     return generate
 
 
-def piece_lengths(text: str) -> list[int]:
+def piece_lengths(texts: list[str]) -> list[list[int]]:
     """A stand-in for a tokenizer: the length of each whitespace-separated piece."""
-    return [len(piece) for piece in text.split()]
-
-
-def question_and_length(record: dict) -> dict:
-    """A record transform: the question and the length of its answer."""
-    return {"conv_id": record["conv_id"], "text": f"{record['user']}|{len(record['assistant'])}"}
+    return [[len(piece) for piece in text.split()] for text in texts]

@@ -7,7 +7,10 @@ PAIR = T.StructType([T.StructField("user", T.StringType()), T.StructField("assis
 MESSAGE = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
 
 MESSAGE_LIST = T.StructType(
-    [T.StructField("conv_id", T.LongType()), T.StructField("messages", T.ArrayType(MESSAGE))]
+    [
+        T.StructField("conv_id", T.LongType()),
+        T.StructField("messages", T.ArrayType(T.StructType([T.StructField("turn", T.LongType()), *MESSAGE.fields]))),
+    ]
 )
 
 TURN = T.StructType(

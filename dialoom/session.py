@@ -49,24 +49,6 @@ def work_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def checkpointed(df):
-    """`df` written once to the shared folder, with its lineage cut there."""
-    spark = df.sparkSession
-    root = work_root(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return df.checkpoint(eager=True)
-
-
-def spread(df):
-    """A scan with fewer partitions than cores dealt out over them; any larger scan as it is.
-
-    For heavy column functions over a table of few or unsplittable files.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def streaming_session(spark: SparkSession) -> SparkSession:
     """A sibling session for stateful streams: RocksDB state, one state partition per core.
 

@@ -16,7 +16,10 @@ def read_pairs(spark: SparkSession, path: str, extra_schema: T.StructType | None
 
 
 def read_turns(spark: SparkSession, path: str, layout: str = "turns") -> DataFrame:
-    """The turn table, from Parquet turns or from JSON lines with one message list each."""
+    """The turn table, from Parquet turns or from JSON lines with one message list each.
+
+    A list may be a part of a conversation if its messages have their turns; without turns it is numbered from 0.
+    """
     if layout == "turns":
         return spark.read.schema(schemas.TURN).parquet(path)
     if layout == "messages":
@@ -68,15 +71,20 @@ def _stream(spark, path: str, layout: str, schema: T.StructType, files_per_batch
     return reader.format(layout).load(path)
 
 
-def stream_sink(df: DataFrame, path: str, checkpoint: str):
-    """Appends what is available now to Parquet and waits until it is done; returns the ended query."""
+def stream_sink(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """Appends a stream to Parquet and returns its query.
+
+    Without a `trigger` what is available now is taken and waited for. With one, as `writeStream.trigger` takes
+    it, such as {"processingTime": "10 seconds"}, the query stays up and is the caller's to stop.
+    """
     query = (
         df.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
-    query.awaitTermination()
+    if trigger is None:
+        query.awaitTermination()
     return query

@@ -48,13 +48,20 @@ def stream_tags(chunks: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     )
 
 
-def stream_replay(log: DataFrame, folder: str, checkpoint: str) -> None:
+def _finished(query, trigger: dict | None):
+    if trigger is None:
+        query.awaitTermination()
+    return query
+
+
+def stream_replay(log: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None):
     """Live replay: each micro-batch's messages go to `<folder>/messages`, the sessions' state to `<folder>/state`.
 
     A session's rows must follow the rows of earlier micro-batches. Keyed state would bring all rows of a
     session in a micro-batch to one task; here the batch operators cut a long session into blocks, and only
     one state row for each session passes from batch to batch. Both writes are named after the batch, so a
-    repeated batch replaces its own files.
+    repeated batch replaces its own files. Without a `trigger` the run ends with what is available; with one the
+    query is the caller's to stop.
     """
     spark = log.sparkSession
 
@@ -69,10 +76,10 @@ def stream_replay(log: DataFrame, folder: str, checkpoint: str) -> None:
     query = (
         log.writeStream.foreachBatch(advance)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
-    query.awaitTermination()
+    return _finished(query, trigger)
 
 
 def stream_score(samples: DataFrame) -> DataFrame:
@@ -80,7 +87,7 @@ def stream_score(samples: DataFrame) -> DataFrame:
     return exact_match_mean(score(samples), ["model", "variant", "task"])
 
 
-def run_totals(df: DataFrame, path: str, checkpoint: str) -> None:
+def run_totals(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
     """Writes the running totals after each micro-batch to `path`, replacing the previous ones."""
 
     def keep(batch: DataFrame, batch_id: int) -> None:
@@ -90,7 +97,7 @@ def run_totals(df: DataFrame, path: str, checkpoint: str) -> None:
         df.writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(keep)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
-    query.awaitTermination()
+    return _finished(query, trigger)

@@ -1,4 +1,7 @@
-"""Keyed state behind the streaming jobs. Rows of a key that a micro-batch completes never touch the state."""
+"""Keyed state behind the streaming jobs.
+
+Of a finished reply one number stays, so that repeats of its chunks are not told again; a time to live drops it.
+"""
 
 from __future__ import annotations
 
@@ -13,6 +16,11 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def _chunks(frame: pd.DataFrame) -> Iterator[tuple[int, str]]:
+    """Chunks by number; a null chunk is an empty one."""
+    return zip(frame["seq"].tolist(), ("" if chunk is None else chunk for chunk in frame["chunk"].tolist()))
+
+
 class AssembleReplies(StatefulProcessor):
     """Collects the chunks of a reply by number and emits the text once all up to the last are there."""
 
@@ -22,31 +30,32 @@ class AssembleReplies(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.waiting = handle.getMapState("waiting", "seq bigint", "chunk string", self.ttl_ms)
         self.last = handle.getValueState("last", "seq bigint", self.ttl_ms)
+        self.done = handle.getValueState("done", "at bigint", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if self.done.exists():  # a repeat of what has been told
+            return
         new: dict[int, str] = {}
         last = None
         for frame in rows:
-            new.update(zip(frame["seq"].tolist(), frame["chunk"].tolist()))
+            new.update(_chunks(frame))
             ends = frame.loc[frame["is_last"], "seq"]
             if len(ends):
                 last = int(ends.iloc[0])
-        if last is not None and len(new) == last + 1:
-            chunks = new
-        else:
-            chunks = dict(new)
-            for (seq,), (chunk,) in self.waiting.iterator():
-                chunks.setdefault(seq, chunk)
-            stored = self.last.get()
-            last = last if last is not None else (stored[0] if stored else None)
-            if last is None or len(chunks) <= last:
-                for seq, chunk in new.items():
-                    self.waiting.updateValue((seq,), (chunk,))
-                if last is not None:
-                    self.last.update((last,))
-                return
-            self.waiting.clear()
-            self.last.clear()
+        chunks = dict(new)
+        for (seq,), (chunk,) in self.waiting.iterator():
+            chunks.setdefault(seq, chunk)
+        stored = self.last.get()
+        last = last if last is not None else (stored[0] if stored else None)
+        if last is None or len(chunks) <= last:
+            for seq, chunk in new.items():
+                self.waiting.updateValue((seq,), (chunk,))
+            if last is not None:
+                self.last.update((last,))
+            return
+        self.waiting.clear()
+        self.last.clear()
+        self.done.update((last,))
         text = "".join(chunks[seq] for seq in sorted(chunks) if chunks[seq].strip())
         yield pd.DataFrame({"rid": [key[0]], "response": [text]})
 
@@ -99,13 +108,16 @@ class TagSections(StatefulProcessor):
             "place", "section string, buffer string, next_seq bigint, piece_no bigint, last_seq bigint", self.ttl_ms
         )
         self.early = handle.getMapState("early", "seq bigint", "chunk string", self.ttl_ms)
+        self.done = handle.getValueState("done", "at bigint", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if self.done.exists():  # a repeat of what has been told
+            return
         stored = self.place.get()
         section, buffer, next_seq, piece_no, last = stored if stored else ("text", "", 0, 0, -1)
         new: dict[int, str] = {}
         for frame in rows:
-            new.update(zip(frame["seq"].tolist(), frame["chunk"].tolist()))
+            new.update(_chunks(frame))
             ends = frame.loc[frame["is_last"], "seq"]
             if len(ends):
                 last = int(ends.iloc[0])
@@ -124,9 +136,9 @@ class TagSections(StatefulProcessor):
         pieces, section, buffer = read_sections(section, buffer + "".join(ready), final)
 
         if final:
-            if stored:
-                self.place.clear()
-                self.early.clear()
+            self.place.clear()
+            self.early.clear()
+            self.done.update((last,))
         else:
             for seq, chunk in new.items():
                 if seq > next_seq:

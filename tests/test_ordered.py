@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from dialoom.operators import replay as rp
 from dialoom.operators import turns as tn
-from dialoom.operators.ordered import Running, part_of, with_next, with_running
+from dialoom.operators import ordered as ordered_module
+from dialoom.operators.ordered import Running, in_ranges, part_of, with_next, with_running
 
 ROLES = ["user", "assistant", "user", "assistant", "system"]
 
@@ -52,11 +53,10 @@ def test_running_values_across_blocks(turns):
     )
     everywhere = with_running(turns, ["conv_id"], part_of(F.col("turn"), 16), ["turn"], values)
     assert rows_of(everywhere) == rows_of(plain)
-    from dialoom.operators.ordered import long_keys
-
-    long = long_keys(turns, ["conv_id"], 50)
-    assert sorted(r[0] for r in long.collect()) == [0, 2]
-    assert rows_of(with_running(turns, ["conv_id"], part_of(F.col("turn"), 16), ["turn"], values, long)) == rows_of(plain)
+    ranged = in_ranges(turns, ["conv_id", "turn"])
+    assert ranged.where("conv_id = 0").select("_range").distinct().count() > 1
+    by_range = with_running(ranged, ["conv_id"], F.col("_range"), ["turn"], values).drop("_range")
+    assert rows_of(by_range) == rows_of(plain)
 
 
 def test_running_rejects_unknown_kinds(turns):
@@ -76,16 +76,54 @@ def test_parts_hold_the_whole_conversation(turns):
     assert by_conv == expected
 
 
-def test_history_is_parts_before_and_own_messages(turns):
-    parts = {(c.conv_id, c.part): [m.content for m in c.messages] for c in tn.collect_chat(turns, size=16).collect()}
+def test_prompts_are_whole(turns, monkeypatch):
     ordered = sorted(turns.collect(), key=lambda r: (r.conv_id, r.turn))
-    seen = 0
-    for row in tn.prompt_history(turns, size=16).collect():
-        prompt = [m for p in range(row.part) for m in parts.get((row.conv_id, p), [])]
-        prompt += [m.content for m in row.messages]
-        assert prompt == [r.text for r in ordered if r.conv_id == row.conv_id and r.turn <= row.turn]
-        seen += 1
-    assert seen == sum(r.role == "user" for r in ordered)
+    targets = turns.where("role = 'user'").select("conv_id", "turn")
+    prompts = {(r.conv_id, r.turn): [m.content for m in r.messages] for r in tn.prompts_for(turns, targets).collect()}
+    assert len(prompts) == sum(r.role == "user" for r in ordered)
+    for (conv, turn), prompt in prompts.items():
+        assert prompt == [r.text for r in ordered if r.conv_id == conv and r.turn <= turn]
+    found = {}
+    for size in (512, 2):
+        monkeypatch.setattr(ordered_module, "TURNS_PER_PART", size)
+        found[size] = rows_of(tn.prompt_history(turns))
+    assert found[512] == found[2]
+    assert {(c, t): n for c, t, n, _, _ in found[2]} == {key: len(p) for key, p in prompts.items()}
+    swapped = turns.withColumn("text", F.when(F.col("conv_id") == 2, F.concat("text", F.lit("x"))).otherwise(F.col("text")))
+    changed = {r[:2] for r in set(rows_of(tn.prompt_history(swapped))) - set(found[2])}
+    assert changed == {key for key in prompts if key[0] == 2}
+
+
+LONG = [(5, t, ["system", "user", "assistant"][0 if t == 0 else 1 + (t + 1) % 2], f"text {t}") for t in range(1100)]
+
+
+@pytest.mark.parametrize("size", [512, 2])
+def test_registered_paths_take_conversations_whole(spark, monkeypatch, tmp_path, size):
+    """The queries over parts against their uncut twins, on one conversation of 1,100 turns and on small ones."""
+    import shutil
+
+    from compare import differences, duck
+
+    from dialoom.plans.oracle import ORACLE
+    from dialoom.plans.queries import QUERIES
+
+    monkeypatch.setattr(ordered_module, "TURNS_PER_PART", size)
+    folder = str(tmp_path / "sf")
+    shutil.copytree("/root/testdata/sf0.001", folder, ignore=lambda _, names: [n for n in names if n.startswith("conversations")])
+    small = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").where("conv_id > 5")
+    long = spark.createDataFrame(LONG, small.schema)
+    small.unionByName(long).coalesce(1).toPandas().to_parquet(f"{folder}/conversations.parquet", index=False)
+    con = duck(folder)
+    for name in ("prompt_history", "prompts_for", "collect_chat", "read_turns", "render_chat", "generation_prompt",
+                 "extract_response", "keep_extracted", "extraction_rate", "response_spans", "prompt_spans"):
+        assert differences(con, QUERIES[name](spark, folder), ORACLE[name]) is None, name
+
+
+def test_parts_say_where_they_start(turns):
+    for family in ("qwen-2.5", "mistral"):
+        whole = {r.conv_id: r.text for r in tn.whole_texts(tn.render_conversations(turns, family)).collect()}
+        for part in tn.render_conversations(turns, family).collect():
+            assert whole[part.conv_id][part.start_pos :].startswith(part.text)
 
 
 def test_spans_point_at_the_answers(turns):
@@ -113,11 +151,12 @@ def test_system_turns(turns):
 
 
 def test_assemble_in_ranges(spark):
-    rows = [("a", i, f"c{i}" if i % 7 else " \n") for i in range(100)] + [("b", 0, "x")]
+    rows = [("a", i, f"c{i}" if i % 7 else " \n") for i in range(100)] + [("b", 0, "x"), ("b", 0, "x")]
+    rows += [("blank", 0, " "), ("blank", 1, None)]
     random.shuffle(rows)
     chunks = spark.createDataFrame(rows, "rid string, seq long, chunk string")
     found = {r.rid: r.response for r in tn.assemble(chunks, size=8).collect()}
-    assert found == {"a": "".join(f"c{i}" for i in range(100) if i % 7), "b": "x"}
+    assert found == {"a": "".join(f"c{i}" for i in range(100) if i % 7), "b": "x", "blank": ""}
 
 
 # --- log replay -------------------------------------------------------------------------------------------
@@ -165,18 +204,34 @@ def log(spark):
     return df.select("user_id", "event_id", F.timestamp_seconds("at").alias("ts"), "input").repartition(4).cache()
 
 
-@pytest.mark.parametrize("long_rows", [1_000_000, 100, 0])
-def test_replay(log, long_rows):
-    assert rows_of(rp.replay(rp.parse_log(log), long_rows)) == replay_plainly(log_rows())
+@pytest.mark.parametrize("ranges", ["1", "4", "40"])
+def test_replay(spark, log, ranges):
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    try:
+        assert rows_of(rp.replay(rp.parse_log(log))) == replay_plainly(log_rows())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_a_session_inside_one_second_is_split(spark):
+    burst = spark.range(4000).select(
+        F.lit(1).cast("bigint").alias("user_id"),
+        F.col("id").alias("event_id"),
+        F.timestamp_seconds(F.lit(5)).alias("ts"),
+        F.when(F.col("id") % 1000 == 999, "/new").otherwise("hi").alias("input"),
+    )
+    ranged = in_ranges(rp.parse_log(burst), ["user_id", *rp.ORDER])
+    assert ranged.groupBy("_range").count().agg(F.max("count")).first()[0] < 2500
+    found = rp.replay(rp.parse_log(burst)).groupBy("conversation").agg(F.count("*"), F.max("message_no")).collect()
+    assert sorted(map(tuple, found)) == [(c, 999, 998) for c in range(4)]
 
 
-@pytest.mark.parametrize("long_rows", [1_000_000, 20])
-def test_replay_in_parts(spark, log, long_rows):
+def test_replay_in_parts(spark, log):
     state = spark.createDataFrame([], rp.STATE)
     found = []
     for low, high in [(-1, 100), (100, 101), (101, 350), (350, 2000)]:
         part = log.where((F.unix_seconds("ts") / 400 > low) & (F.unix_seconds("ts") / 400 <= high))
-        rows = rp.continue_replay(rp.parse_log(part), state, long_rows)
+        rows = rp.continue_replay(rp.parse_log(part), state)
         found += rp.messages_of(rows).collect()
         state = spark.createDataFrame(rp.state_of(rows).collect(), rp.STATE)
     assert sorted(map(tuple, found), key=repr) == replay_plainly(log_rows())
@@ -188,8 +243,9 @@ def test_local_timestamps_are_cut_like_instants(spark, log):
     try:
         local = log.withColumn("ts", F.expr("timestamp_ntz'2024-03-09 12:00:00' + make_dt_interval(0, 0, 0, event_id * 400)"))
         assert local.schema["ts"].dataType.typeName() == "timestamp_ntz"
-        blocked = rp.segment_log(rp.parse_log(local), 0).select("user_id", "event_id", "conversation")
-        plain = rp.segment_log(rp.parse_log(local)).select("user_id", "event_id", "conversation")
-        assert rows_of(blocked) == rows_of(plain)
+        found = rp.segment_log(rp.parse_log(local)).select("user_id", "event_id", "conversation")
+        as_instants = local.withColumn("ts", F.col("ts").cast("timestamp"))
+        plain = rp.segment_log(rp.parse_log(as_instants)).select("user_id", "event_id", "conversation")
+        assert found.count() == plain.count() > 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -60,8 +60,9 @@ def test_batches(rows):
 
 
 def test_length_order(rows):
-    found = [tuple(r) for r in pk.length_order(rows, ["conv_id", "turn"], 4).collect()]
-    assert found == sorted(map(tuple, rows.collect()), key=lambda r: (-r[2], r[0], r[1]))
+    found = sorted(pk.length_order(rows, ["conv_id", "turn"], 4).collect(), key=lambda r: r.position)
+    expected = sorted(map(tuple, rows.collect()), key=lambda r: (-r[2], r[0], r[1]))
+    assert [tuple(r) for r in found] == [(*row, i) for i, row in enumerate(expected)]
 
 
 def test_holdout_split(rows):

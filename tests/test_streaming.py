@@ -53,8 +53,7 @@ def run(spark, build, folder):
 def test_assembling_over_batches_equals_the_batch_operator(spark, chunk_folder):
     found = run(spark, jobs.stream_assemble, chunk_folder)
     batch = tn.assemble(spark.read.parquet(chunk_folder))
-    # A reply of blank chunks alone has no row in the batch form and an empty text in the stream.
-    streamed = {r.rid: r.response for r in found.collect() if r.response}
+    streamed = {r.rid: r.response for r in found.collect()}
     assert streamed == {r.rid: r.response for r in batch.collect()}
     assert found.count() == len(replies())
 
@@ -72,6 +71,37 @@ def test_sections_over_batches_equal_the_text_split(spark, chunk_folder):
     assert {k: "".join(v) for k, v in found.items()} == expected
 
 
+def test_repeats_and_nulls_are_told_once(spark):
+    rows = [("a", 0, "x<output>", False), ("a", 1, "y", True), ("n", 0, None, True)]
+    folder = work_path(spark, "test_repeats")
+    for _ in range(4):
+        spark.createDataFrame(rows, "rid string, seq long, chunk string, is_last boolean").coalesce(1).write.mode(
+            "append"
+        ).parquet(folder)
+    assert sorted(map(tuple, run(spark, jobs.stream_assemble, folder).collect())) == [("a", "x<output>y"), ("n", "")]
+    pieces = run(spark, jobs.stream_tags, folder).select("rid", "piece_no", "section", "text").collect()
+    assert sorted(map(tuple, pieces)) == [("a", 0, "text", "x"), ("a", 1, "output", "y")]
+
+
+def test_a_stream_with_a_trigger_stays_up_and_forgets(spark, chunk_folder):
+    import time
+
+    sibling = streaming_session(spark)
+    out = work_path(spark, "test_up")
+    stream = jobs.stream_assemble(files.stream_chunks(sibling, chunk_folder), ttl_ms=60_000)
+    query = files.stream_sink(stream, f"{out}/data", f"{out}/checkpoint", {"processingTime": "1 second"})
+    try:
+        for _ in range(120):
+            if query.recentProgress and sum(p["numInputRows"] for p in query.recentProgress):
+                break
+            time.sleep(0.5)
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    assert spark.read.parquet(f"{out}/data").count() == len(replies())
+
+
 def test_sections_do_not_depend_on_the_cuts():
     rng = random.Random(10)
     pieces = ["<reasoning>", "</reasoning>", "<output>", "</output>", "a", "<", "</", "\n"]
