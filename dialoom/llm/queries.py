@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 
 from dialoom.llm.byte_bpe import encode_texts, read_ranks, round_trip_digests
+from dialoom.llm.centroids import cluster_vectors
+from dialoom.llm.centroids import oracle as centroid_oracle
 from dialoom.llm.common import table
 from dialoom.llm.exact_dedup import find_copies
 from dialoom.llm.id_shards import read_documents, write_ids
+from dialoom.llm.interpolation import score_texts
 from dialoom.llm.license_scan import oracle as license_oracle
 from dialoom.llm.license_scan import scan_licenses
 from dialoom.llm.metric_search import top_k
@@ -18,6 +21,7 @@ from dialoom.llm.ngram_join import jaccard_components
 from dialoom.llm.privacy import find_private
 from dialoom.llm.quality import score_quality
 from dialoom.llm.token_counts import count_tokens
+from dialoom.llm.whitening import whiten
 from dialoom.session import work_path
 
 RANKS, BYTE_BPE, WORD_BPE = map(
@@ -69,7 +73,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op1_metric_search, op2_exact_dedup, op3_byte_bpe, op4_token_id_output, op5_mixing, op6_license_scan, op7_quality_classifier, op8_pii, op9_ngram_jaccard_join, op10_token_counts)}
+def op11_interpolated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_metric_search, op2_exact_dedup, op3_byte_bpe, op4_token_id_output, op5_mixing, op6_license_scan, op7_quality_classifier, op8_pii, op9_ngram_jaccard_join, op10_token_counts, op11_interpolated_scores, op12_centroid_clustering, op13_whitening)}
 
 ORACLE = {
     "op1_metric_search": """
@@ -94,4 +110,5 @@ ORACLE = {
         from d window w as (partition by text_sha256)
     """,
     "op6_license_scan": license_oracle(),
+    "op12_centroid_clustering": centroid_oracle(),
 }
