@@ -13,7 +13,8 @@ Counts of n-grams reach the tokens without a row for each token. Documents are c
 `block_tokens` tokens, written once as numbers of words. A block asks for its distinct n-grams, sorted by their
 64-bit hashes, in one request to each range of hashes; a range adds up the counts of all blocks and answers each
 request with counts in the order asked. Requests number (tokens / block_tokens)**2 for each length of n-gram, so
-they are fewer than the tokens up to block_tokens**2 of them (4e12). An n-gram comes once from a block however often it occurs, so that no frequent one makes a range large.
+they are fewer than the tokens up to block_tokens**2 of them (2e13). An n-gram comes once from a block however
+often it occurs, so that no frequent one makes a range large.
 """
 
 from __future__ import annotations
@@ -32,8 +33,9 @@ from pyspark.sql import types as T
 from dialoom.llm.common import limit_batches, text_bytes, text_slices, written
 from dialoom.llm.textbytes import LOWER, PRIME, mixed, row_counts, span_hashes, words
 
-ORDER = 2
-BLOCK_TOKENS = 1 << 21
+ORDER = 3
+BLOCK_TOKENS = 1 << 22
+CHUNK_TOKENS = 1 << 18
 FOLDS, HELD_OUT, DELETED = 7, 2, 3
 ROUNDS, SETTLED = 20, 1e-5
 BUCKETS = 64
@@ -222,26 +224,29 @@ def requests(blocks: DataFrame, order: int, bits: int) -> DataFrame:
     return used.mapInArrow(run, "length int, range long, block long, kind int, grams binary, counts binary")
 
 
-ANSWER = "length int, range long, block long, kind int, kept binary, deleted binary, distinct long, distinct_kept long"
+ANSWER = "length int, range long, block long, kind int, kept binary, trained binary, distinct long, distinct_kept long"
 
 
 def answers(asked: DataFrame) -> DataFrame:
-    """For each request the counts in kept and in deleted documents; and for each range the numbers of n-grams known."""
+    """For each request the counts in kept and in all training documents; and for each range how many n-grams are known."""
 
     def run(key: tuple, asked: pd.DataFrame) -> pd.DataFrame:
         lists = [sorted_unshrunk(g) for g in asked["grams"]]
         known, place = np.unique(np.concatenate(lists), return_inverse=True)
-        kept, deleted = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
+        kept, trained = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
         places = np.split(place, np.cumsum([len(x) for x in lists])[:-1])
         for where, kind, counts in zip(places, asked["kind"], asked["counts"], strict=True):
             if kind != HELD_OUT_KIND:
-                (kept if kind == KEPT_KIND else deleted)[where] += unshrunk(counts, np.uint32)
+                own = unshrunk(counts, np.uint32)
+                trained[where] += own
+                if kind == KEPT_KIND:
+                    kept[where] += own
         out = asked[["length", "range", "block", "kind"]].copy()
-        out["kept"] = [shrunk(kept[where]) for where in places]
-        out["deleted"] = [shrunk(deleted[where]) for where in places]
+        out["kept"] = [shrunk(kept[where]) if kind == DELETED_KIND else None for where, kind in zip(places, asked["kind"], strict=True)]
+        out["trained"] = [shrunk(trained[where]) for where in places]
         out["distinct"] = out["distinct_kept"] = 0
-        total = {"distinct": int((kept + deleted > 0).sum()), "distinct_kept": int((kept > 0).sum())}
-        fact = {"length": key[0], "range": key[1], "block": -1, "kind": -1, "kept": b"", "deleted": b"", **total}
+        total = {"distinct": int((trained > 0).sum()), "distinct_kept": int((kept > 0).sum())}
+        fact = {"length": key[0], "range": key[1], "block": -1, "kind": -1, "kept": None, "trained": None, **total}
         return pd.concat([out, pd.DataFrame([fact])])
 
     return written(asked.groupBy("length", "range").applyInPandas(run, ANSWER), "answers")
@@ -265,16 +270,22 @@ class Totals:
         return shares, buckets, counts[0] / max(self.tokens, 1)
 
 
-def looked_up(rows: pd.DataFrame, tokens: np.ndarray, starts: np.ndarray, order: int) -> tuple[list, list]:
-    """Counts in kept and in deleted documents of the n-grams that end at each token, by length."""
-    kept, deleted = [], []
+def looked_up(rows: pd.DataFrame, column: str, item, order: int) -> Iterator[tuple[slice, list[np.ndarray], np.ndarray]]:
+    """For some documents of a block at a time: which they are, the counts by length of the n-grams that end at each
+    of their tokens, and where each document starts among those tokens."""
+    sizes = unshrunk(item.counts, np.int64)
+    starts = starts_of(sizes)
     rows = rows.sort_values(["length", "range"])
-    for length, gram in enumerate(grams(tokens, starts, order), 1):
-        own = rows[rows["length"] == length]
-        _, place = np.unique(gram, return_inverse=True)
-        for out, column in ((kept, "kept"), (deleted, "deleted")):
-            out.append(np.concatenate([unshrunk(x, np.int64) for x in own[column]])[place])
-    return kept, deleted
+    places, known = [], []
+    for length, gram in enumerate(grams(read_tokens(item.vocabulary, item.ranks, item.tokens), starts, order), 1):
+        places.append(np.unique(gram, return_inverse=True)[1].astype(np.uint32))
+        known.append(np.concatenate([unshrunk(x, np.int64) for x in rows.loc[rows["length"] == length, column]]))
+    first = 0
+    while first < len(sizes):
+        last = max(first + 1, int(np.searchsorted(starts + sizes, starts[first] + CHUNK_TOKENS, "right")))
+        tokens = slice(starts[first], starts[last - 1] + sizes[last - 1])
+        yield slice(first, last), [k[p[tokens]] for k, p in zip(known, places, strict=True)], starts[first:last] - starts[first]
+        first = last
 
 
 # ---- weights
@@ -303,17 +314,15 @@ def held_out_events(blocks: DataFrame, answered: DataFrame, order: int, kept: To
     def run(key: tuple, block: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         for item in block.itertuples():
-            tokens = read_tokens(item.vocabulary, item.ranks, item.tokens)
-            starts = starts_of(unshrunk(item.counts, np.int64))
-            counts, _ = looked_up(rows, tokens, starts, order)
-            shares, buckets, own = kept.ratios(counts, starts)
-            event = np.column_stack([*shares, *buckets, own])
-            _, first, often = np.unique(mixed_rows(event), return_index=True, return_counts=True)
-            out.append({"n": often.astype(np.int64).tobytes(), "events": event[first].tobytes()})
+            for _, counts, starts in looked_up(rows, "kept", item, order):
+                shares, buckets, own = kept.ratios(counts, starts)
+                event = np.column_stack([*shares, *buckets, own])
+                _, first, often = np.unique(mixed_rows(event), return_index=True, return_counts=True)
+                out.append({"n": often.astype(np.int64).tobytes(), "events": event[first].tobytes()})
         return pd.DataFrame(out, columns=["n", "events"])
 
     own = blocks.where(F.col("kind") == DELETED_KIND).select("block", "counts", "vocabulary", "ranks", "tokens")
-    replies = answered.where(F.col("kind") == DELETED_KIND).select("block", "length", "range", "kept", "deleted")
+    replies = answered.where(F.col("kind") == DELETED_KIND).select("block", "length", "range", "kept")
     met = own.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(run, "n binary, events binary")
     return written(met, "events")
 
@@ -420,28 +429,25 @@ def scored(blocks: DataFrame, answered: DataFrame, order: int, every: Totals, we
     def run(key: tuple, block: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         for item in block.itertuples():
-            tokens = read_tokens(item.vocabulary, item.ranks, item.tokens)
             sizes = unshrunk(item.counts, np.int64)
-            starts = starts_of(sizes)
-            kept, deleted = looked_up(rows, tokens, starts, order)
-            counts = [a + b for a, b in zip(kept, deleted, strict=True)]
-            chances = weights.chances(*every.ratios(counts, starts), 1 / (every.distinct + 1))
-            base = np.log10((counts[0] + 1) / (every.tokens + every.distinct + 1))
-            out.append(
-                pd.DataFrame(
-                    {
-                        "doc_id": list(item.ids),
-                        "held_out": item.kind == HELD_OUT_KIND,
-                        "n_tokens": sizes,
-                        "n_known": np.add.reduceat((counts[0] > 0).astype(np.int64), starts),
-                        "train_tokens": every.tokens,
-                        "base_score": np.add.reduceat(base, starts),
-                        "score": np.add.reduceat(np.log10(chances[-1]), starts),
-                    }
+            for some, counts, starts in looked_up(rows, "trained", item, order):
+                chances = weights.chances(*every.ratios(counts, starts), 1 / (every.distinct + 1))
+                base = np.log10((counts[0] + 1) / (every.tokens + every.distinct + 1))
+                out.append(
+                    pd.DataFrame(
+                        {
+                            "doc_id": list(item.ids[some]),
+                            "held_out": item.kind == HELD_OUT_KIND,
+                            "n_tokens": sizes[some],
+                            "n_known": np.add.reduceat((counts[0] > 0).astype(np.int64), starts),
+                            "train_tokens": every.tokens,
+                            "base_score": np.add.reduceat(base, starts),
+                            "score": np.add.reduceat(np.log10(chances[-1]), starts),
+                        }
+                    )
                 )
-            )
         return pd.concat(out) if out else pd.DataFrame(columns=["doc_id", *[c.split()[0] for c in RESULT.split(", ")]])
 
     own = blocks.select("block", "kind", "ids", "counts", "vocabulary", "ranks", "tokens")
-    replies = answered.where(F.col("block") >= 0).select("block", "length", "range", "kept", "deleted")
+    replies = answered.where(F.col("block") >= 0).select("block", "length", "range", "trained")
     return own.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(run, f"doc_id {kind}, {RESULT}")
