@@ -19,6 +19,7 @@ often it occurs, so that no frequent one makes a range large.
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Iterator
 
@@ -66,6 +67,28 @@ def sorted_unshrunk(data: bytes) -> np.ndarray:
     return np.cumsum(unshrunk(data, np.uint64), dtype=np.uint64)
 
 
+def ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values in order, the place of each value among them, and how often each occurs."""
+    order = np.argsort(values)
+    ordered = values[order]
+    first = np.ones(len(values), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    distinct = ordered[first]
+    del ordered
+    place = np.empty(len(values), np.uint32)
+    place[order] = np.cumsum(first, dtype=np.uint32) - np.uint32(1)
+    del order
+    return distinct, place, np.diff(np.flatnonzero(first), append=len(values))
+
+
+def release() -> None:
+    """Gives the memory that a block took back to the machine, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 # ---- blocks of documents
 
 
@@ -95,7 +118,9 @@ class Block:
         self.size += len(hashes)
 
     def row(self, number: int, kind: int) -> pa.RecordBatch:
-        vocabulary, place, often = np.unique(np.concatenate(self.hashes), return_inverse=True, return_counts=True)
+        hashes, self.hashes = np.concatenate(self.hashes), []
+        vocabulary, place, often = ranked(hashes)
+        del hashes
         frequent = np.argsort(-often, kind="stable")
         rank = np.empty(len(frequent), np.uint32)
         rank[frequent] = np.arange(len(frequent), dtype=np.uint32)
@@ -156,9 +181,11 @@ def encoded(docs: DataFrame, id_col: str, text_col: str, block_tokens: int) -> D
                     if block.size >= block_tokens:
                         yield open_blocks.pop(k).row((task << 32) + done, k)
                         done += 1
-        for k, block in open_blocks.items():
-            yield block.row((task << 32) + done, k)
+                        release()
+        for k in list(open_blocks):
+            yield open_blocks.pop(k).row((task << 32) + done, k)
             done += 1
+        release()
 
     fields = [
         T.StructField("block", T.LongType()),
@@ -183,10 +210,13 @@ def grams(tokens: np.ndarray, starts: np.ndarray, order: int) -> Iterator[np.nda
     gram = tokens
     yield gram
     for k in range(2, order + 1):
-        before = np.empty_like(gram)
-        before[1:] = gram[:-1]
-        before[starts] = START + np.uint64(k)
-        gram = mixed(before * np.uint64(PRIME) + tokens + np.uint64(k))
+        longer = np.empty_like(gram)
+        longer[1:] = gram[:-1]
+        longer[starts] = START + np.uint64(k)
+        for at in range(0, len(gram), CHUNK_TOKENS):
+            some = slice(at, at + CHUNK_TOKENS)
+            longer[some] = mixed(longer[some] * np.uint64(PRIME) + tokens[some] + np.uint64(k))
+        gram = longer
         yield gram
 
 
@@ -201,6 +231,7 @@ def requests(blocks: DataFrame, order: int, bits: int) -> DataFrame:
                 tokens = read_tokens(*(batch[c][i].as_py() for c in ("vocabulary", "ranks", "tokens")))
                 for length, gram in enumerate(grams(tokens, starts_of(counts), order), 1):
                     distinct, often = np.unique(gram, return_counts=True)
+                    del gram
                     ranges = (distinct >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(distinct), np.int64)
                     bounds = np.flatnonzero(np.diff(ranges, prepend=-1, append=-1))
                     cuts = list(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
@@ -219,6 +250,8 @@ def requests(blocks: DataFrame, order: int, bits: int) -> DataFrame:
                         ],
                         ["length", "range", "block", "kind", "grams", "counts"],
                     )
+                del tokens
+                release()
 
     used = blocks.select("block", "kind", "counts", "vocabulary", "ranks", "tokens")
     return used.mapInArrow(run, "length int, range long, block long, kind int, grams binary, counts binary")
@@ -232,9 +265,10 @@ def answers(asked: DataFrame) -> DataFrame:
 
     def run(key: tuple, asked: pd.DataFrame) -> pd.DataFrame:
         lists = [sorted_unshrunk(g) for g in asked["grams"]]
-        known, place = np.unique(np.concatenate(lists), return_inverse=True)
-        kept, trained = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
+        known, place, _ = ranked(np.concatenate(lists))
         places = np.split(place, np.cumsum([len(x) for x in lists])[:-1])
+        del lists
+        kept, trained = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
         for where, kind, counts in zip(places, asked["kind"], asked["counts"], strict=True):
             if kind != HELD_OUT_KIND:
                 own = unshrunk(counts, np.uint32)
@@ -247,6 +281,7 @@ def answers(asked: DataFrame) -> DataFrame:
         out["distinct"] = out["distinct_kept"] = 0
         total = {"distinct": int((trained > 0).sum()), "distinct_kept": int((kept > 0).sum())}
         fact = {"length": key[0], "range": key[1], "block": -1, "kind": -1, "kept": None, "trained": None, **total}
+        release()
         return pd.concat([out, pd.DataFrame([fact])])
 
     return written(asked.groupBy("length", "range").applyInPandas(run, ANSWER), "answers")
@@ -276,15 +311,19 @@ def looked_up(rows: pd.DataFrame, column: str, item, order: int) -> Iterator[tup
     sizes = unshrunk(item.counts, np.int64)
     starts = starts_of(sizes)
     rows = rows.sort_values(["length", "range"])
-    places, known = [], []
+    counts = []
     for length, gram in enumerate(grams(read_tokens(item.vocabulary, item.ranks, item.tokens), starts, order), 1):
-        places.append(np.unique(gram, return_inverse=True)[1].astype(np.uint32))
-        known.append(np.concatenate([unshrunk(x, np.int64) for x in rows.loc[rows["length"] == length, column]]))
+        place = ranked(gram)[1]
+        del gram
+        known = np.concatenate([unshrunk(x, np.int64) for x in rows.loc[rows["length"] == length, column]])
+        counts.append(known.astype(np.min_scalar_type(known.max()))[place])
+        del place, known
+    release()
     first = 0
     while first < len(sizes):
         last = max(first + 1, int(np.searchsorted(starts + sizes, starts[first] + CHUNK_TOKENS, "right")))
         tokens = slice(starts[first], starts[last - 1] + sizes[last - 1])
-        yield slice(first, last), [k[p[tokens]] for k, p in zip(known, places, strict=True)], starts[first:last] - starts[first]
+        yield slice(first, last), [c[tokens].astype(np.int64) for c in counts], starts[first:last] - starts[first]
         first = last
 
 
