@@ -348,36 +348,37 @@ class Weights:
 
 
 def held_out_events(blocks: DataFrame, answered: DataFrame, order: int, kept: Totals) -> DataFrame:
-    """(n, shares, buckets, own) of the distinct events in deleted documents: how often each was seen, in bytes."""
+    """Distinct events in deleted documents, by column: how often each was seen, its shares, own frequency and buckets."""
 
     def run(key: tuple, block: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         for item in block.itertuples():
             for _, counts, starts in looked_up(rows, "kept", item, order):
                 shares, buckets, own = kept.ratios(counts, starts)
-                event = np.column_stack([*shares, *buckets, own])
-                _, first, often = np.unique(mixed_rows(event), return_index=True, return_counts=True)
-                out.append({"n": often.astype(np.int64).tobytes(), "events": event[first].tobytes()})
-        return pd.DataFrame(out, columns=["n", "events"])
+                _, first, often = np.unique(mixed_columns([*shares, *buckets, own]), return_index=True, return_counts=True)
+                columns = [often.astype(np.uint32), *(x[first] for x in (*shares, own)), *(b[first].astype(np.uint8) for b in buckets)]
+                out.append({"event": [shrunk(c) for c in columns]})
+            release()
+        return pd.DataFrame(out, columns=["event"])
 
     own = blocks.where(F.col("kind") == DELETED_KIND).select("block", "counts", "vocabulary", "ranks", "tokens")
     replies = answered.where(F.col("kind") == DELETED_KIND).select("block", "length", "range", "kept")
-    met = own.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(run, "n binary, events binary")
+    met = own.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(run, "event array<binary>")
     return written(met, "events")
 
 
-def mixed_rows(values: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each row of doubles."""
-    out = np.zeros(len(values), np.uint64)
-    for column in np.ascontiguousarray(values.T).view(np.uint64):
-        out = mixed(out * np.uint64(PRIME) + column + np.uint64(1))
+def mixed_columns(columns: list[np.ndarray]) -> np.ndarray:
+    """A 64-bit hash of each row of the columns."""
+    out = np.zeros(len(columns[0]), np.uint64)
+    for column in columns:
+        out = mixed(out * np.uint64(PRIME) + column.astype(np.float64).view(np.uint64) + np.uint64(1))
     return out
 
 
-def read_events(n: bytes, events: bytes, order: int) -> tuple[np.ndarray, list, list, np.ndarray]:
-    often = np.frombuffer(n, np.int64).astype(np.float64)
-    columns = np.frombuffer(events).reshape(len(often), 2 * order - 1).T
-    return often, list(columns[: order - 1]), [b.astype(np.int64) for b in columns[order - 1 : -1]], columns[-1]
+def read_event(columns: list[bytes], order: int) -> tuple[np.ndarray, list, list, np.ndarray]:
+    often = unshrunk(columns[0], np.uint32).astype(np.float64)
+    *shares, own = (unshrunk(c, np.float64) for c in columns[1 : order + 1])
+    return often, shares, [unshrunk(c, np.uint8) for c in columns[order + 1 :]], own
 
 
 def expected(weights: Weights, often: np.ndarray, shares: list, buckets: list, own: np.ndarray, uniform: float) -> list[tuple]:
@@ -404,13 +405,14 @@ def learned(events: DataFrame, order: int, uniform: float, rounds: int = ROUNDS)
 
         def run(batches: Iterator[pa.RecordBatch], now: Weights = now) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for i in range(len(batch)):
-                    event = read_events(batch["n"][i].as_py(), batch["events"][i].as_py(), order)
-                    rows = expected(now, *event, uniform)
+                for columns in batch["event"]:
+                    rows = expected(now, *read_event(columns.as_py(), order), uniform)
+                    kinds = (pa.int32(), pa.int32(), pa.float64(), pa.float64())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.float64(), pa.float64()), strict=True)],
+                        [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
                         ["length", "bucket", "taken", "reached"],
                     )
+            release()
 
         parts = events.mapInArrow(run, "length int, bucket int, taken double, reached double")
         sums = parts.groupBy("length", "bucket").agg(F.sum("taken").alias("taken"), F.sum("reached").alias("reached"))
