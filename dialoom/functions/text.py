@@ -78,25 +78,20 @@ def folds_system(family: str | Column) -> Column:
 
 
 def fold_messages(messages: Column) -> Column:
-    """First system message moved in front of the first user text; unchanged without both."""
+    """First system message moved in front of the first user text; unchanged without both. Other fields stay."""
 
     def position(role: str) -> Column:
         return F.array_position(F.transform(messages, lambda m: m["role"]), F.lit(role))
 
     system_at, user_at = position("system"), position("user")
     prefix = F.concat(F.get(messages, (system_at - 1).cast("int"))["content"], F.lit("\n\n"))
-    numbered = F.transform(
+    led = F.transform(
         messages,
-        lambda m, i: F.struct(
-            m["role"].alias("role"),
-            F.when(i + 1 == user_at, F.concat(prefix, m["content"])).otherwise(m["content"]).alias("content"),
-            (i + 1 == system_at).alias("moved"),
+        lambda m, i: m.withField(
+            "content", F.when(i + 1 == user_at, F.concat(prefix, m["content"])).otherwise(m["content"])
         ),
     )
-    folded = F.transform(
-        F.filter(numbered, lambda m: ~m["moved"]),
-        lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")),
-    )
+    folded = F.filter(led, lambda m, i: i + 1 != system_at)
     return F.when((system_at > 0) & (user_at > 0), folded).otherwise(messages)
 
 

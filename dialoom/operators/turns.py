@@ -106,6 +106,12 @@ def explode_messages(chats: DataFrame) -> DataFrame:
 SIGNATURE_BASE = (1 << 31) - 1
 
 
+def signed(turn: Column, message: Column) -> Column:
+    """A number of a message and its turn, for sums that tell other messages and another order."""
+    number = F.conv(F.left(F.md5(message), F.lit(7)), 16, 10).cast("bigint")
+    return F.pmod((turn + 1) * number, F.lit(SIGNATURE_BASE))
+
+
 def prompt_history(turns: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """For each user turn its prompt, all messages of the conversation up to it, in numbers.
 
@@ -114,11 +120,10 @@ def prompt_history(turns: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     order. Linear in the input for a conversation of any length; `prompts_for` gives the messages themselves.
     """
     message = F.concat("role", F.lit(">"), "text")
-    number = F.conv(F.left(F.md5(message), F.lit(7)), 16, 10).cast("bigint")
     values = [
         Running("n_messages", "sum", F.lit(1).cast("bigint")),
         Running("prompt_chars", "sum", F.length(message).cast("bigint")),
-        Running("signature", "sum", F.pmod((F.col("turn") + 1) * number, F.lit(SIGNATURE_BASE))),
+        Running("signature", "sum", signed(F.col("turn"), message)),
     ]
     return (
         with_running(turns, ["conv_id"], part_of(F.col("turn")), ["turn"], values)

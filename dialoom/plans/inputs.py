@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialoom.families import FAMILY_NAMES
+from dialoom.operators.replay import parse_log
 from dialoom.operators.turns import render_conversations, turn_pairs, whole_texts
 
 CHUNK_CHARS = 40
@@ -165,6 +166,16 @@ def chatlog(events: DataFrame) -> DataFrame:
     return events.select("user_id", "event_id", "ts", line.alias("input"))
 
 
+def outputs(events: DataFrame) -> DataFrame:
+    """Raw answers to the messages of `chatlog`: some without the marker to read them by, some empty."""
+    log = parse_log(chatlog(events)).where(F.col("kind") == "message")
+    said = F.concat(F.lit("About "), F.col("line"))
+    form = F.col("event_id") % 5
+    body = F.when(form == 1, F.lit(" \n")).when(form == 2, F.concat(F.lit(" "), said, F.lit("\n"))).otherwise(said)
+    marked = F.concat(F.lit("<|im_start|>assistant\n"), body, F.lit("<|im_end|>"))
+    return log.select("user_id", "event_id", "ts", F.when(form == 0, said).otherwise(marked).alias("output"))
+
+
 def configs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run configs (k, config, settings), one for each part: own paths, families, explicit nulls, unknown keys."""
     k = F.col("p_partkey")

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from dialoom.functions.evaluation import eval_prompt
 from dialoom.functions.text import conforms, extract_response, token_count
+from dialoom.operators.ordered import Running, with_running, written
 from dialoom.operators.packing import BATCH_SIZE, SEQUENCE_LIMIT, turn_shard
 from dialoom.operators.prepare import keep_text, training_text
 from dialoom.operators.python_functions import generate_responses
-from dialoom.operators.replay import parse_log, replay
+from dialoom.operators.replay import parse_answers, parse_log, replay_turns
 from dialoom.operators.scoring import exact_match_mean, judge_runs, score
-from dialoom.operators.turns import prompt_history, turn_pairs
+from dialoom.operators.turns import signed, turn_pairs
 from dialoom.sources.files import write_prepared
 
 
@@ -121,33 +122,29 @@ def compare_all(samples: DataFrame) -> DataFrame:
     return table.withColumn("difference", F.col("fine_tune") - F.col("base"))
 
 
-def replay_log(log: DataFrame) -> DataFrame:
+def replay_log(log: DataFrame, outputs: DataFrame | None = None, family: str | Column = "qwen-2.5") -> DataFrame:
     """Each message of a log with the settings in force and its prompt in numbers, as `prompt_history` has them.
 
-    A system message that is not empty stands before the messages and counts as one.
+    `outputs` are the raw answers to messages (`parse_answers`); those that can be read are part of the prompts
+    after them. A system message that is not empty stands before the messages and counts as one.
     """
-    messages = replay(parse_log(log))
-    conversation = F.struct("user_id", "conversation")
-    turns = messages.select(
-        conversation.alias("conv_id"),
-        F.col("message_no").alias("turn"),
-        F.lit("user").alias("role"),
-        "text",
-        "event_id",
-        "system_message",
-        "temperature",
-    )
-    history = prompt_history(turns, keep=["event_id", "system_message", "temperature"])
+    parsed = parse_log(log)
+    if outputs is not None:
+        parsed = parsed.unionByName(parse_answers(outputs, family))
+    message = F.concat("role", F.lit(">"), "text")
+    turns = replay_turns(parsed).withColumn("number", signed(F.col("message_no"), message)).drop("text")
+    signature = Running("signature", "sum", F.col("number"))
+    keys, order = ["user_id", "conversation"], ["message_no"]
+    history = with_running(written(turns, "settled"), keys, F.col("_range"), order, [signature])
     led = F.col("system_message") != ""
     system_chars = F.length("system_message") + len("system>")
-    return history.select(
-        "conv_id.user_id",
-        "conv_id.conversation",
-        F.col("turn").alias("message_no"),
+    return history.where(F.col("role") == "user").select(
+        *keys,
+        "message_no",
         "event_id",
         "system_message",
         "temperature",
-        (F.col("n_messages") + led.cast("bigint")).alias("n_messages"),
+        (F.col("message_no") + 1 + led.cast("bigint")).alias("n_messages"),
         (F.col("prompt_chars") + F.when(led, system_chars).otherwise(0)).alias("prompt_chars"),
         "signature",
     )

@@ -244,6 +244,15 @@ from fx_live where kind = 'message'""",
     ["fx_live"],
 )
 
+TABLES["fx_talk"] = (
+    f"""select user_id, conversation, event_id, role, line as text, system_message, temperature_now as temperature,
+  row_number() over (partition by user_id, conversation order by ts, event_id, role desc) - 1 as message_no from (
+  select user_id, conversation, ts, event_id, 'user' as role, line, system_message, temperature_now from fx_live where kind = 'message'
+  union all select user_id, conversation, ts, event_id, 'assistant', {strip("'About ' || line")}, system_message, temperature_now
+  from fx_live where kind = 'message' and event_id % 5 > 1) t""",
+    ["fx_live"],
+)
+
 _FAMILY_NAME = (
     "case p_partkey % 7 % 5 when 0 then 'phi-4' when 1 then 'llama-3.1' when 2 then 'mistral' when 3 then 'qwen-2.5' else 'gemma-3' end"
 )
@@ -767,3 +776,33 @@ oracle(
   from fx_messages window w as (partition by user_id, conversation order by message_no)) t""",
     "fx_messages",
 )
+oracle(
+    "replay_answers",
+    f"""select user_id, conversation, message_no, event_id, system_message, temperature,
+  n_messages + 1 as n_messages, prompt_chars + length('system>' || system_message) as prompt_chars, signature from (
+  select *, {_SIGNED.format(turn="message_no", message="role || '>' || text")}
+  from fx_talk window w as (partition by user_id, conversation order by message_no)) t
+where role = 'user'""",
+    "fx_talk",
+)
+_LAST = """select user_id, max(conversation) as conversation,
+  count(*) filter (kind = 'exit') > 0 as ended, arg_max(system_message, (ts, event_id)) as system_message,
+  arg_max(temperature_now, (ts, event_id)) as temperature
+from fx_live group by user_id"""
+oracle(
+    "stream_sessions",
+    f"""select l.user_id, l.conversation, count(t.text) as messages,
+  cast(coalesce(sum(length(t.role || '>' || t.text)), 0) as bigint) as chars,
+  any_value(l.system_message) as system_message, any_value(l.temperature) as temperature, any_value(l.ended) as ended
+from ({_LAST}) l left join fx_talk t on t.user_id = l.user_id and t.conversation = l.conversation
+group by l.user_id, l.conversation""",
+    "fx_live",
+    "fx_talk",
+)
+oracle(
+    "stream_history",
+    f"""select t.user_id, t.message_no, t.role, t.text
+from fx_talk t join ({_LAST}) l on t.user_id = l.user_id and t.conversation = l.conversation""",
+    "fx_live",
+    "fx_talk",
+)

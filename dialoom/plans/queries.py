@@ -574,13 +574,36 @@ def stream_tags(spark, sf_dir):
     )
 
 
+def _replayed(spark, sf_dir):
+    """Runs the live replay of the log with its answers and returns its folder."""
+    sibling = streaming_session(spark)
+    events = _table_stream(sibling, sf_dir, "events")
+    folder = work_path(spark, "replay")
+    streams.stream_replay(
+        inputs.chatlog(events), folder, f"{folder}/checkpoint", outputs=inputs.outputs(_table_stream(sibling, sf_dir, "events"))
+    )
+    return folder
+
+
 @query
 def stream_replay(spark, sf_dir):
     sibling = streaming_session(spark)
     log = inputs.chatlog(_table_stream(sibling, sf_dir, "events"))
     folder = work_path(spark, "replay")
     streams.stream_replay(log, folder, f"{folder}/checkpoint")
-    return spark.read.parquet(f"{folder}/messages").drop("batch")
+    return streams.replayed_messages(spark, folder).drop("_range", "role", "prompt_chars")
+
+
+@query
+def stream_sessions(spark, sf_dir):
+    folder = _replayed(spark, sf_dir)
+    return streams.live_sessions(spark, f"{folder}/checkpoint")
+
+
+@query
+def stream_history(spark, sf_dir):
+    folder = _replayed(spark, sf_dir)
+    return streams.live_history(spark, folder, f"{folder}/checkpoint")
 
 
 @query
@@ -649,3 +672,9 @@ def compare_all(spark, sf_dir):
 @query
 def replay_log(spark, sf_dir):
     return jobs.replay_log(inputs.chatlog(inputs.table(spark, sf_dir, "events")))
+
+
+@query
+def replay_answers(spark, sf_dir):
+    events = inputs.table(spark, sf_dir, "events")
+    return jobs.replay_log(inputs.chatlog(events), inputs.outputs(events))

@@ -39,16 +39,40 @@ def work_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _files(spark: SparkSession, path: str):
+    """A path in the JVM and the file system it is on."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path, jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A folder below the work root that no other run uses; it goes when the session's JVM ends."""
     path = f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    jvm_path, files = _files(spark, path)
     files.mkdirs(jvm_path.getParent())
     files.deleteOnExit(jvm_path)
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    jvm_path, files = _files(spark, path)
+    return files.exists(jvm_path)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    jvm_path, files = _files(spark, path)
+    files.mkdirs(jvm_path)
+
+
+def publish(spark: SparkSession, written: str, path: str) -> None:
+    """Moves a written folder to the place where readers look, so that they see all of its files or none."""
+    source, files = _files(spark, written)
+    target, _ = _files(spark, path)
+    files.mkdirs(target.getParent())
+    if not files.rename(source, target):
+        raise OSError(f"could not move {written} to {path}")
+
+
 def streaming_session(spark: SparkSession) -> SparkSession:
     """A sibling session for stateful streams: RocksDB state, one state partition per core.
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from dialoom.functions.chatlog import DEFAULT_SYSTEM_MESSAGE, DEFAULT_TEMPERATURE
+from dialoom.operators.ordered import in_ranges
 from dialoom.operators.prepare import keep_text, training_text
-from dialoom.operators.replay import STATE, continue_replay, messages_of, parse_log, state_of
+from dialoom.operators.replay import ORDER, closings, located, parse_answers, parse_log, settle
 from dialoom.operators.scoring import exact_match_mean, score
-from dialoom.streaming.state import AssembleReplies, TagSections
+from dialoom.session import exists, make_folder, publish
+from dialoom.sources.files import stream_sink
+from dialoom.streaming.state import AssembleReplies, ReplaySessions, TagSections
 
 
 def stream_prepare(pairs: DataFrame, family: str, eos: str | None = None) -> DataFrame:
@@ -54,32 +59,104 @@ def _finished(query, trigger: dict | None):
     return query
 
 
-def stream_replay(log: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None):
-    """Live replay: each micro-batch's messages go to `<folder>/messages`, the sessions' state to `<folder>/state`.
-
-    A session's rows must follow the rows of earlier micro-batches. Keyed state would bring all rows of a
-    session in a micro-batch to one task; here the batch operators cut a long session into blocks, and only
-    one state row for each session passes from batch to batch. Both writes are named after the batch, so a
-    repeated batch replaces its own files. Without a `trigger` the run ends with what is available; with one the
-    query is the caller's to stop.
+CLOSED = (
+    "user_id bigint, range_no int, exits bigint, news bigint, system string, temperature double, said bigint, "
+    "chars bigint, ts timestamp, batch bigint"
+)
+STARTS = (
+    "user_id bigint, batch bigint, range_no int, conversation bigint, messages bigint, chars bigint, system string, "
+    "temperature double, ended boolean"
+)
+SAID = ["user_id", "_range", "event_id", "kind", "role", "line", "_news", "_said", "_chars", "_system", "_temperature"]
+
+
+def stream_replay(
+    log: DataFrame,
+    folder: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    outputs: DataFrame | None = None,
+    family: str | Column = "qwen-2.5",
+    forget_after: str | None = None,
+):
+    """Live replay of a log, with the raw answers to its messages if there are any, in two queries.
+
+    The first replays the ranges of each micro-batch by themselves, so that a busy session is several tasks, and
+    writes what was said to `<folder>/said` and one row for each session and range to `<folder>/ranges`. The
+    second keeps the sessions in keyed state, reads those rows only, and writes to `<folder>/starts` where each
+    range starts. `replayed_messages` joins the two, `live_sessions` reads the state. A session's rows must
+    follow the rows of earlier micro-batches, and an answer comes in the micro-batch of its message or later.
+
+    A session without rows is not touched. With `forget_after`, such as "30 days", sessions without rows for that
+    long in the log's own time are dropped, and rows that come later than that are not taken. Without a `trigger`
+    the run ends with what is available; with one both queries are the caller's to stop. Both are returned.
     """
     spark = log.sparkSession
-
-    def advance(batch: DataFrame, batch_id: int) -> None:
-        previous = f"{folder}/state/batch={batch_id - 1}"
-        state = spark.createDataFrame([], STATE) if batch_id == 0 else spark.read.schema(STATE).parquet(previous)
-        rows = continue_replay(parse_log(batch), state).persist()
-        messages_of(rows).write.mode("overwrite").parquet(f"{folder}/messages/batch={batch_id}")
-        state_of(rows).write.mode("overwrite").parquet(f"{folder}/state/batch={batch_id}")
-        rows.unpersist()
-
-    query = (
-        log.writeStream.foreachBatch(advance)
-        .option("checkpointLocation", checkpoint)
+    parsed = parse_log(log)
+    if outputs is not None:
+        parsed = parsed.unionByName(parse_answers(outputs, family))
+
+    def reduce_batch(batch: DataFrame, batch_id: int) -> None:
+        ranges = f"{folder}/ranges/batch={batch_id}"
+        if exists(spark, ranges):  # the whole batch was done before its end was noted
+            return
+        rows = located(in_ranges(batch, ["user_id", *ORDER]))
+        said = rows.where(F.col("kind").isin("message", "answer")).select(*SAID)
+        said.write.mode("overwrite").parquet(f"{folder}/said/batch={batch_id}")
+        closings(rows).withColumnRenamed("_range", "range_no").write.mode("overwrite").parquet(f"{folder}/_ranges/batch={batch_id}")
+        publish(spark, f"{folder}/_ranges/batch={batch_id}", ranges)
+
+    reducing = (
+        parsed.writeStream.foreachBatch(reduce_batch)
+        .option("checkpointLocation", f"{checkpoint}/reduce")
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
-    return _finished(query, trigger)
+    _finished(reducing, trigger)
+    make_folder(spark, f"{folder}/ranges")
+    closed = spark.readStream.schema(CLOSED).parquet(f"{folder}/ranges")
+    if forget_after:
+        closed = closed.withWatermark("ts", forget_after)
+    starts = closed.groupBy("user_id").transformWithStateInPandas(
+        ReplaySessions(bool(forget_after)), STARTS, "Append", "EventTime" if forget_after else "None"
+    )
+    return reducing, stream_sink(starts, f"{folder}/starts", f"{checkpoint}/carry", trigger)
+
+
+def replayed_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages and answers of a live replay so far, as `replay_turns` has them."""
+    said = spark.read.parquet(f"{folder}/said")
+    start = F.struct("conversation", "messages", "chars", "system", "temperature", "ended").alias("start")
+    starts = spark.read.parquet(f"{folder}/starts").select("user_id", "batch", F.col("range_no").alias("_range"), start)
+    return settle(said, starts, "batch")
+
+
+def live_sessions(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The state of each session of a live replay, read from its state store: the open conversation, its messages
+    so far and their characters, the settings in force and whether the session has ended."""
+    state = spark.read.format("statestore").option("path", f"{checkpoint}/carry").option("stateVarName", "session")
+    return state.load().select(
+        "key.user_id",
+        "value.conversation",
+        "value.messages",
+        "value.chars",
+        F.coalesce("value.system", F.lit(DEFAULT_SYSTEM_MESSAGE)).alias("system_message"),
+        F.coalesce("value.temperature", F.lit(DEFAULT_TEMPERATURE)).alias("temperature"),
+        "value.ended",
+    )
+
+
+def live_history(spark: SparkSession, folder: str, checkpoint: str) -> DataFrame:
+    """The messages of the open conversations (user_id, message_no, role, text): the history that state keeps as the
+    ranges in which they were said."""
+    state = spark.read.format("statestore").option("path", f"{checkpoint}/carry").option("stateVarName", "history")
+    parts = state.option("flattenCollectionTypes", "true").load().select(
+        "key.user_id", "list_element.batch", F.col("list_element.range_no").alias("_range"), "list_element.first", "list_element.news"
+    )
+    said = spark.read.parquet(f"{folder}/said").join(parts, ["user_id", "batch", "_range"])
+    return said.where(F.col("_news") == F.col("news")).select(
+        "user_id", (F.col("first") + F.col("_said") - 1).alias("message_no"), "role", F.col("line").alias("text")
+    )
 
 
 def stream_score(samples: DataFrame) -> DataFrame:

@@ -156,3 +156,71 @@ class TagSections(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class ReplaySessions(StatefulProcessor):
+    """Carries sessions over the ranges of a log: what a session has in force and where its open conversation is.
+
+    A row is a range's closing (`operators.replay.closings`); the answer to it is where the range starts. The
+    history of the open conversation is kept as the ranges that hold it, a small row for each. Ranges of a
+    micro-batch that was told before are told once.
+    """
+
+    EMPTY = (0, 0, 0, None, None, False, -1, -1)
+
+    def __init__(self, forgets: bool = False) -> None:
+        self.forgets = forgets
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.session = handle.getValueState(
+            "session",
+            "conversation bigint, messages bigint, chars bigint, system string, temperature double, ended boolean, "
+            "batch bigint, last bigint",
+        )
+        self.history = handle.getListState("history", "batch bigint, range_no int, first bigint, news bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        stored = self.session.get()
+        conversation, messages, chars, system, temperature, ended, told, last = stored or self.EMPTY
+        closed = pd.concat(list(rows)).sort_values(["batch", "range_no"])
+        out, before, kept, new = [], told, True, []
+        for r in closed[closed["batch"] > before].to_dict("records"):
+            out.append((key[0], r["batch"], r["range_no"], conversation, messages, chars, system, temperature, ended))
+            told = max(told, r["batch"])
+            last = max(last, int(r["ts"].timestamp() * 1000))
+            if ended:
+                continue
+            if r["news"]:
+                conversation, messages, chars, kept, new = conversation + r["news"], 0, 0, False, []
+            if r["said"]:
+                new.append((int(r["batch"]), int(r["range_no"]), int(messages), int(r["news"])))
+            messages, chars = messages + r["said"], chars + r["chars"]
+            system = r["system"] if isinstance(r["system"], str) else system
+            temperature = r["temperature"] if pd.notna(r["temperature"]) else temperature
+            ended = bool(r["exits"])
+        if not out:
+            return
+        if not kept:
+            self.history.clear()
+        if new:
+            self.history.appendList(new)
+        number = None if temperature is None else float(temperature)
+        self.session.update((int(conversation), int(messages), int(chars), system, number, ended, int(told), last))
+        if self.forgets:
+            if stored:
+                self.handle.deleteTimer(stored[-1])
+            self.handle.registerTimer(last)
+        yield pd.DataFrame(
+            out,
+            columns=["user_id", "batch", "range_no", "conversation", "messages", "chars", "system", "temperature", "ended"],
+        ).astype({"temperature": "float64"})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """The watermark is as far behind as a session may be idle, so one whose last row it has passed is gone."""
+        self.session.clear()
+        self.history.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass

@@ -1,5 +1,6 @@
 """Operators on a table where one key holds most rows, against plain windows and plain Python."""
 
+import os
 import random
 
 import pytest
@@ -109,7 +110,10 @@ def test_registered_paths_take_conversations_whole(spark, monkeypatch, tmp_path,
 
     monkeypatch.setattr(ordered_module, "TURNS_PER_PART", size)
     folder = str(tmp_path / "sf")
-    shutil.copytree("/root/testdata/sf0.001", folder, ignore=lambda _, names: [n for n in names if n.startswith("conversations")])
+    os.makedirs(folder)
+    for name in os.listdir("/root/testdata/sf0.001"):
+        if not name.startswith("conversations"):
+            shutil.copyfile(f"/root/testdata/sf0.001/{name}", f"{folder}/{name}")
     small = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").where("conv_id > 5")
     long = spark.createDataFrame(LONG, small.schema)
     small.unionByName(long).coalesce(1).toPandas().to_parquet(f"{folder}/conversations.parquet", index=False)
@@ -226,16 +230,63 @@ def test_a_session_inside_one_second_is_split(spark):
     assert sorted(map(tuple, found)) == [(c, 999, 998) for c in range(4)]
 
 
-def test_replay_in_parts(spark, log):
-    state = spark.createDataFrame([], rp.STATE)
-    found = []
-    for low, high in [(-1, 100), (100, 101), (101, 350), (350, 2000)]:
-        part = log.where((F.unix_seconds("ts") / 400 > low) & (F.unix_seconds("ts") / 400 <= high))
-        rows = rp.continue_replay(rp.parse_log(part), state)
-        found += rp.messages_of(rows).collect()
-        state = spark.createDataFrame(rp.state_of(rows).collect(), rp.STATE)
-    assert sorted(map(tuple, found), key=repr) == replay_plainly(log_rows())
-    assert {r.user_id: r.ended for r in state.collect()} == {1: False, 2: True, 3: True}
+def raw_outputs(rows):
+    """An output for each line: readable, unreadable and empty ones."""
+    outputs = []
+    for user, event, at, _ in rows:
+        said = ["", f" a{event} "][event % 3 > 0]
+        outputs.append((user, event, at, f"x{event}" if event % 4 == 0 else f"<|im_start|>assistant\n{said}<|im_end|>"))
+    return outputs
+
+
+def talk_plainly(rows, outputs):
+    """(user, conversation, number, event, role, text, prompt characters) with answers behind their messages."""
+    answers = {event: text[22:-10].strip() for _, event, _, text in outputs if text.startswith("<")}
+    out, state = [], {}
+    for user, event, _, line in sorted(rows, key=lambda r: (r[2], r[1])):
+        s = state.setdefault(user, {"conv": 0, "no": 0, "chars": 0, "end": False})
+        text = line.rstrip("\\").strip()
+        said = not text.startswith("/") and text
+        if s["end"]:
+            continue
+        if text == "/exit":
+            s["end"] = True
+        elif text == "/new":
+            s.update(conv=s["conv"] + 1, no=0, chars=0)
+        for role, words in [("user", text), ("assistant", answers.get(event))] if said else []:
+            if words:
+                s["chars"] += len(f"{role}>{words}")
+                out.append((user, s["conv"], s["no"], event, role, words, s["chars"]))
+                s["no"] += 1
+    return sorted(out, key=repr), state
+
+
+def outputs_of(spark, rows):
+    messages = [r for r in rows if r[3].rstrip("\\").strip() and not r[3].startswith("/")]
+    df = spark.createDataFrame(raw_outputs(messages), "user_id long, event_id long, at long, output string")
+    return df.select("user_id", "event_id", F.timestamp_seconds("at").alias("ts"), "output")
+
+
+@pytest.mark.parametrize("ranges", ["1", "5", "40"])
+def test_answers_stand_behind_their_messages(spark, log, ranges):
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    try:
+        parsed = rp.parse_log(log).unionByName(rp.parse_answers(outputs_of(spark, log_rows()), "qwen-2.5"))
+        turns = rp.replay_turns(parsed)
+        found = turns.select("user_id", "conversation", "message_no", "event_id", "role", "text", "prompt_chars")
+        assert rows_of(found) == talk_plainly(log_rows(), raw_outputs(log_rows()))[0]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_a_replayed_log_reads_its_ranges_twice(spark, log):
+    from compare import plan
+
+    from dialoom.plans.jobs import replay_log
+
+    text = plan(replay_log(log, outputs_of(spark, log_rows())), "simple")
+    assert text.count("FileScan") <= 3
+    assert sum("Exchange" in line for line in text.splitlines()) <= 6
 
 
 def test_local_timestamps_are_cut_like_instants(spark, log):

@@ -88,15 +88,20 @@ def test_a_stream_with_a_trigger_stays_up_and_forgets(spark, chunk_folder):
 
     sibling = streaming_session(spark)
     out = work_path(spark, "test_up")
-    stream = jobs.stream_assemble(files.stream_chunks(sibling, chunk_folder), ttl_ms=60_000)
+    stream = jobs.stream_assemble(files.stream_chunks(sibling, chunk_folder), ttl_ms=3_000)
     query = files.stream_sink(stream, f"{out}/data", f"{out}/checkpoint", {"processingTime": "1 second"})
+
+    def kept():
+        return [op["numRowsTotal"] for p in query.recentProgress[-1:] for op in p["stateOperators"]]
+
     try:
-        for _ in range(120):
-            if query.recentProgress and sum(p["numInputRows"] for p in query.recentProgress):
+        waited, most = time.time() + 120, 0
+        while time.time() < waited:  # a time to live keeps a batch running every second, so nothing is ever all done
+            most = max([most, *kept()])
+            if most and kept() == [0]:
                 break
-            time.sleep(0.5)
-        query.processAllAvailable()
-        assert query.isActive
+            time.sleep(0.3)
+        assert query.isActive and most > 0 and kept() == [0]
     finally:
         query.stop()
     assert spark.read.parquet(f"{out}/data").count() == len(replies())
@@ -126,21 +131,65 @@ def test_sections_do_not_depend_on_the_cuts():
         assert joined(found) == joined(whole)
 
 
+def streamed_log(spark, rows, batches=4):
+    """The log and its outputs as streams of a file a batch, and the folder of the replay."""
+    from test_ordered import raw_outputs
+
+    out = work_path(spark, "test_replay")
+    streams = []
+    said = [r for r in rows if r[3].rstrip("\\").strip() and not r[3].startswith("/")]
+    every = {"input": sorted(rows, key=lambda r: (r[2], r[1])), "output": sorted(raw_outputs(said), key=lambda r: (r[2], r[1]))}
+    cuts = [every["input"][len(rows) * i // batches][2] for i in range(batches)] + [1 << 40]
+    sibling = streaming_session(spark)
+    for name, part in every.items():
+        for low, high in zip(cuts[:-1], cuts[1:]):
+            some = [r for r in part if low <= r[2] < high]
+            df = spark.createDataFrame(some, f"user_id long, event_id long, at long, {name} string")
+            df = df.select("user_id", "event_id", F.timestamp_seconds("at").alias("ts"), name)
+            df.coalesce(1).write.mode("append").parquet(f"{out}/{name}")
+        schema = spark.read.parquet(f"{out}/{name}").schema
+        streams.append(sibling.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/{name}"))
+    return *streams, out
+
+
 def test_replay_over_batches_equals_the_batch_operator(spark):
+    from test_ordered import log_rows, raw_outputs, replay_plainly, talk_plainly
+
+    log, outputs, out = streamed_log(spark, log_rows())
+    jobs.stream_replay(log, out, f"{out}/checkpoint", outputs=outputs)
+    found = jobs.replayed_messages(spark, out)
+    assert spark.read.parquet(f"{out}/said").select("batch").distinct().count() == 4
+    talk, state = talk_plainly(log_rows(), raw_outputs(log_rows()))
+    turns = found.select("user_id", "conversation", "message_no", "event_id", "role", "text", "prompt_chars")
+    assert sorted(map(tuple, turns.collect()), key=repr) == talk
+    settings = found.where("role = 'user'").select("user_id", "event_id", "system_message", "temperature").collect()
+    assert sorted(map(tuple, settings)) == sorted((r[0], r[3], r[5], r[6]) for r in replay_plainly(log_rows()))
+
+    live = {r.user_id: (r.conversation, r.messages, r.chars, r.ended) for r in jobs.live_sessions(spark, f"{out}/checkpoint").collect()}
+    assert live == {user: (s["conv"], s["no"], s["chars"], s["end"]) for user, s in state.items()}
+    history = sorted(map(tuple, jobs.live_history(spark, out, f"{out}/checkpoint").collect()))
+    assert history == sorted((r[0], r[2], r[4], r[5]) for r in talk if r[1] == state[r[0]]["conv"])
+
+
+def test_a_session_without_rows_is_not_touched_and_goes(spark):
+    day = 86_400
+    rows = [(1, 0, day, "hi"), (2, 1, day, "hi")] + [(2, 2 + i, day * (2 + i), f"m{i}") for i in range(20)]
+    log, _, out = streamed_log(spark, rows)
+    jobs.stream_replay(log, out, f"{out}/checkpoint", forget_after="5 days")
+    found = jobs.replayed_messages(spark, out)
+    assert found.count() == len(rows) and found.where("user_id = 2").agg(F.max("message_no")).first()[0] == 20
+    assert [r.user_id for r in jobs.live_sessions(spark, f"{out}/checkpoint").collect()] == [2]
+
+    log, _, out = streamed_log(spark, rows)
+    jobs.stream_replay(log, out, f"{out}/checkpoint")
+    assert {r.user_id for r in jobs.live_sessions(spark, f"{out}/checkpoint").collect()} == {1, 2}
+
+
+def test_a_batch_done_twice_is_told_once(spark):
     from test_ordered import log_rows, replay_plainly
 
-    folder = work_path(spark, "test_log")
-    rows = sorted(log_rows(), key=lambda r: (r[2], r[1]))
-    for at in range(0, len(rows), 200):
-        part = spark.createDataFrame(rows[at : at + 200], "user_id long, event_id long, at long, input string")
-        part.select("user_id", "event_id", F.timestamp_seconds("at").alias("ts"), "input").coalesce(1).write.mode(
-            "append"
-        ).parquet(folder)
-    sibling = streaming_session(spark)
-    schema = spark.read.parquet(folder).schema
-    log = sibling.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    out = work_path(spark, "test_replay")
+    log, _, out = streamed_log(spark, log_rows(), 2)
     jobs.stream_replay(log, out, f"{out}/checkpoint")
-    found = spark.read.parquet(f"{out}/messages")
-    assert found.select("batch").distinct().count() == 4
-    assert sorted(map(tuple, found.drop("batch").collect()), key=repr) == replay_plainly(log_rows())
+    jobs.stream_replay(log, out, f"{out}/again")  # as if the ends of the batches had not been noted
+    found = jobs.replayed_messages(spark, out).where("role = 'user'").drop("_range", "role", "prompt_chars")
+    assert found.distinct().count() == len(replay_plainly(log_rows()))
