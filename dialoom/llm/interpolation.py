@@ -460,6 +460,8 @@ def score_texts(
     every = Totals(own[0] + gone[0], own[1] + gone[1], known[0] or 0)
     kept = Totals(*own, known[1] or 0)
     weights = learned(held_out_events(blocks, answered, order, kept), order, 1 / (kept.distinct + 1))
+    if not every.tokens:
+        weights.own = 0  # nothing was counted
     return scored(blocks, answered, order, every, weights, kind)
 
 

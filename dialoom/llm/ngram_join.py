@@ -366,9 +366,15 @@ def jaccard_components(
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with the row of the smallest id of each component, all columns as they were."""
-    marks = jaccard_components(docs, id_col, text_col)
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """`docs` with the row of the smallest id of each component of `jaccard_components`, all columns as they were.
+
+    Rows without words, among them null texts, stay each; of rows with the same id and text one stays; an empty
+    table stays empty. Other columns may have any names.
+    """
+    marks = jaccard_components(docs, id_col, text_col, n, percent)
     first = marks.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     text = F.coalesce(F.col(text_col), F.lit(""))
 

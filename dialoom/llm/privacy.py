@@ -1,26 +1,29 @@
-"""Personal data in documents, and the words beside it that give it away.
+"""Personal data in documents, and the words that give it away.
 
 Entities are found by their form: mail addresses, network addresses, card numbers, telephone numbers. Hiding
-them is not enough where words that stand beside an entity all over the corpus reveal which it was. How much a
-term t reveals of an entity c is estimated from co-occurrence: with p(c) the share of all words that stand
-within a few words of c, and p(c|t) that share among the occurrences of t, the pointwise mutual information
-log p(c|t) / p(c) is at most the information content -log p(c) of the entity, which t reaches if it occurs
-beside c only. Terms whose quotient of the two is above a threshold are generalised (to the kind of word they
-are), those above a higher one are removed, in documents that hold the entity, within the same few words.
-
-Counts cover all words of all texts. Values of entities leave the Python workers as hashes only.
+them is not enough where words of the text reveal which they were. How much a term t reveals of an entity c is
+estimated from co-occurrence: p(c) is the share of all words of the corpus that stand within a few words of c,
+p(c|t) that share among the occurrences of t, drawn towards p(c) by half an occurrence, as both may be rare. The
+pointwise mutual information log p(c|t) / p(c) is at most the information content -log p(c) of the entity, which t
+reaches if it occurs beside c only. Terms whose quotient of the two is above a threshold are generalised (to the
+kind of word they are), those above a higher one are removed, wherever they stand in documents that hold the entity.
+
+Every pair counts, also of an entity and a term that occur once. Counts cover all words of all texts. What the
+documents with entities say of a term's frequency is a lower bound of it and rules out most common terms before the
+others are counted in the whole corpus. Values of entities leave the Python workers as hashes only.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialoom.llm.common import free_names, limit_batches, row_keys, text_bytes, text_slices, written
@@ -29,9 +32,10 @@ from dialoom.llm.textbytes import LOWER, span_hashes, spans
 KINDS = ("email", "ip", "card", "phone")
 ALL_KINDS = (*KINDS, "generalise", "remove")
 WINDOW = 6
-LEAST_TOGETHER = 3
+DRAWN = 0.5
 GENERALISE, REMOVE = 0.85, 0.95
 SIEVE_BITS = 22
+COUNTED = 1 << 20  # terms of which a task keeps counts before it tells them
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -88,24 +92,41 @@ def entities(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def _contexts(text: str, found: list[tuple[str, int, int]], window: int) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of the words that stand within `window` words of an entity and in none."""
-    taken = sorted((start, end) for _, start, end in found)
-    words, at = [], 0
-    for m in TERM.finditer(text):
-        while at < len(taken) and taken[at][1] <= m.start():
-            at += 1
-        if not any(start < m.end() and end > m.start() for start, end in taken[at : at + 8]):
-            words.append(m)
-    starts = [m.start() for m in words]
+def _value(text: str, kind: str, start: int, end: int) -> str:
+    value = f"{kind}:{text[start:end].lower() if kind == 'email' else _digits(text[start:end])}"
+    return hashlib.sha256(value.encode()).hexdigest()[:24]
+
+
+def _free_words(text: str, found: list[tuple[str, int, int]]) -> list[re.Match]:
+    """The words of `text` that share no character with an entity."""
+    merged: list[list[int]] = []
+    for _, start, end in sorted(found, key=lambda f: f[1:]):
+        if merged and start < merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], end)
+        else:
+            merged.append([start, end])
+    ends = [end for _, end in merged]
     out = []
+    for m in TERM.finditer(text):
+        at = bisect_right(ends, m.start())
+        if at == len(merged) or merged[at][0] >= m.end():
+            out.append(m)
+    return out
+
+
+def _contexts(text: str, found: list[tuple[str, int, int]], window: int) -> tuple[Counter, Counter, list[str]]:
+    """How often each (entity, term) stands within `window` words of each other, how often each such term occurs in
+    `text` at all, and the entities."""
+    words = _free_words(text, found)
+    starts, terms = [m.start() for m in words], [_ascii_lower(m[0]) for m in words]
+    together, entities_ = Counter(), []
     for kind, start, end in found:
-        value = f"{kind}:{text[start:end].lower() if kind == 'email' else _digits(text[start:end])}"
-        entity = hashlib.sha256(value.encode()).hexdigest()[:24]
+        entity = _value(text, kind, start, end)
+        entities_.append(entity)
         middle = bisect_left(starts, start)
-        for m in words[max(0, middle - window) : middle + window]:
-            out.append((entity, _ascii_lower(m[0]), *m.span()))
-    return out
+        together.update((entity, t) for t in terms[max(0, middle - window) : middle + window])
+    near = {t for _, t in together}
+    return together, Counter(t for t in terms if t in near), list(dict.fromkeys(entities_))
 
 
 ASCII = {code: code + 32 for code in range(65, 91)}
@@ -115,34 +136,47 @@ def _ascii_lower(word: str) -> str:
     return word.translate(ASCII)
 
 
+FOUND = (
+    "base array<struct<kind string, start long, end long>>, near array<struct<entity string, hash long, n long>>, "
+    "terms array<struct<hash long, n long>>, holds array<string>, n_words long, told string"
+)
+
+
 def _found(named: DataFrame, window: int) -> DataFrame:
+    """For each row its entities, their pairs with terms, those terms' counts, its number of words, and its text if
+    it has entities."""
     kind = named.schema["doc_id"].dataType.simpleString()
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-    context = pa.list_(
-        pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-    )
+    pair = pa.list_(pa.struct([("entity", pa.string()), ("hash", pa.int64()), ("n", pa.int64())]))
+    term = pa.list_(pa.struct([("hash", pa.int64()), ("n", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
-                all_spans, contexts = [], []
-                for text in part["text"].to_pylist():
-                    found = entities(text or "")
-                    all_spans.append([dict(zip(("kind", "start", "end"), s, strict=True)) for s in found])
-                    near = _contexts(text, found, window) if found else []
-                    contexts.append([dict(zip(("entity", "term", "start", "end"), c, strict=True)) for c in near])
+                texts = part["text"].to_pylist()
+                found = [entities(text or "") for text in texts]
+                every = [_contexts(t, f, window) if f else ((), (), []) for t, f in zip(texts, found, strict=True)]
+                listed = sorted({t for _, counts, _ in every for t in counts})
+                hashes = dict(zip(listed, term_hashes(pa.array(listed, pa.string()))[0].view(np.int64).tolist(), strict=True))
+                near = [[{"entity": c, "hash": hashes[t], "n": n} for (c, t), n in dict(p).items()] for p, _, _ in every]
+                terms = [[{"hash": hashes[t], "n": n} for t, n in dict(counts).items()] for _, counts, _ in every]
+                bases = [[dict(zip(("kind", "start", "end"), s, strict=True)) for s in f] for f in found]
                 keys = [name for name in part.schema.names if name != "text"]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part[k] for k in keys), pa.array(all_spans, span), pa.array(contexts, context)],
-                    [*keys, "base", "near"],
+                    [
+                        *(part[k] for k in keys),
+                        pa.array(bases, span),
+                        pa.array(near, pair),
+                        pa.array(terms, term),
+                        pa.array([holds for _, _, holds in every], pa.list_(pa.string())),
+                        pa.array(term_hashes(part["text"])[1], pa.int64()),
+                        pa.array([t if f else None for t, f in zip(texts, found, strict=True)], pa.string()),
+                    ],
+                    [*keys, "base", "near", "terms", "holds", "n_words", "told"],
                 )
 
     extra = "".join(f", {c} long" for c in named.columns if c not in ("row", "doc_id", "text"))
-    return named.mapInArrow(
-        run,
-        f"row long, doc_id {kind}{extra}, base array<struct<kind string, start long, end long>>, "
-        "near array<struct<entity string, term string, start long, end long>>",
-    )
+    return named.mapInArrow(run, f"row long, doc_id {kind}{extra}, {FOUND}")
 
 
 # ---- terms
@@ -167,56 +201,93 @@ def _sieve(terms: DataFrame) -> np.ndarray:
     return table.view(np.uint64)
 
 
-def _term_counts(named: DataFrame, terms: DataFrame) -> tuple[DataFrame, int]:
-    """(hash, n) of how often each of `terms` occurs in all texts, and of how many words there are."""
+def _in_sieve(hashes: np.ndarray, sieve: np.ndarray) -> np.ndarray:
+    """Which hashes have their bit set; few of those that were not listed do."""
+    place = hashes >> np.uint64(64 - SIEVE_BITS)
+    return ((sieve[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
+def _term_counts(named: DataFrame, terms: DataFrame) -> DataFrame:
+    """(hash, n) of how often each of `terms` occurs in all texts. A task adds up its own counts first."""
     sieve = _sieve(terms)
 
+    def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        hashes, place = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
+        return hashes, np.bincount(place, np.concatenate([n for _, n in parts]), len(hashes)).astype(np.int64)
+
+    def told(hashes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], ["hash", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
         for batch in batches:
             for part in text_slices(batch, "text"):
                 hashes, _ = term_hashes(part["text"])
-                place = hashes >> np.uint64(64 - SIEVE_BITS)
-                bits = sieve[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))
-                some, n = np.unique(hashes[(bits & np.uint64(1)).astype(bool)], return_counts=True)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "hash": pa.array([None, *some.view(np.int64).tolist()], pa.int64()),
-                        "n": pa.array([len(hashes), *n.tolist()], pa.int64()),
-                    }
-                )
-
-    counts = written(named.select("text").mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")), "terms")
-    words = counts.where("hash is null").select("n").first()  # one row
-    return counts.where("hash is not null"), words[0] if words else 0
-
-
-def _hashed(terms: DataFrame) -> DataFrame:
-    """`terms` (entity, term, together) with the hash of the term."""
+                parts.append(np.unique(hashes[_in_sieve(hashes, sieve)], return_counts=True))
+                size += len(parts[-1][0])
+                if size > 2 * COUNTED:
+                    parts = [added(parts)]
+                    size = len(parts[0][0])
+                    if size > COUNTED:
+                        yield told(*parts.pop())
+                        parts, size = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
+        yield told(*added(parts))
+
+    counts = named.select("text").mapInArrow(run, "hash long, n long")
+    return counts.groupBy("hash").agg(F.sum("n").alias("n")).join(terms.select("hash").distinct(), "hash", "left_semi")
+
+
+def _revealed(p: Column, together: Column, n: Column) -> Column:
+    """The share of an entity's information that a term gives."""
+    p = F.least(p, F.lit(1 - 1e-9))
+    given = F.least((together + DRAWN * p) / (n + DRAWN), F.lit(1.0))
+    return F.log2(given / p) / -F.log2(p)
+
+
+def _disclosing(named: DataFrame, found: DataFrame) -> DataFrame:
+    """(entity, hash, disclosure) of the terms above the lower threshold."""
+    words = found.agg(F.sum("n_words")).first()[0] or 1
+    near = found.select(F.explode("near").alias("c")).select("c.*")
+    together = near.groupBy("entity", "hash").agg(F.sum("n").alias("together"))
+    beside = near.groupBy("entity").agg((F.sum("n") / F.lit(float(words))).alias("p"))
+    least = found.select(F.explode("terms").alias("t")).groupBy("t.hash").agg(F.sum("t.n").alias("n"))
+    pairs = together.join(beside, "entity").join(least, "hash")
+    possible = pairs.where(_revealed(F.col("p"), F.col("together"), F.col("n")) >= GENERALISE).drop("n")
+    possible = written(possible, "possible")
+    scored = possible.join(_term_counts(named, possible), "hash")
+    scored = scored.withColumn("disclosure", _revealed(F.col("p"), F.col("together"), F.col("n")))
+    return written(scored.where(F.col("disclosure") >= GENERALISE).select("entity", "hash", "disclosure"), "disclosing")
+
+
+def _places(found: DataFrame, terms: DataFrame) -> DataFrame:
+    """(row, hash, start, end) of the occurrences of `terms` (and of a few others) in texts that hold entities."""
+    sieve = _sieve(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, _ = term_hashes(batch["term"])
-            yield batch.append_column("hash", pa.array(hashes.view(np.int64)))
-
-    return terms.mapInArrow(run, "entity string, term string, together long, hash long")
-
-
-def _disclosing(named: DataFrame, found: DataFrame, least: int) -> DataFrame:
-    """(entity, term, disclosure) of the terms above the lower threshold."""
-    near = found.select(F.explode("near").alias("c")).select("c.entity", "c.term")
-    together = near.groupBy("entity", "term").agg(F.count("*").alias("together"))
-    beside = near.groupBy("entity").agg(F.count("*").alias("beside"))
-    often = written(_hashed(together.where(F.col("together") >= least)), "together")
-    counts, words = _term_counts(named, often)
-    p_entity = F.col("beside") / F.lit(max(words, 1))
-    p_given = F.least(F.col("together") / F.col("n"), F.lit(1.0))
-    scored = often.join(beside, "entity").join(counts, "hash").withColumn(
-        "disclosure", F.log2(p_given / p_entity) / -F.log2(p_entity)
-    )
-    return scored.where(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure")
+            for part in text_slices(batch, "told"):
+                rows, words = [], []
+                for row, text, base in zip(*(part[c].to_pylist() for c in ("row", "told", "base")), strict=True):
+                    free = _free_words(text, [(s["kind"], s["start"], s["end"]) for s in base])
+                    rows += [row] * len(free)
+                    words += free
+                hashes, _ = term_hashes(pa.array([m[0] for m in words], pa.string()))
+                some = np.flatnonzero(_in_sieve(hashes, sieve)).tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([rows[i] for i in some], pa.int64()),
+                        pa.array(hashes.view(np.int64)[some]),
+                        pa.array([words[i].start() for i in some], pa.int64()),
+                        pa.array([words[i].end() for i in some], pa.int64()),
+                    ],
+                    ["row", "hash", "start", "end"],
+                )
 
+    told = found.where(F.col("told").isNotNull()).select("row", "told", "base")
+    return told.mapInArrow(run, "row long, hash long, start long, end long")
 
-def _marked(docs: DataFrame, keys: list, id_col: str, text_col: str, window: int, least: int) -> DataFrame:
+
+def _marked(docs: DataFrame, keys: list, id_col: str, text_col: str, window: int) -> DataFrame:
     """row, doc_id, the given keys, `base` and `spans` (kind, start, end) of every row."""
     limit_batches(docs)
     named = docs.select(
@@ -226,14 +297,14 @@ def _marked(docs: DataFrame, keys: list, id_col: str, text_col: str, window: int
         F.col(text_col).alias("text"),
     )
     found = written(_found(named, window), "entities")
-    terms = _disclosing(named, found, least)
+    terms = _disclosing(named, found)
     kind = F.when(F.max("disclosure") >= REMOVE, "remove").otherwise("generalise").alias("kind")
     own = (
-        found.select("row", F.explode("near").alias("c"))
-        .select("row", "c.entity", "c.term", "c.start", "c.end")
-        .join(terms, ["entity", "term"])
-        .groupBy("row", "start", "end")  # a word may stand beside several entities
+        found.select("row", F.explode("holds").alias("entity"))
+        .join(terms, "entity")
+        .groupBy("row", "hash")  # a word may reveal several entities
         .agg(kind)
+        .join(_places(found, terms), ["row", "hash"])
         .groupBy("row")
         .agg(F.collect_list(F.struct("kind", "start", "end")).alias("terms"))
     )
@@ -243,7 +314,7 @@ def _marked(docs: DataFrame, keys: list, id_col: str, text_col: str, window: int
         ranked = F.transform(F.col(column), lambda s: F.struct(order[s["kind"]].alias("k"), s["start"], s["end"], s["kind"]))
         return F.transform(F.array_sort(ranked), lambda s: F.struct(s["kind"], s["start"], s["end"]))
 
-    every = found.drop("near").join(own, "row", "left")
+    every = found.drop("near", "terms", "holds", "n_words", "told").join(own, "row", "left")
     spans_ = F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.concat("base", "terms"))
     return every.withColumn("spans", spans_).select(
         *[c for c in every.columns if c not in ("base", "terms")],
@@ -257,16 +328,16 @@ def find_private(
     id_col: str = "doc_id",
     text_col: str = "text",
     window: int = WINDOW,
-    least_together: int = LEAST_TOGETHER,
 ) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans of every row of `docs`.
 
     `spans` lists kind:start:end of all spans by kind (entities, then terms to generalise, then terms to remove)
     and start, in characters, the end not included; `base_sha256` is the hash of that list for entities alone.
-    A term needs `least_together` occurrences beside an entity to count. Null and empty texts have no spans.
+    A term's occurrences count as far as none of their characters is part of an entity. Null and empty texts have
+    no spans; texts are read whole, however long.
     Repeated rows are marked each, and count each; an empty table gives no rows; other columns are not read.
     """
-    marked = _marked(docs, [], id_col, text_col, window, least_together)
+    marked = _marked(docs, [], id_col, text_col, window)
 
     def listed(column: str):
         return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -280,13 +351,13 @@ def find_private(
 
 
 def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with entities replaced by their kind in brackets, terms to generalise by [word] or [number], and
-    terms to remove by nothing; all other columns as they were. Rows that repeat come out once each."""
+    """`docs` with entities replaced by their kind in brackets, terms to generalise by [year], [number], [name] or
+    [word], and terms to remove by nothing; all other columns as they were. Rows that repeat come out once each."""
     first, second, marks = free_names(docs, "_first", "_second", "_marks")
     every = [F.col(f"`{c}`") for c in docs.columns]
     keys = row_keys(docs)
     named = [k.alias(name) for k, name in zip(keys, (first, second), strict=True)]
-    marked = _marked(docs, named, id_col, text_col, WINDOW, LEAST_TOGETHER)
+    marked = _marked(docs, named, id_col, text_col, WINDOW)
     spans_of = marked.where(F.size("spans") > 0).groupBy(first, second).agg(F.first("spans").alias(marks))
 
     @F.pandas_udf("string")
@@ -300,6 +371,12 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return joined.withColumn(text_col, clean).select(*every)
 
 
+def _general(word: str) -> str:
+    if word.isdigit():
+        return "[year]" if len(word) == 4 and word[:2] in ("19", "20") else "[number]"
+    return "[name]" if word[0].isupper() else "[word]"
+
+
 def _hidden(text: str | None, marks) -> str | None:
     if marks is None or text is None:
         return text
@@ -308,7 +385,7 @@ def _hidden(text: str | None, marks) -> str | None:
         if start < at:
             at = max(at, end)
             continue
-        word = "[number]" if text[start:end].isdigit() else "[word]"
-        out += [text[at:start], {"remove": "", "generalise": word}.get(kind, f"[{kind}]")]
+        hidden = {"remove": "", "generalise": _general(text[start:end])}
+        out += [text[at:start], hidden.get(kind, f"[{kind}]")]
         at = end
     return "".join([*out, text[at:]])

@@ -47,17 +47,17 @@ def test_top_k_with_nulls_ties_repeats_and_clashing_columns(spark):
     assert top_k(df.limit(0), df.limit(0)).collect() == []
 
 
-def word_sets(rows):
+def word_sets(rows, n=3):
     sets = []
     for _, text in rows:
         words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(ASCII))
-        grams = {tuple(words[i : i + 3]) for i in range(len(words) - 2)} if len(words) > 2 else {tuple(words)}
+        grams = {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if len(words) >= n else {tuple(words)}
         sets.append(grams if words else set())
     return sets
 
 
-def brute_components(rows):
-    sets, parent = word_sets(rows), list(range(len(rows)))
+def brute_components(rows, n=3, percent=90):
+    sets, parent = word_sets(rows, n), list(range(len(rows)))
 
     def root(i):
         while parent[i] != i:
@@ -68,7 +68,7 @@ def brute_components(rows):
     for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if both and 100 * both >= 90 * (len(sets[i]) + len(sets[j]) - both):
+            if both and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                 links[i] += 1
                 links[j] += 1
                 a, b = root(i), root(j)

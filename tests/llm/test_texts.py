@@ -1,9 +1,11 @@
 """Operators 2, 3, 4, 8 and 10 on small texts: nulls, empty and long ones, ties, repeats, clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -181,7 +183,7 @@ def test_terms_beside_an_entity_only_are_marked(spark):
     rows = [(i, f"common code{i % 2} contact bob mail joe@ex.com common") for i in range(20)]
     rows += [(100 + i, "clean common contact text") for i in range(50)] + [(None, None), (707, ""), (708, "9" * 50_000)]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, spans int")
-    got = privacy.find_private(df, least_together=3).collect()
+    got = privacy.find_private(df).collect()
     assert len(got) == len(rows)
     marked = {r.doc_id: r.spans for r in got if r.spans}
     assert set(marked) == set(range(20))
@@ -195,3 +197,60 @@ def test_terms_beside_an_entity_only_are_marked(spark):
     clean = {r.doc_id: r.text for r in privacy.sanitised(df).collect()}
     assert "[email]" in clean[0] and "bob" not in clean[0] and clean[100] == rows[20][1] and clean[None] is None
     assert privacy.find_private(df.limit(0)).collect() == [] and privacy.sanitised(df.limit(0)).collect() == []
+
+
+def brute_private(rows):
+    """All spans by doc_id, from counts over the whole corpus without blocks, bounds or sieves."""
+    values, free, n_words, n, together, beside = {}, {}, 0, Counter(), Counter(), Counter()
+    for doc_id, text in rows:
+        found = plain_entities(text or "")
+        every = list(re.finditer(privacy.TERM, text or ""))
+        n_words += len(every)
+        n.update(m[0].translate(ASCII) for m in every)
+        free[doc_id] = [m for m in every if not any(a < m.end() and b > m.start() for _, a, b in found)]
+        values[doc_id] = [(text[a:b].lower() if k == "email" else (k, re.sub("[^0-9]", "", text[a:b])), a) for k, a, b in found]
+        for value, start in values[doc_id]:
+            middle = sum(m.start() < start for m in free[doc_id])
+            for m in free[doc_id][max(0, middle - privacy.WINDOW) : middle + privacy.WINDOW]:
+                together[value, m[0].translate(ASCII)] += 1
+                beside[value] += 1
+    gain = {}
+    for (value, term), k in together.items():
+        p = min(beside[value] / n_words, 1 - 1e-9)
+        gain[value, term] = math.log2(min((k + privacy.DRAWN * p) / (n[term] + privacy.DRAWN), 1) / p) / -math.log2(p)
+    out = {}
+    for doc_id, text in rows:
+        spans = []
+        for m in free[doc_id]:
+            best = max((gain.get((v, m[0].translate(ASCII)), -9) for v, _ in values[doc_id]), default=-9)
+            if best >= privacy.GENERALISE:
+                spans.append(("remove" if best >= privacy.REMOVE else "generalise", *m.span()))
+        spans = sorted(plain_entities(text or "") + spans, key=lambda s: (privacy.ALL_KINDS.index(s[0]), s[1]))
+        out[doc_id] = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+    return out
+
+
+def test_disclosure_equals_plain_counts(spark, monkeypatch):
+    rnd = random.Random(6)
+    common = [f"w{i}" for i in range(30)]
+    mentions = ["joe@ex.com", "ann@ex.org", "10.0.0.7", "4111 1111 1111 1111", "+1 (988) 555-2485"]
+    rows = []
+    for i in range(150):
+        words = rnd.choices(common, k=rnd.randint(5, 40))
+        for _ in range(rnd.choice([0, 0, 0, 1, 1, 2])):
+            at = rnd.randrange(len(words))
+            once = f"p{rnd.randrange(10**6)}@x.de"
+            words[at:at] = [rnd.choice(["Secretary", "née", "w3", f"hint{rnd.randrange(40)}"]), rnd.choice([*mentions, once, once])]
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, f"one telling{i} word solo{i}@y.net and far " + "w1 " * 40 + f"Telling{i}") for i in range(30)]
+    rows += [(2000, None), (2001, ""), (2002, "w1 " * 20_000 + "joe@ex.com née"), (2003, "joe@ex.com")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, hash string")
+    expected = brute_private(rows)
+    got = {r.doc_id: r.spans for r in privacy.find_private(df.repartition(3)).collect()}
+    assert got == expected
+    for i in range(1000, 1030):  # an entity seen once, and its telling word there and far away
+        assert expected[i].count("remove") + expected[i].count("generalise") >= 2
+    monkeypatch.setattr(privacy, "COUNTED", 4)
+    assert {r.doc_id: r.spans for r in privacy.find_private(df).collect()} == expected
+    clean = {r.doc_id: r.text for r in privacy.sanitised(df).collect()}
+    assert "telling" not in clean[1000].lower() and "[email]" in clean[1000] and clean[2000] is None
