@@ -1,7 +1,10 @@
 """A training corpus from raw documents: good texts, each once, mixed by source, as token ids.
 
 Each stage takes (spark, docs, sf_dir) and returns a data frame, which is written and read back as the next
-one's documents. All but the last return the columns of `documents`.
+one's documents. All but the last return the columns of `documents`, under any further columns' names too.
+
+In every stage a null text is empty, an empty table stays empty, rows that repeat whole count as one document
+and texts are read whole, however long. A document with a null id is trained on, kept and mixed like any other.
 """
 
 from __future__ import annotations
@@ -16,6 +19,8 @@ from dialoom.llm.mixing import mixed_documents
 from dialoom.llm.ngram_join import keep_one
 from dialoom.llm.quality import keep_good
 
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labels of documents at hand, does not reject."""
@@ -28,8 +33,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents joined by links the one with the smallest id."""
-    return keep_one(docs)
+    """Of documents joined by links, 0.8 of their five-word shingles or more, the one with the smallest id."""
+    return keep_one(docs, n=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
