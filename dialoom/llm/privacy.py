@@ -8,9 +8,9 @@ pointwise mutual information log p(c|t) / p(c) is at most the information conten
 reaches if it occurs beside c only. Terms whose quotient of the two is above a threshold are generalised (to the
 kind of word they are), those above a higher one are removed, wherever they stand in documents that hold the entity.
 
-Every pair counts, also of an entity and a term that occur once. Counts cover all words of all texts. What the
-documents with entities say of a term's frequency is a lower bound of it and rules out most common terms before the
-others are counted in the whole corpus. Values of entities leave the Python workers as hashes only.
+Every pair counts, also of an entity and a term that occur once. Counts cover all words of all texts. How
+often a term occurs beside entities, and then in the documents that hold any, are lower bounds of its frequency and
+rule out most common terms before the others are counted in the whole corpus. Values of entities leave the Python workers as hashes only.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ ALL_KINDS = (*KINDS, "generalise", "remove")
 WINDOW = 6
 DRAWN = 0.5
 GENERALISE, REMOVE = 0.85, 0.95
-SIEVE_BITS = 22
+SIEVE_BITS = 24
 COUNTED = 1 << 20  # terms of which a task keeps counts before it tells them
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -207,8 +207,8 @@ def _in_sieve(hashes: np.ndarray, sieve: np.ndarray) -> np.ndarray:
     return ((sieve[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
-def _term_counts(named: DataFrame, terms: DataFrame) -> DataFrame:
-    """(hash, n) of how often each of `terms` occurs in all texts. A task adds up its own counts first."""
+def _term_counts(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """(hash, n) of how often each of `terms` occurs in `texts`. A task adds up its own counts first."""
     sieve = _sieve(terms)
 
     def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -233,7 +233,7 @@ def _term_counts(named: DataFrame, terms: DataFrame) -> DataFrame:
                         parts, size = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
         yield told(*added(parts))
 
-    counts = named.select("text").mapInArrow(run, "hash long, n long")
+    counts = texts.mapInArrow(run, "hash long, n long")
     return counts.groupBy("hash").agg(F.sum("n").alias("n")).join(terms.select("hash").distinct(), "hash", "left_semi")
 
 
@@ -252,11 +252,14 @@ def _disclosing(named: DataFrame, found: DataFrame) -> DataFrame:
     beside = near.groupBy("entity").agg((F.sum("n") / F.lit(float(words))).alias("p"))
     least = found.select(F.explode("terms").alias("t")).groupBy("t.hash").agg(F.sum("t.n").alias("n"))
     pairs = together.join(beside, "entity").join(least, "hash")
-    possible = pairs.where(_revealed(F.col("p"), F.col("together"), F.col("n")) >= GENERALISE).drop("n")
-    possible = written(possible, "possible")
-    scored = possible.join(_term_counts(named, possible), "hash")
-    scored = scored.withColumn("disclosure", _revealed(F.col("p"), F.col("together"), F.col("n")))
-    return written(scored.where(F.col("disclosure") >= GENERALISE).select("entity", "hash", "disclosure"), "disclosing")
+    told = found.where(F.col("told").isNotNull()).select(F.col("told").alias("text"))
+    revealed = _revealed(F.col("p"), F.col("together"), F.col("n"))
+    possible = pairs
+    for texts in (told, named.select("text")):  # the longer list of terms is counted in the fewer texts
+        possible = written(possible.where(revealed >= GENERALISE).drop("n"), "possible")
+        possible = possible.join(_term_counts(texts, possible), "hash")
+    scored = possible.withColumn("disclosure", revealed).where(F.col("disclosure") >= GENERALISE)
+    return written(scored.select("entity", "hash", "disclosure"), "disclosing")
 
 
 def _places(found: DataFrame, terms: DataFrame) -> DataFrame:
