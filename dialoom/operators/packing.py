@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dialoom.functions.text import token_count
 from dialoom.operators.ordered import in_ranges, part_of
+from dialoom.operators.prepare import key_hash
 
 # Sequence limit and batch size of the default run.
 SEQUENCE_LIMIT = 2048
@@ -116,6 +117,40 @@ def length_order(df: DataFrame, order: list[str], partitions: int | None = None)
     return placed.select(*order, "n", (F.col("_offset") + F.col("_local") - 1).alias("position"))
 
 
+MEGABATCH = 50  # batches in which lengths are grouped, a fixed value
+
+
+def group_by_length(
+    df: DataFrame, order: list[str], size: int = BATCH_SIZE, seed: str = "0", megabatch: int = MEGABATCH
+) -> DataFrame:
+    """`position` and `batch` of each row (`order` is its key, `n` its length) as trainers group by length.
+
+    Rows are put in a pseudorandom order, which the seed alone decides, and cut into megabatches of `megabatch`
+    batches; each is sorted by length, longest first. The first row of all is then the longest one: it changes
+    places with the first row of its megabatch. Only keys and lengths are moved; the order is that of ranges
+    written once, and a megabatch is sorted by one task.
+    """
+    hashed = key_hash(F.concat_ws(":", *order), seed)
+    ranged = in_ranges(df.select(*order, "n", hashed.alias("_hash")), ["_hash", *order])
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_rows"))
+    offsets = sizes.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy("_hash", *order))
+    drawn = ranged.withColumn("_local", inside).join(offsets, "_range")
+    mega = F.floor((F.col("_offset") + F.col("_local") - 1) / (size * megabatch))
+    by_length = Window.partitionBy("_mega").orderBy(F.desc("n"), "_hash", *order)
+    sorted_ = drawn.withColumn("_mega", mega).withColumn("_at", F.row_number().over(by_length) - 1)
+    longest = drawn.select(mega.alias("_mega"), "n").agg(F.max_by("_mega", F.struct("n", -F.col("_mega"))).alias("_first"))
+    place = F.col("_mega") * size * megabatch + F.col("_at")
+    swapped = (
+        F.when((F.col("_at") == 0) & (F.col("_mega") == F.col("_first")), 0)
+        .when((F.col("_at") == 0) & (F.col("_mega") == 0), F.col("_first") * size * megabatch)
+        .otherwise(place)
+    )
+    placed = sorted_.join(F.broadcast(longest)).withColumn("position", swapped.cast("bigint"))  # one row
+    return placed.select(*order, "n", "position", F.floor(F.col("position") / size).alias("batch"))
+
+
 def length_profile(df: DataFrame, by: list[str], limit: int = SEQUENCE_LIMIT) -> DataFrame:
     """Length statistics of `n` and what a limit would cut. The percentiles keep one counter per length."""
     over = F.col("n") > limit

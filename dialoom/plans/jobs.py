@@ -92,6 +92,43 @@ def dataset_metrics(
     return total.select(F.inline(F.array(*report)))
 
 
+def response_metrics(responses: DataFrame) -> DataFrame:
+    """One row for each family over raw responses (model_family, text): how many can be read, are empty and keep to
+    the tags, and exact percentiles of the readable answers' tokens (the smallest length that so many do not pass).
+
+    One read: rows are reduced to a count for each family and length before any shuffle, and the percentiles come
+    from the running sum of those counts.
+    """
+    answer = extract_response(F.col("text"), F.col("model_family"))
+    marked = responses.select("model_family", answer.alias("answer")).select(
+        "model_family",
+        F.when(F.col("answer") != "", token_count(F.col("answer"))).alias("n"),
+        (F.col("answer") == "").cast("bigint").alias("empty"),
+        conforms(F.col("answer")).cast("bigint").alias("conforming"),
+    )
+    lengths = marked.groupBy("model_family", "n").agg(
+        F.count("*").alias("rows"), F.sum("empty").alias("empty"), F.sum("conforming").alias("conforming")
+    )
+    read = F.when(F.col("n").isNotNull(), F.col("rows")).otherwise(0)
+    family = Window.partitionBy("model_family")
+    so_far = family.orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    summed = lengths.select("*", read.alias("read"), F.sum(read).over(so_far).alias("_sum"), F.sum(read).over(family).alias("_all"))
+
+    def percentile(share: float) -> Column:
+        return F.min(F.when(F.col("_sum") >= F.ceil(F.col("_all") * share), F.col("n")))
+
+    return summed.groupBy("model_family").agg(
+        F.sum("rows").alias("responses"),
+        (F.sum("read") / F.sum("rows")).alias("extraction_rate"),
+        F.coalesce(F.sum("empty"), F.lit(0)).alias("empty"),
+        F.coalesce(F.sum("conforming"), F.lit(0)).alias("conforming"),
+        F.min("n").alias("min_tokens"),
+        percentile(0.5).alias("median_tokens"),
+        percentile(0.95).alias("p95_tokens"),
+        F.max("n").alias("max_tokens"),
+    )
+
+
 def evaluate_runs(items: DataFrame, load: Callable[[], Callable], params: dict | None = None) -> DataFrame:
     """First item of each sample to a prompt, a response by the caller's model, then filters and mean match.
 

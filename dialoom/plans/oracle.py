@@ -806,3 +806,58 @@ from fx_talk t join ({_LAST}) l on t.user_id = l.user_id and t.conversation = l.
     "fx_live",
     "fx_talk",
 )
+
+# --- runs, configs, splits and orders ----------------------------------------------------------------------
+ORACLE["samples_by_run"] = ORACLE["samples_roundtrip"]
+oracle(
+    "config_texts",
+    """select c.config, count(*) as texts, cast(sum(length(t.text)) as bigint) as chars, max(t.text) as last_text from (
+  select c.k, c.config, s.model_family, e.k is not null as ends from fx_configs c join fx_family_of_config s on s.k = c.k
+  left join (select k from fx_own where setting = 'format_with_eos_token') e on e.k = c.k) c
+join (select f.family, e.ends, f.uopen || p."user" || f.uclose || f.aopen || p.assistant || f.aclose
+    || case when e.ends then trim(f.aclose, chr(10)) else '' end as text
+  from fx_pairs p cross join fx_fam f cross join (values (true), (false)) e(ends)) t
+  on t.family = c.model_family and t.ends = c.ends group by c.config""",
+    "fx_configs",
+    "fx_family_of_config",
+    "fx_own",
+    "fx_pairs",
+    "fx_fam",
+)
+_HASH = "cast(('0x' || substr(md5({}), 1, 15)) as bigint)"
+oracle(
+    "exact_split",
+    f"""select c.conv_id, c.turn, case when r <= floor(0.1 * n + 0.5) then 'test' else 'train' end as split
+from conversations c join (
+  select conv_id, row_number() over (order by h, conv_id) as r, count(*) over () as n
+  from (select distinct conv_id, {_HASH.format("cast(conv_id as varchar)")} as h from conversations) k) s using (conv_id)""",
+)
+oracle(
+    "group_by_length",
+    f"""select *, position // 4 as batch from (
+  select conv_id, turn, n, case when at = 0 and mega = longest then 0 when at = 0 and mega = 0 then longest * 40
+    else mega * 40 + at end as position from (
+    select *, row_number() over (partition by mega order by n desc, h, conv_id, turn) - 1 as at,
+      first_value(mega) over (order by n desc, mega) as longest from (
+      select *, (row_number() over (order by h, conv_id, turn) - 1) // 40 as mega
+      from (select conv_id, turn, n, {_HASH.format("'7:' || conv_id || ':' || turn")} as h from fx_counts) d) r) o) p""",
+    "fx_counts",
+)
+oracle(
+    "settings_as_of",
+    """select m.user_id, m.event_id, s.argument as system_message
+from (select * from fx_parsed where kind = 'message') m asof left join (
+  select user_id, ts, max(argument) as argument from fx_parsed where kind = 'system' and argument is not null group by all) s
+  on m.user_id = s.user_id and m.ts >= s.ts""",
+    "fx_parsed",
+)
+oracle(
+    "response_metrics",
+    rf"""select model_family, count(*) as responses, count(n) / count(*) as extraction_rate,
+  count(*) filter (answer = '') as empty,
+  count(*) filter ({_CONFORMING.format('answer')}) as conforming,
+  min(n) as min_tokens, quantile_disc(n, 0.5) as median_tokens, quantile_disc(n, 0.95) as p95_tokens, max(n) as max_tokens
+from (select *, case when answer <> '' then cast(len(regexp_extract_all(answer, '\S+')) as bigint) end as n from fx_extracted) e
+group by model_family""",
+    "fx_extracted",
+)

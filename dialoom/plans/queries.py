@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dialoom.families import TEMPLATES
 from dialoom.functions import chatlog as log_functions
 from dialoom.functions import evaluation as ev
 from dialoom.functions import settings as st
 from dialoom.functions import text as tx
 from dialoom.operators import packing, prepare, replay, scoring, turns as tn
+from dialoom.operators.ordered import as_of
 from dialoom.operators.python_functions import generate_responses, with_tokens
 from dialoom.plans import inputs, jobs, stand_ins
 from dialoom.session import streaming_session, work_path
@@ -678,3 +680,47 @@ def replay_log(spark, sf_dir):
 def replay_answers(spark, sf_dir):
     events = inputs.table(spark, sf_dir, "events")
     return jobs.replay_log(inputs.chatlog(events), inputs.outputs(events))
+
+
+@query
+def samples_by_run(spark, sf_dir):
+    """Runs written one after the other to one root, one of them twice."""
+    samples, root = inputs.samples(inputs.orders(spark, sf_dir)), work_path(spark, "runs")
+    base, tuned = samples.where("variant = 'base'"), samples.where("variant = 'fine_tune'")
+    for run in (base.where("repeat_no = 0"), tuned, base):
+        files.write_samples(run, root)
+    return files.read_samples(spark, root)
+
+
+@query
+def config_texts(spark, sf_dir):
+    ends = {name: t.assistant_close.strip() for name, t in TEMPLATES.items()}
+    texts = prepare.per_config_table(inputs.pairs(spark, sf_dir), inputs.configs(spark, sf_dir), ends)
+    return texts.groupBy("config").agg(
+        F.count("*").alias("texts"), F.sum(F.length("text")).alias("chars"), F.max("text").alias("last_text")
+    )
+
+
+@query
+def exact_split(spark, sf_dir):
+    return prepare.exact_split(inputs.turns(spark, sf_dir), "conv_id").select("conv_id", "turn", "split")
+
+
+@query
+def group_by_length(spark, sf_dir):
+    counted = packing.with_token_count(inputs.turns(spark, sf_dir)).select("conv_id", "turn", "n")
+    return packing.group_by_length(counted, ["conv_id", "turn"], seed="7:", megabatch=10)
+
+
+@query
+def settings_as_of(spark, sf_dir):
+    log = _parsed_log(spark, sf_dir)
+    messages = log.where(F.col("kind") == "message").select("user_id", "ts", "event_id")
+    settings = log.where((F.col("kind") == "system") & F.col("argument").isNotNull()).select("user_id", "ts", "argument")
+    found = as_of(messages, settings, "user_id", "ts")
+    return found.select("user_id", "event_id", F.col("matched.argument").alias("system_message"))
+
+
+@query
+def response_metrics(spark, sf_dir):
+    return jobs.response_metrics(inputs.raw_outputs(spark, sf_dir))

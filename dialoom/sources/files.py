@@ -40,8 +40,9 @@ SAMPLE_LAYOUT = ["model", "variant", "task"]
 
 
 def write_samples(samples: DataFrame, root: str) -> str:
-    """Per-sample logs in one folder for each model, variant and task."""
-    samples.write.mode("overwrite").partitionBy(*SAMPLE_LAYOUT).json(root)
+    """Per-sample logs in one folder for each model, variant and task. Only the folders of the given samples are
+    replaced, so that the logs of several runs stand side by side below one root."""
+    samples.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*SAMPLE_LAYOUT).json(root)
     return root
 
 
