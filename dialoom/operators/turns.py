@@ -210,15 +210,21 @@ def _rendered(turns: DataFrame, family: str | Column) -> DataFrame:
     return _folded(turns, family).withColumn("rendered", render_turn(F.col("role"), F.col("text"), family))
 
 
+def _part_texts(turns: DataFrame, family: str | Column) -> DataFrame:
+    pieces = F.array_sort(F.collect_list(F.struct("turn", "rendered")))
+    text = F.array_join(F.transform(pieces, lambda p: p["rendered"]), "").alias("text")
+    return _rendered(turns, family).groupBy("conv_id", "_part").agg(text)
+
+
+def render_texts(turns: DataFrame, family: str | Column) -> DataFrame:
+    """(conv_id, text): each conversation rendered as one text, without the places of its parts."""
+    return whole_texts(_part_texts(turns, family).withColumnRenamed("_part", "part"))
+
+
 def render_conversations(turns: DataFrame, family: str | Column) -> DataFrame:
     """Rendered text as (conv_id, part, start_pos, text): one row for each part of a conversation, with the place
     in the whole text at which it starts. `whole_texts` puts the parts together."""
-    pieces = F.array_sort(F.collect_list(F.struct("turn", "rendered")))
-    parts = (
-        _rendered(turns, family)
-        .groupBy("conv_id", "_part")
-        .agg(F.array_join(F.transform(pieces, lambda p: p["rendered"]), "").alias("text"))
-    )
+    parts = _part_texts(turns, family)
     ends = _positions(turns, family).groupBy("conv_id", "_part").agg(F.max("end_pos").alias("_end"))
     start = F.col("_end") - F.length("text")
     return parts.join(ends, ["conv_id", "_part"]).select(
@@ -259,13 +265,15 @@ def response_spans(turns: DataFrame, family: str | Column) -> DataFrame:
     return answers.select("conv_id", "turn", (end - F.col("chars")).alias("start_pos"), end.alias("end_pos"))
 
 
-def assemble(chunks: DataFrame, size: int | None = None) -> DataFrame:
-    """Chunks joined in order to one response per `rid`, blank and null chunks left out, repeated ones taken once.
+def assemble(chunks: DataFrame, size: int | None = None, blanks: bool = False) -> DataFrame:
+    """Chunks joined in order to one response per `rid`, null chunks left out, blank ones too unless `blanks` are
+    asked for, repeated ones taken once.
 
-    A reply of blank chunks alone is an empty text. Ranges of chunks are joined first and the few range texts after that, so a long reply is put together by
-    several tasks and only its text, which is the result, meets in one row.
+    A reply of blank chunks alone is an empty text. Ranges of chunks are joined first and the few range texts after
+    that, so a long reply is put together by several tasks and only its text, which is the result, meets in one row.
     """
-    said = F.when(strip(F.col("chunk")) != "", F.col("chunk")).otherwise("")
+    spoken = F.col("chunk").isNotNull() if blanks else strip(F.col("chunk")) != ""
+    said = F.when(spoken, F.col("chunk")).otherwise("")
     ranges = (
         chunks.groupBy("rid", part_of(F.col("seq"), size).alias("_part"))
         .agg(F.array_sort(F.array_distinct(F.collect_list(F.struct("seq", said.alias("chunk"))))).alias("_c"))

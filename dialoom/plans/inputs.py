@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dialoom.families import FAMILY_NAMES
 from dialoom.operators.replay import parse_log
-from dialoom.operators.turns import render_conversations, turn_pairs, whole_texts
+from dialoom.operators.turns import render_texts, turn_pairs
 
 CHUNK_CHARS = 40
 STOP_DECOY = "Question: 99"
@@ -26,7 +26,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    """Keys of the orders, dealt out before each becomes several samples: files may be fewer than cores."""
+    keys = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return keys.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +88,7 @@ def raw_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     newline after the end marker and some with a blank, which no pattern but gemma's allows."""
     family = family_of(F.col("conv_id"))
     tail = F.get(F.array(F.lit(""), F.lit("\n"), F.lit(" ")), (F.col("conv_id") % 3).cast("int"))
-    return whole_texts(render_conversations(turns(spark, sf_dir), family)).select(
+    return render_texts(turns(spark, sf_dir), family).select(
         "conv_id", family.alias("model_family"), F.concat("text", tail).alias("text")
     )
 

@@ -835,9 +835,9 @@ from conversations c join (
 oracle(
     "group_by_length",
     f"""select *, position // 4 as batch from (
-  select conv_id, turn, n, case when at = 0 and mega = longest then 0 when at = 0 and mega = 0 then longest * 40
-    else mega * 40 + at end as position from (
-    select *, row_number() over (partition by mega order by n desc, h, conv_id, turn) - 1 as at,
+  select conv_id, turn, n, case when spot = 0 and mega = longest then 0 when spot = 0 and mega = 0 then longest * 40
+    else mega * 40 + spot end as position from (
+    select *, row_number() over (partition by mega order by n desc, h, conv_id, turn) - 1 as spot,
       first_value(mega) over (order by n desc, mega) as longest from (
       select *, (row_number() over (order by h, conv_id, turn) - 1) // 40 as mega
       from (select conv_id, turn, n, {_HASH.format("'7:' || conv_id || ':' || turn")} as h from fx_counts) d) r) o) p""",

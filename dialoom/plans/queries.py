@@ -387,13 +387,13 @@ def holdout_split(spark, sf_dir):
 
 @query
 def render_chat(spark, sf_dir):
-    return tn.whole_texts(tn.render_conversations(inputs.turns(spark, sf_dir), inputs.family_of(F.col("conv_id"))))
+    return tn.render_texts(inputs.turns(spark, sf_dir), inputs.family_of(F.col("conv_id")))
 
 
 @query
 def generation_prompt(spark, sf_dir):
     family = inputs.family_of(F.col("conv_id"))
-    whole = tn.whole_texts(tn.render_conversations(inputs.turns(spark, sf_dir), family))
+    whole = tn.render_texts(inputs.turns(spark, sf_dir), family)
     return whole.select("conv_id", F.concat("text", tx.generation_prompt(family)).alias("prompt"))
 
 
@@ -562,14 +562,18 @@ def stream_prepare(spark, sf_dir):
 def stream_assemble(spark, sf_dir):
     sibling = streaming_session(spark)
     chunks = inputs.chunked(inputs.answers(_turn_stream(sibling, sf_dir)))
-    return spark.read.parquet(_run(sibling, streams.stream_assemble(chunks), "assembled"))
+    folder = work_path(sibling, "assembled")
+    streams.stream_replies(chunks, folder, f"{folder}/checkpoint")
+    return streams.told_replies(spark, folder)
 
 
 @query
 def stream_tags(spark, sf_dir):
     sibling = streaming_session(spark)
     chunks = inputs.chunked(inputs.tagged(_turn_stream(sibling, sf_dir)))
-    pieces = spark.read.parquet(_run(sibling, streams.stream_tags(chunks), "tags"))
+    folder = work_path(sibling, "tags")
+    streams.stream_replies(chunks, folder, f"{folder}/checkpoint", tags=True)
+    pieces = streams.told_replies(spark, folder, tags=True)
     in_order = F.array_sort(F.collect_list(F.struct("piece_no", "text")))
     return pieces.groupBy("rid", "section").agg(
         F.array_join(F.transform(in_order, lambda p: p["text"]), "").alias("text")

@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import sys
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dialoom.functions.chatlog import DEFAULT_SYSTEM_MESSAGE, DEFAULT_TEMPERATURE
 from dialoom.operators.ordered import in_ranges
 from dialoom.operators.prepare import keep_text, training_text
 from dialoom.operators.replay import ORDER, closings, located, parse_answers, parse_log, settle
 from dialoom.operators.scoring import exact_match_mean, score
+from dialoom.operators.turns import assemble
 from dialoom.session import exists, make_folder, publish
 from dialoom.sources.files import stream_sink
-from dialoom.streaming.state import AssembleReplies, ReplaySessions, TagSections
+from dialoom.streaming.state import AssembleReplies, ReplaySessions, TagSections, read_sections
+
+# Sent to the workers by value, so that they need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def stream_prepare(pairs: DataFrame, family: str, eos: str | None = None) -> DataFrame:
@@ -20,37 +29,106 @@ def stream_prepare(pairs: DataFrame, family: str, eos: str | None = None) -> Dat
     return keep_text(training_text(pairs, family, eos))
 
 
-def _time_mode(ttl_ms: int | None) -> str:
-    return "None" if ttl_ms is None else "ProcessingTime"
+REPLY = "rid string, response string"
+PIECE = "rid string, piece_no bigint, section string, text string"
+CHUNK = ["rid", "seq", "chunk", "is_last"]
 
 
-def stream_assemble(chunks: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+def _by_reply(chunks: DataFrame, processor: type, result: str, ttl_ms: int | None, forget_after: str | None) -> DataFrame:
+    mode, columns = "None" if ttl_ms is None else "ProcessingTime", CHUNK
+    if forget_after:
+        chunks, mode, columns = chunks.withWatermark("ts", forget_after), "EventTime", [*CHUNK, "ts"]
+    state = processor(ttl_ms, bool(forget_after))
+    return chunks.select(*columns).groupBy("rid").transformWithStateInPandas(state, result, "Append", mode)
+
+
+def stream_assemble(chunks: DataFrame, ttl_ms: int | None = None, forget_after: str | None = None) -> DataFrame:
     """Chunks of each reply to its full text, emitted when the last missing chunk has come, in any order.
 
-    `ttl_ms` drops replies that get no further chunk for so long. It needs the processing time, with which an
-    availableNow run never ends, so it is for streams that stay up.
+    What is kept of replies, told ones too, goes after `forget_after`, such as "1 hour", without a chunk by the
+    chunks' own `ts`, when later chunks of others have come. `ttl_ms` does so by the clock instead, for streams
+    that stay up: with it a batch runs at every trigger and an availableNow run never ends.
     """
-    return (
-        chunks.select("rid", "seq", "chunk", "is_last")
-        .groupBy("rid")
-        .transformWithStateInPandas(
-            AssembleReplies(ttl_ms), "rid string, response string", "Append", _time_mode(ttl_ms)
-        )
-    )
+    return _by_reply(chunks, AssembleReplies, REPLY, ttl_ms, forget_after)
 
 
-def stream_tags(chunks: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+def stream_tags(chunks: DataFrame, ttl_ms: int | None = None, forget_after: str | None = None) -> DataFrame:
     """Chunks of each reply to pieces (rid, piece_no, section, text); how it was cut makes no difference."""
-    return (
-        chunks.select("rid", "seq", "chunk", "is_last")
-        .groupBy("rid")
-        .transformWithStateInPandas(
-            TagSections(ttl_ms),
-            "rid string, piece_no bigint, section string, text string",
-            "Append",
-            _time_mode(ttl_ms),
-        )
+    return _by_reply(chunks, TagSections, PIECE, ttl_ms, forget_after)
+
+
+def _split_whole(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Chunks of the replies that are all there, and the other chunks."""
+    ended = F.max(F.when(F.col("is_last"), F.col("seq"))).alias("last")
+    marks = chunks.groupBy("rid").agg(F.count_distinct("seq").alias("n"), ended)
+    whole = marks.where(F.col("n") > F.col("last")).select("rid")
+    return chunks.join(whole, "rid", "left_semi"), chunks.join(whole, "rid", "left_anti")
+
+
+def _tagged_pieces(replies: DataFrame) -> DataFrame:
+    """Whole replies (rid, response) to pieces, in Arrow batches and without state."""
+
+    @F.pandas_udf("array<struct<section string, text string>>")
+    def cut(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: [{"section": s, "text": t} for s, t in read_sections("text", text, True)[0]])
+
+    pieces = replies.select("rid", F.posexplode(cut("response")).alias("at", "piece"))
+    return pieces.select("rid", F.col("at").cast("bigint").alias("piece_no"), "piece.section", "piece.text")
+
+
+def stream_replies(
+    chunks: DataFrame,
+    folder: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    tags: bool = False,
+    forget_after: str | None = None,
+):
+    """Replies put together, or with `tags` cut into pieces, where only replies that a micro-batch leaves open meet
+    keyed state, in two queries.
+
+    The first joins the chunks of replies that are all there with the batch operators, into `<folder>/whole`, and
+    passes the others on to the second, `stream_assemble` or `stream_tags`, which writes to `<folder>/joined`.
+    `told_replies` reads both. Without a `trigger` the run ends with what is available; with one both queries are
+    the caller's to stop. Both are returned.
+    """
+    spark = chunks.sparkSession
+    columns = [*CHUNK, "ts"] if forget_after else CHUNK
+
+    def join_whole(batch: DataFrame, batch_id: int) -> None:
+        left = f"{folder}/open/batch={batch_id}"
+        if exists(spark, left):  # the whole batch was done before its end was noted
+            return
+        whole, rest = _split_whole(batch.select(*columns))
+        replies = assemble(whole, blanks=tags)
+        told = _tagged_pieces(replies) if tags else replies
+        told.write.mode("overwrite").parquet(f"{folder}/whole/batch={batch_id}")
+        rest.write.mode("overwrite").parquet(f"{folder}/_open/batch={batch_id}")
+        publish(spark, f"{folder}/_open/batch={batch_id}", left)
+
+    joining = (
+        chunks.writeStream.foreachBatch(join_whole)
+        .option("checkpointLocation", f"{checkpoint}/whole")
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
     )
+    _finished(joining, trigger)
+    make_folder(spark, f"{folder}/open")
+    schema = T.StructType([chunks.schema[c] for c in columns])
+    keyed = (stream_tags if tags else stream_assemble)(
+        spark.readStream.schema(schema).parquet(f"{folder}/open"), forget_after=forget_after
+    )
+    return joining, stream_sink(keyed, f"{folder}/joined", f"{checkpoint}/open", trigger)
+
+
+def told_replies(spark: SparkSession, folder: str, tags: bool = False) -> DataFrame:
+    """The replies of `stream_replies` so far, or their pieces, each reply once: one that came whole, in whatever
+    batch, is told as it came whole."""
+    schema = PIECE if tags else REPLY
+    whole = spark.read.schema(f"{schema}, batch bigint").parquet(f"{folder}/whole").drop("batch")
+    whole = whole.dropDuplicates(["rid", "piece_no"] if tags else ["rid"])
+    joined = spark.read.schema(schema).parquet(f"{folder}/joined")
+    return whole.unionByName(joined.join(whole.select("rid"), "rid", "left_anti"))
 
 
 def _finished(query, trigger: dict | None):

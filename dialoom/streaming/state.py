@@ -21,23 +21,58 @@ def _chunks(frame: pd.DataFrame) -> Iterator[tuple[int, str]]:
     return zip(frame["seq"].tolist(), ("" if chunk is None else chunk for chunk in frame["chunk"].tolist()))
 
 
-class AssembleReplies(StatefulProcessor):
-    """Collects the chunks of a reply by number and emits the text once all up to the last are there."""
+class _Forgetting(StatefulProcessor):
+    """Drops all that is kept of a reply, its mark of being told included, once the watermark has passed its last
+    chunk. The watermark is as far behind as a reply may be silent."""
 
-    def __init__(self, ttl_ms: int | None = None) -> None:
+    def __init__(self, ttl_ms: int | None = None, forgets: bool = False) -> None:
         self.ttl_ms = ttl_ms
+        self.forgets = forgets
+
+    def watch(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.heard = handle.getValueState("heard", "at bigint", self.ttl_ms)
+
+    def hear(self, frames: list[pd.DataFrame]) -> None:
+        if not self.forgets:
+            return
+        newest = max(int(frame["ts"].max().timestamp() * 1000) for frame in frames)
+        stored = self.heard.get()
+        if stored:
+            newest = max(newest, stored[0])
+            self.handle.deleteTimer(stored[0])
+        self.handle.registerTimer(newest)
+        self.heard.update((newest,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        for state in (self.heard, *self.kept()):
+            state.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+class AssembleReplies(_Forgetting):
+    """Collects the chunks of a reply by number and emits the text once all up to the last are there."""
+
+    def kept(self) -> list:
+        return [self.waiting, self.last, self.done]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.watch(handle)
         self.waiting = handle.getMapState("waiting", "seq bigint", "chunk string", self.ttl_ms)
         self.last = handle.getValueState("last", "seq bigint", self.ttl_ms)
         self.done = handle.getValueState("done", "at bigint", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        frames = list(rows)
+        self.hear(frames)
         if self.done.exists():  # a repeat of what has been told
             return
         new: dict[int, str] = {}
         last = None
-        for frame in rows:
+        for frame in frames:
             new.update(_chunks(frame))
             ends = frame.loc[frame["is_last"], "seq"]
             if len(ends):
@@ -59,9 +94,6 @@ class AssembleReplies(StatefulProcessor):
         text = "".join(chunks[seq] for seq in sorted(chunks) if chunks[seq].strip())
         yield pd.DataFrame({"rid": [key[0]], "response": [text]})
 
-    def close(self) -> None:
-        pass
-
 
 # The tags that mean something in each section, and the section they lead to.
 TAGS = {
@@ -97,13 +129,14 @@ def read_sections(section: str, buffer: str, final: bool) -> tuple[list[tuple[st
     return pieces, section, buffer[len(buffer) - keep :]
 
 
-class TagSections(StatefulProcessor):
+class TagSections(_Forgetting):
     """Cuts replies into tagged sections chunk by chunk; early chunks wait for their turn."""
 
-    def __init__(self, ttl_ms: int | None = None) -> None:
-        self.ttl_ms = ttl_ms
+    def kept(self) -> list:
+        return [self.place, self.early, self.done]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.watch(handle)
         self.place = handle.getValueState(
             "place", "section string, buffer string, next_seq bigint, piece_no bigint, last_seq bigint", self.ttl_ms
         )
@@ -111,12 +144,14 @@ class TagSections(StatefulProcessor):
         self.done = handle.getValueState("done", "at bigint", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        frames = list(rows)
+        self.hear(frames)
         if self.done.exists():  # a repeat of what has been told
             return
         stored = self.place.get()
         section, buffer, next_seq, piece_no, last = stored if stored else ("text", "", 0, 0, -1)
         new: dict[int, str] = {}
-        for frame in rows:
+        for frame in frames:
             new.update(_chunks(frame))
             ends = frame.loc[frame["is_last"], "seq"]
             if len(ends):
@@ -154,9 +189,6 @@ class TagSections(StatefulProcessor):
                 }
             )
 
-    def close(self) -> None:
-        pass
-
 
 class ReplaySessions(StatefulProcessor):
     """Carries sessions over the ranges of a log: what a session has in force and where its open conversation is.

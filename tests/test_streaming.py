@@ -83,6 +83,65 @@ def test_repeats_and_nulls_are_told_once(spark):
     assert sorted(map(tuple, pieces)) == [("a", 0, "text", "x"), ("a", 1, "output", "y")]
 
 
+def replies_of(spark, folder, tags=False, **options):
+    sibling = streaming_session(spark)
+    out = work_path(spark, "test_replies")
+    chunks = files.stream_chunks(sibling, folder, files_per_batch=1) if not options else options.pop("chunks")(sibling)
+    jobs.stream_replies(chunks, out, f"{out}/checkpoint", tags=tags, **options)
+    return jobs.told_replies(spark, out, tags), out
+
+
+def sections_of(pieces):
+    found = {}
+    for row in sorted(pieces.collect(), key=lambda r: (r.rid, r.piece_no)):
+        found.setdefault((row.rid, row.section), []).append(row.text)
+    return {k: "".join(v) for k, v in found.items()}
+
+
+def test_replies_that_are_all_there_need_no_state(spark, chunk_folder):
+    found, out = replies_of(spark, chunk_folder)
+    batch = tn.assemble(spark.read.parquet(chunk_folder))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, batch.collect()))
+    keyed = {r.rid for r in spark.read.parquet(f"{out}/open").select("rid").distinct().collect()}
+    whole = {r.rid for r in spark.read.parquet(f"{out}/whole").collect()}
+    assert keyed and whole and not keyed & whole
+    assert sections_of(replies_of(spark, chunk_folder, tags=True)[0]) == sections_of(run(spark, jobs.stream_tags, chunk_folder))
+
+
+def test_replies_told_by_both_ways_are_told_once(spark):
+    rows = [("a", 0, "x<output>", False), ("a", 1, " ", False), ("a", 2, "y", True), ("n", 0, None, True)]
+    folder = work_path(spark, "test_ways")
+    for part in (rows[:1], rows, rows[1:], rows):
+        spark.createDataFrame(part, "rid string, seq long, chunk string, is_last boolean").coalesce(1).write.mode(
+            "append"
+        ).parquet(folder)
+    assert sorted(map(tuple, replies_of(spark, folder)[0].collect())) == [("a", "x<output>y"), ("n", "")]
+    pieces = replies_of(spark, folder, tags=True)[0].select("rid", "piece_no", "section", "text").collect()
+    assert sorted(map(tuple, pieces)) == [("a", 0, "text", "x"), ("a", 1, "output", " y")]
+
+
+@pytest.mark.parametrize("tags", [False, True])
+def test_state_of_old_replies_is_dropped(spark, tags):
+    """Two open chunks an hour for 30 hours, of replies that end two hours later; an hour of silence is too long."""
+    folder = work_path(spark, "test_hours")
+    schema = "rid string, seq long, chunk string, is_last boolean, at long"
+    for hour in range(30):
+        rows = [(f"r{hour}", 0, "a", False, hour * 3600), (f"lost{hour}", 0, "b", False, hour * 3600)]
+        rows += [(f"r{hour - 1}", 1, "c", True, hour * 3600)] if hour else []
+        df = spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_seconds("at")).drop("at")
+        df.coalesce(1).write.mode("append").parquet(folder)
+    schema = spark.read.parquet(folder).schema
+
+    def stream(sibling):
+        return sibling.readStream.schema(schema).option("maxFilesPerTrigger", 10).parquet(folder)
+
+    found, out = replies_of(spark, folder, tags, chunks=stream, forget_after="2 hours")
+    assert {f"r{hour}" for hour in range(29)} <= {r.rid for r in found.collect()}
+    name = "place" if tags else "done"
+    state = spark.read.format("statestore").option("path", f"{out}/checkpoint/open").option("stateVarName", name).load()
+    assert state.count() < 10  # of 60 replies
+
+
 def test_a_stream_with_a_trigger_stays_up_and_forgets(spark, chunk_folder):
     import time
 
