@@ -102,14 +102,14 @@ def with_running(
 def as_of(left: DataFrame, right: DataFrame, by: str, on: str) -> DataFrame:
     """`left` with `matched`, the columns of the row of `right` with the same `by` and the greatest `on` up to its own.
 
-    Null where there is none. Of rows of `right` with the same `by` and `on` the greatest counts. Both tables are
+    Null where there is none, as for a null key. Of rows of `right` with the same `by` and `on` the greatest counts. Both tables are
     put in one order of ranges and the last row of `right` is carried along, so that a key with most of the rows
     is several tasks and no row meets more than one other.
     """
     own = F.struct(*[c for c in left.columns if c not in (by, on)]).alias("_own")
     value = F.struct(*[c for c in right.columns if c not in (by, on)]).alias("_value")
     lefts = left.select(by, on, F.lit(1).alias("_side"), own)
-    rights = right.select(by, on, F.lit(0).alias("_side"), value)
+    rights = right.where(F.col(by).isNotNull() & F.col(on).isNotNull()).select(by, on, F.lit(0).alias("_side"), value)
     ranged = in_ranges(lefts.unionByName(rights, allowMissingColumns=True), [by, on])
     carried = with_running(ranged, [by], F.col("_range"), [on, "_side", "_value"], [Running("matched", "last", F.col("_value"))])
     return carried.where(F.col("_side") == 1).select(by, on, "_own.*", "matched")
