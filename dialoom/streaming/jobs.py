@@ -195,7 +195,7 @@ def stream_replay(
     closed = spark.readStream.schema(CLOSED).parquet(f"{folder}/ranges")
     if forget_after:
         closed = closed.withWatermark("ts", forget_after)
-    starts = closed.groupBy("user_id").transformWithStateInPandas(
+    starts = closed.groupBy("user_id").transformWithState(
         ReplaySessions(bool(forget_after)), STARTS, "Append", "EventTime" if forget_after else "None"
     )
     return reducing, stream_sink(starts, f"{folder}/starts", f"{checkpoint}/carry", trigger)

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -212,43 +213,48 @@ class ReplaySessions(StatefulProcessor):
         )
         self.history = handle.getListState("history", "batch bigint, range_no int, first bigint, news bigint")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         stored = self.session.get()
         conversation, messages, chars, system, temperature, ended, told, last = stored or self.EMPTY
-        closed = pd.concat(list(rows)).sort_values(["batch", "range_no"])
-        out, before, kept, new = [], told, True, []
-        for r in closed[closed["batch"] > before].to_dict("records"):
-            out.append((key[0], r["batch"], r["range_no"], conversation, messages, chars, system, temperature, ended))
-            told = max(told, r["batch"])
-            last = max(last, int(r["ts"].timestamp() * 1000))
+        before, kept, new = told, True, []
+        for r in sorted(rows, key=lambda r: (r.batch, r.range_no)):
+            if r.batch <= before:
+                continue
+            yield Row(
+                user_id=key[0],
+                batch=r.batch,
+                range_no=r.range_no,
+                conversation=conversation,
+                messages=messages,
+                chars=chars,
+                system=system,
+                temperature=temperature,
+                ended=ended,
+            )
+            told, last = r.batch, max(last, int(r.ts.timestamp() * 1000))
             if ended:
                 continue
-            if r["news"]:
-                conversation, messages, chars, kept, new = conversation + r["news"], 0, 0, False, []
-            if r["said"]:
-                new.append((int(r["batch"]), int(r["range_no"]), int(messages), int(r["news"])))
-            messages, chars = messages + r["said"], chars + r["chars"]
-            system = r["system"] if isinstance(r["system"], str) else system
-            temperature = r["temperature"] if pd.notna(r["temperature"]) else temperature
-            ended = bool(r["exits"])
-        if not out:
+            if r.news:
+                conversation, messages, chars, kept, new = conversation + r.news, 0, 0, False, []
+            if r.said:
+                new.append((r.batch, r.range_no, messages, r.news))
+            messages, chars = messages + r.said, chars + r.chars
+            system = r.system if r.system is not None else system
+            temperature = r.temperature if r.temperature is not None else temperature
+            ended = bool(r.exits)
+        if told == before:
             return
-        if not kept:
+        if stored and not kept:
             self.history.clear()
         if new:
             self.history.appendList(new)
-        number = None if temperature is None else float(temperature)
-        self.session.update((int(conversation), int(messages), int(chars), system, number, ended, int(told), last))
+        self.session.update((conversation, messages, chars, system, temperature, ended, told, last))
         if self.forgets:
             if stored:
                 self.handle.deleteTimer(stored[-1])
             self.handle.registerTimer(last)
-        yield pd.DataFrame(
-            out,
-            columns=["user_id", "batch", "range_no", "conversation", "messages", "chars", "system", "temperature", "ended"],
-        ).astype({"temperature": "float64"})
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         """The watermark is as far behind as a session may be idle, so one whose last row it has passed is gone."""
         self.session.clear()
         self.history.clear()
