@@ -140,14 +140,15 @@ def group_by_length(
     mega = F.floor((F.col("_offset") + F.col("_local") - 1) / (size * megabatch))
     by_length = Window.partitionBy("_mega").orderBy(F.desc("n"), "_hash", *order)
     sorted_ = drawn.withColumn("_mega", mega).withColumn("_at", F.row_number().over(by_length) - 1)
-    longest = drawn.select(mega.alias("_mega"), "n").agg(F.max_by("_mega", F.struct("n", -F.col("_mega"))).alias("_first"))
+    longest = drawn.select(mega.alias("_mega"), "n").agg(F.max_by("_mega", F.struct("n", -F.col("_mega"))))
+    first = F.lit(longest.first()[0] or 0)  # one number: the megabatch with the longest row
     place = F.col("_mega") * size * megabatch + F.col("_at")
     swapped = (
-        F.when((F.col("_at") == 0) & (F.col("_mega") == F.col("_first")), 0)
-        .when((F.col("_at") == 0) & (F.col("_mega") == 0), F.col("_first") * size * megabatch)
+        F.when((F.col("_at") == 0) & (F.col("_mega") == first), 0)
+        .when((F.col("_at") == 0) & (F.col("_mega") == 0), first * size * megabatch)
         .otherwise(place)
     )
-    placed = sorted_.join(F.broadcast(longest)).withColumn("position", swapped.cast("bigint"))  # one row
+    placed = sorted_.withColumn("position", swapped.cast("bigint"))
     return placed.select(*order, "n", "position", F.floor(F.col("position") / size).alias("batch"))
 
 
