@@ -861,3 +861,9 @@ from (select *, case when answer <> '' then cast(len(regexp_extract_all(answer,
 group by model_family""",
     "fx_extracted",
 )
+oracle(
+    "mapped_records",
+    r"""select conv_id, turn, cast(len(said) as bigint) as words, cast(len(list_intersect(said, asked)) as bigint) as shared
+from (select conv_id, turn, regexp_extract_all("user", '\S+') as asked, regexp_extract_all(assistant, '\S+') as said from fx_pairs) p""",
+    "fx_pairs",
+)

@@ -14,7 +14,7 @@ from dialoom.functions import settings as st
 from dialoom.functions import text as tx
 from dialoom.operators import packing, prepare, replay, scoring, turns as tn
 from dialoom.operators.ordered import as_of
-from dialoom.operators.python_functions import generate_responses, with_tokens
+from dialoom.operators.python_functions import generate_responses, map_records, with_tokens
 from dialoom.plans import inputs, jobs, stand_ins
 from dialoom.session import streaming_session, work_path
 from dialoom.sources import files
@@ -728,3 +728,9 @@ def settings_as_of(spark, sf_dir):
 @query
 def response_metrics(spark, sf_dir):
     return jobs.response_metrics(inputs.raw_outputs(spark, sf_dir))
+
+
+@query
+def mapped_records(spark, sf_dir):
+    schema = "conv_id bigint, turn bigint, words bigint, shared bigint"
+    return map_records(inputs.pairs(spark, sf_dir), stand_ins.measure_pair, schema)

@@ -25,3 +25,9 @@ def load_adder():
 def piece_lengths(texts: list[str]) -> list[list[int]]:
     """A stand-in for a tokenizer: the length of each whitespace-separated piece."""
     return [[len(piece) for piece in text.split()] for text in texts]
+
+
+def measure_pair(record: dict) -> dict:
+    """A record function: the ids of a pair and the words of its answer that its question has too."""
+    asked, said = record["user"].split(), record["assistant"].split()
+    return {"conv_id": record["conv_id"], "turn": record["turn"], "words": len(said), "shared": len({*asked} & {*said})}
