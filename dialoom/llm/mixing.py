@@ -1,6 +1,6 @@
 """Mixing of sources to target weights, by blocks of words.
 
-The words of each source, documents in the order of their ids, are packed into blocks of fixed length. The
+The words of each source, documents dealt to lots by a hash of their ids, are packed into blocks of fixed length. The
 mixture is a row of slots, dealt to output shards. How many slots of a shard each source gets is drawn from
 a multinomial. The j-th slot of a source holds its block number p(j), p being a pseudorandom permutation of
 the source's block numbers, a new one for each pass over the source; so no block is used twice in a pass, and
@@ -35,6 +35,8 @@ SHARE, LIMIT = 1.5, 2
 BLOCK_WORDS = 256
 SHARD_SLOTS = 4096
 LOT_ROWS = 4096
+STRETCH = 4096
+FILL_SHARDS = 16
 MOST_SOURCES = 100_000  # a mixture has a weight for each source, so their number is that of a setting
 SEED = 20
 
@@ -149,6 +151,24 @@ def plan(sizes: DataFrame, weights: tuple[float, ...], block: int) -> list[Sourc
     ]
 
 
+def _with_before(rows: DataFrame, order: str, value: str) -> DataFrame:
+    """`rows`, one for each number and `order`, with the sum of `value` in earlier rows of the number in `before`.
+
+    A number is cut into stretches of 4,096 in `order`; only one row for each stretch is sorted in one task.
+    """
+    cut = rows.withColumn("stretch", F.floor(F.col(order) / STRETCH))
+    inside = Window.partitionBy("number", "stretch").orderBy(order)
+    over = Window.partitionBy("number").orderBy("stretch")
+    sums = cut.groupBy("number", "stretch").agg(F.sum(value).alias("sum"))
+    earlier = sums.select("number", "stretch", (F.sum("sum").over(over) - F.col("sum")).alias("earlier"))
+    return (
+        cut.withColumn("before", F.sum(value).over(inside) - F.col(value))
+        .join(earlier, ["number", "stretch"])
+        .withColumn("before", F.col("before") + F.col("earlier"))
+        .drop("stretch", "earlier")
+    )
+
+
 def _placed(sizes: DataFrame, block: int, rows: int) -> DataFrame:
     """Parts (row, number, block, lo, hi) of documents in the blocks of their source; lo and hi count from the
     start of the block, `at` from the start of the document.
@@ -159,9 +179,8 @@ def _placed(sizes: DataFrame, block: int, rows: int) -> DataFrame:
     lots = math.ceil(rows / LOT_ROWS)
     dealt = sizes.where("size > 0").withColumn("lot", F.pmod(F.xxhash64("doc_id"), F.lit(lots)))
     inside = Window.partitionBy("number", "lot").orderBy("doc_id", "size", "row")
-    over = Window.partitionBy("number").orderBy("lot")
-    totals = dealt.groupBy("number", "lot").agg(F.sum("size").alias("words"))
-    offsets = totals.select("number", "lot", (F.sum("words").over(over) - F.col("words")).alias("offset"))
+    totals = written(dealt.groupBy("number", "lot").agg(F.sum("size").alias("words")), "lots")
+    offsets = _with_before(totals, "lot", "words").select("number", "lot", F.col("before").alias("offset"))
     ends = dealt.withColumn("end", F.sum("size").over(inside)).join(offsets, ["number", "lot"])
     ends = ends.select("row", "number", "size", (F.col("offset") + F.col("end")).alias("end"))
     start = F.col("end") - F.col("size")
@@ -197,30 +216,49 @@ def _slots(spark, sources: list[Source], shard_slots: int) -> DataFrame:
     surplus_before = np.cumsum(np.maximum(got - wanted, 0)) - np.maximum(got - wanted, 0)
     lacking_until = np.cumsum(np.maximum(wanted - got, 0))
 
+    def owners(shard: int, number: int, n: int, before: int) -> tuple[np.ndarray, ...]:
+        """(shard, source, number of the slot in it) of the `n` slots drawn for `number` in `shard`."""
+        slot = np.arange(before, before + n)
+        owner = np.full(n, number)
+        extra = slot >= wanted[number]
+        rank = surplus_before[number] + slot[extra] - wanted[number]
+        owner[extra] = np.searchsorted(lacking_until, rank, "right")
+        heir = owner[extra]
+        slot[extra] = wanted[heir] - (lacking_until[heir] - rank)
+        return np.full(n, shard), owner, slot
+
+    def filled(parts: list[tuple[np.ndarray, ...]]) -> pd.DataFrame:
+        shard, owner, slot = (np.concatenate(column) for column in zip(*parts, strict=True))
+        turn, block, take = np.empty_like(slot), np.empty_like(slot), np.empty_like(slot)
+        by_owner = np.argsort(owner, kind="stable")
+        for mine in np.split(by_owner, np.flatnonzero(np.diff(owner[by_owner])) + 1):
+            source, own = sources[owner[mine[0]]], slot[mine]
+            turns, index = np.divmod(own, source.blocks)
+            blocks = np.empty_like(own)
+            for t in np.unique(turns):
+                blocks[turns == t] = permuted(index[turns == t], source.blocks, source.key(int(t)))
+            turn[mine], block[mine] = turns, blocks
+            take[mine] = np.where(own == source.slots - 1, source.last_take, source.block)
+        place = mixed(slot.astype(np.uint64) * np.uint64(len(sources)) + owner.astype(np.uint64)).view(np.int64)
+        return pd.DataFrame(
+            {"shard": shard, "place": place, "number": owner, "block": block, "turn": turn, "take": take}
+        )
+
     def fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts, held = [], 0
         for frame in frames:
-            for shard, number, n, before in frame[["shard", "number", "drawn", "before"]].itertuples(index=False):
-                slot = np.arange(before, before + n)
-                owner = np.full(n, number)
-                extra = slot >= wanted[number]
-                rank = surplus_before[number] + slot[extra] - wanted[number]
-                owner[extra] = np.searchsorted(lacking_until, rank, "right")
-                heir = owner[extra]
-                slot[extra] = wanted[heir] - (lacking_until[heir] - rank)
-                for other in np.unique(owner):
-                    source, own = sources[other], slot[owner == other]
-                    turn, index = np.divmod(own, source.blocks)
-                    block = np.empty_like(own)
-                    for t in np.unique(turn):
-                        block[turn == t] = permuted(index[turn == t], source.blocks, source.key(int(t)))
-                    take = np.where(own == source.slots - 1, source.last_take, source.block)
-                    place = mixed(own.astype(np.uint64) * np.uint64(len(sources)) + np.uint64(other)).view(np.int64)
-                    yield pd.DataFrame(
-                        {"shard": shard, "place": place, "number": other, "block": block, "turn": turn, "take": take}
-                    )
-
-    earlier = Window.partitionBy("number").orderBy("shard")
-    before = drawn.withColumn("before", F.sum("drawn").over(earlier) - F.col("drawn"))
+            for row in frame[["shard", "number", "drawn", "before"]].itertuples(index=False):
+                parts.append(owners(*row))
+                held += row.drawn
+                if held >= FILL_SHARDS * SHARD_SLOTS:
+                    yield filled(parts)
+                    parts, held = [], 0
+        if parts:
+            yield filled(parts)
+
+    # a small row becomes up to `shard_slots` slots, so the number of tasks goes by slots and not by bytes
+    lanes = max(1, math.ceil(shards / FILL_SHARDS))
+    before = _with_before(drawn, "shard", "drawn").repartition(lanes, "shard")
     slots = before.mapInPandas(fill, "shard long, place long, number int, block long, turn long, take long")
     return written(slots, "slots")  # many more rows than the plan can know, which would broadcast them
 

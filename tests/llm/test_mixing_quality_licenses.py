@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from dialoom.llm import license_scan
+from dialoom.llm import license_scan, mixing
 from dialoom.llm.byte_bpe import Codec, read_ranks
 from dialoom.llm.mixing import WORD, mix, mixed_documents, permuted, targets
 from dialoom.llm.quality import keep_good, score_quality, statistics
@@ -65,6 +65,30 @@ def test_mixed_documents_hold_the_words_taken(spark):
     assert [(r.size, r.taken) for r in mix(nothing).collect()] == [(0, 0)] and mixed_documents(nothing).collect() == []
 
 
+@pytest.mark.parametrize("stretch", [2, 4096])
+def test_words_taken_of_each_document(spark, monkeypatch, stretch):
+    """Every slot of a source once, its block by the same permutation, words counted one by one."""
+    monkeypatch.setattr(mixing, "STRETCH", stretch)
+    monkeypatch.setattr(mixing, "LOT_ROWS", 40)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "source")
+    sizes = mixing._sizes(docs, [], "doc_id", "text", "source")
+    rows = sizes.withColumn("hash", F.xxhash64("doc_id")).orderBy("row").collect()
+    lots = -(-len(rows) // 40)
+    expected = {r.doc_id: 0 for r in rows}
+    for source in mixing.plan(sizes, mixing.WEIGHTS, 32):
+        own = [r for r in rows if r.source == source.name]
+        own.sort(key=lambda r: (r.hash % lots, r.doc_id))
+        words = [r.doc_id for r in own for _ in range(r.size)]
+        for slot in range(source.slots):
+            turn, index = divmod(slot, source.blocks)
+            block = int(permuted(np.array([index]), source.blocks, source.key(turn))[0])
+            last = slot == source.slots - 1
+            for doc in words[block * 32 : (block + 1) * 32][: source.last_take if last else None]:
+                expected[doc] += 1
+    got = mix(docs, block=32, shard_slots=16)
+    assert {r.doc_id: r.taken for r in got.collect()} == expected
+
+
 def words_of(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
