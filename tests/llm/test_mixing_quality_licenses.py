@@ -93,7 +93,14 @@ def words_of(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
 
-def test_licenses_against_all_lines_and_templates(spark):
+BSD = "Redistribution and use in source and binary forms, with or without\n modification, are permitted"
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public\n# License, v. 2.0."
+GPL = "This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU\n * Lesser"
+
+
+@pytest.mark.parametrize("step", [5, 128])
+def test_licenses_against_all_windows_and_templates(spark, monkeypatch, step):
+    monkeypatch.setattr(license_scan, "STEP", step)
     texts = [
         None,
         "",
@@ -105,6 +112,13 @@ def test_licenses_against_all_lines_and_templates(spark):
         "Éa all RIGHTS\xa0reserved. é",
         "rights reserved all\nall rights",
         "word " * 30_000 + "mit license",
+        BSD,
+        "x " * 120 + MPL,
+        "y " * 250 + GPL + " General Public License " + BSD,
+        "all " + "z " * 9 + "rights " + "z " * 9 + "reserved",  # scattered words are no notice
+        "forms " * 40 + BSD.replace("and", "and also").replace("forms", ""),
+        "\n".join(license_scan.TEMPLATES),
+        "\n".join(license_scan.TEMPLATES),
     ]
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], "doc_id long, text string, words string, row int")
     got = {r.doc_id: r for r in license_scan.scan_licenses(df).collect()}
@@ -117,18 +131,20 @@ def test_licenses_against_all_lines_and_templates(spark):
             places += at
             own |= {label} if at else set()
         found, score = set(), 0.0
-        for line in (text or "").split("\n"):
-            for template, label in license_scan.TEMPLATES.items():
-                t = set(template.split())
-                share = len(t & set(words_of(line))) / len(t)
-                if share >= license_scan.CONTAINED:
-                    found.add(label)
-                    score = max(score, share)
+        for template, label in license_scan.TEMPLATES.items():
+            t, reach = set(template.split()), int(len(template.split()) / license_scan.CONTAINED + 1e-9)
+            near = [k for k, w in enumerate(words) if w in t]
+            share = max((len(t & set(words[k : k + reach])) / len(t) for k in near), default=0)
+            if share >= license_scan.CONTAINED:
+                found.add(label)
+                score = max(score, share)
         r = got[i]
         assert (r.n_words, r.n_base) == (len(words), len(places))
         assert (r.first_word, r.last_word) == ((min(places), max(places)) if places else (None, None))
         assert (r.base_labels, r.labels) == (",".join(sorted(own)), ",".join(sorted(own | found)))
         assert r.score == pytest.approx(1.0 if places else score)
+    assert [got[i].labels for i in (10, 11, 13)] == ["bsd", "mpl", ""]
+    assert got[12].labels == "bsd,gpl" and got[15].labels == got[16].labels
     assert license_scan.scan_licenses(df.limit(0)).collect() == []
 
 
