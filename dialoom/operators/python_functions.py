@@ -10,7 +10,7 @@ from types import ModuleType
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +38,23 @@ def with_tokens(
     return df.withColumn("tokens", encode(F.col(text)))
 
 
+def token_offsets(offsets: Callable[[list[str]], list[list[tuple[int, int]]]]) -> Callable[[Column], Column]:
+    """A column function with the (start, end) characters of the tokens of a text, by the caller's tokenizer.
+
+    `offsets` gets a list of texts and returns a list of pairs for each; null texts are kept from it.
+    """
+
+    @F.pandas_udf("array<struct<start:int,end:int>>")
+    def spans(texts: pd.Series) -> pd.Series:
+        known = texts.notna()
+        found = [[{"start": a, "end": b} for a, b in pairs] for pairs in offsets(texts[known].tolist())]
+        out = pd.Series([None] * len(texts), dtype=object)
+        out[known.to_numpy()] = pd.Series(found, dtype=object).to_numpy()
+        return out
+
+    return spans
+
+
 def _kept(loader: bytes) -> Callable:
     """What the loader makes, kept in the worker process under the loader's own bytes."""
     models = sys.modules.setdefault("_dialoom_models", ModuleType("_dialoom_models")).__dict__

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from dialoom.families import TEMPLATES, by_family
 from dialoom.functions.chatlog import DEFAULT_SYSTEM_MESSAGE
 from dialoom.functions.text import folds_system, render_turn, strip
-from dialoom.operators.ordered import Running, part_of, with_next, with_running
+from dialoom.operators.ordered import Running, part_of, with_next, with_running, written
 
 
 def drop_blank(df: DataFrame, column: str) -> DataFrame:
@@ -265,6 +265,46 @@ def response_spans(turns: DataFrame, family: str | Column) -> DataFrame:
     return answers.select("conv_id", "turn", (end - F.col("chars")).alias("start_pos"), end.alias("end_pos"))
 
 
+def answer_tokens(
+    turns: DataFrame, family: str | Column, offsets: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """Tokens first_token to last_token, both included, of each assistant answer among those of the rendered
+    conversation: the part of a token sequence that counts for the loss.
+
+    Each message is tokenised by itself, with its markers. `offsets` gives the (start, end) of a text's tokens, as
+    `python_functions.token_offsets` does; without it tokens are the whitespace pieces. A token that reaches into
+    the answer is one of its own. An answer without a token has a last token one below its first, a null text no
+    tokens and a null range. Texts are reduced to three numbers, which are written once; only those are shuffled.
+    """
+    opening = by_family(family, lambda name: F.lit(len(TEMPLATES[name].assistant_open)))
+    until = opening + F.length("text")
+    rendered = _rendered(turns, family)
+    if offsets is None:
+        n = F.regexp_count("rendered", F.lit(r"\S+"))
+        ahead = F.regexp_count(F.substring("rendered", F.lit(1), opening + 1), F.lit(r"\S+\s"))
+        begun = F.regexp_count(F.substring("rendered", F.lit(1), until), F.lit(r"\S+"))
+    else:
+        rendered = rendered.withColumn("_spans", offsets(F.col("rendered")))
+        n = F.when(F.col("rendered").isNotNull(), F.size("_spans"))
+        ahead = F.size(F.filter("_spans", lambda s: s["end"] <= opening))
+        begun = F.size(F.filter("_spans", lambda s: s["start"] < until))
+    is_answer = F.col("role") == "assistant"
+    inside = F.when(F.length("text") > 0, F.greatest(begun - ahead, F.lit(0))).otherwise(F.length("text"))
+    counted = rendered.select(
+        "conv_id",
+        "turn",
+        "_part",
+        n.cast("bigint").alias("_n"),
+        F.when(is_answer, F.when(F.col("text").isNotNull(), ahead)).cast("bigint").alias("_ahead"),
+        F.when(is_answer, inside).cast("bigint").alias("_inside"),
+        F.coalesce(is_answer, F.lit(False)).alias("_answer"),
+    )
+    total = Running("_end", "sum", F.col("_n"))
+    placed = with_running(written(counted, "tokens"), ["conv_id"], F.col("_part"), ["turn"], [total]).where("_answer")
+    first = F.col("_end") - F.col("_n") + F.col("_ahead")
+    return placed.select("conv_id", "turn", first.alias("first_token"), (first + F.col("_inside") - 1).alias("last_token"))
+
+
 def assemble(chunks: DataFrame, size: int | None = None, blanks: bool = False) -> DataFrame:
     """Chunks joined in order to one response per `rid`, null chunks left out, blank ones too unless `blanks` are
     asked for, repeated ones taken once.

@@ -597,6 +597,18 @@ oracle(
 where role = 'assistant'""",
     "fx_turn_text",
 )
+oracle(
+    "answer_tokens",
+    r"""select conv_id, turn, start + ahead as first_token,
+  start + case when text = '' then ahead else greatest(begun, ahead) end - 1 as last_token from (
+  select *, cast(sum(n) over (partition by conv_id order by turn) as bigint) - n as start from (
+    select *, len(regexp_extract_all(rendered, '\S+')) as n,
+      len(regexp_extract_all(left(rendered, length(aopen) + 1), '\S+\s')) as ahead,
+      len(regexp_extract_all(left(rendered, length(aopen) + length(text)), '\S+')) as begun
+    from fx_turn_text where rendered is not null) c) t
+where role = 'assistant'""",
+    "fx_turn_text",
+)
 oracle("batch_ids", _batched("conv_id, turn"), "fx_counts")
 oracle("length_grouped_batches", "select * from fx_by_length", "fx_by_length")
 oracle("length_order", "select conv_id, turn, n, row_number() over (order by n desc, conv_id, turn) - 1 as position from fx_counts", "fx_counts")

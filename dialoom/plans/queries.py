@@ -328,6 +328,11 @@ def response_spans(spark, sf_dir):
     return tn.response_spans(inputs.turns(spark, sf_dir), inputs.family_of(F.col("conv_id")))
 
 
+@query
+def answer_tokens(spark, sf_dir):
+    return tn.answer_tokens(inputs.turns(spark, sf_dir), inputs.family_of(F.col("conv_id")))
+
+
 @query
 def batch_ids(spark, sf_dir):
     return _batches(spark, sf_dir, False)

@@ -2,15 +2,18 @@
 
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from dialoom.families import TEMPLATES
 from dialoom.operators import replay as rp
 from dialoom.operators import turns as tn
 from dialoom.operators import ordered as ordered_module
 from dialoom.operators.ordered import Running, in_ranges, part_of, with_next, with_running
+from dialoom.operators.python_functions import token_offsets
 
 ROLES = ["user", "assistant", "user", "assistant", "system"]
 
@@ -119,7 +122,8 @@ def test_registered_paths_take_conversations_whole(spark, monkeypatch, tmp_path,
     small.unionByName(long).coalesce(1).toPandas().to_parquet(f"{folder}/conversations.parquet", index=False)
     con = duck(folder)
     for name in ("prompt_history", "prompts_for", "collect_chat", "read_turns", "render_chat", "generation_prompt",
-                 "extract_response", "keep_extracted", "extraction_rate", "response_spans", "prompt_spans"):
+                 "extract_response", "keep_extracted", "extraction_rate", "response_spans", "answer_tokens",
+                 "prompt_spans"):
         assert differences(con, QUERIES[name](spark, folder), ORACLE[name]) is None, name
 
 
@@ -144,6 +148,39 @@ def test_spans_point_at_the_answers(turns):
             )
 
 
+@pytest.mark.parametrize("family", ["qwen-2.5", "gemma-3", "mistral"])
+def test_answer_tokens_are_those_that_overlap_the_answer(spark, turns, family):
+    """By whitespace and by a tokenizer of three characters a token, against all offsets of the rendered texts."""
+    more = [(900, 0, "user", "q"), (900, 1, "assistant", ""), (900, 2, "user", "q r"), (900, 3, "assistant", None),
+            (900, 4, "assistant", " \n"), (900, 5, "assistant", "a  b c")]
+    every = turns.select("conv_id", "turn", "role", "text").unionByName(
+        spark.createDataFrame(more, turns.select("conv_id", "turn", "role", "text").schema)
+    )
+    opening = len(TEMPLATES[family].assistant_open)
+
+    def pieces(texts):
+        return [[m.span() for m in re.finditer(r"\S+", t, re.A)] for t in texts]
+
+    def threes(texts):
+        return [[(i, min(i + 3, len(t))) for i in range(0, len(t), 3)] for t in texts]
+
+    rows = sorted(tn.render_turns(every, family).collect(), key=lambda r: (r.conv_id, r.turn))
+    for tokenizer, column in ((pieces, None), (pieces, token_offsets(pieces)), (threes, token_offsets(threes))):
+        seen, expected = {}, set()
+        for r in rows:
+            spans = tokenizer([r.rendered])[0] if r.rendered is not None else []
+            start = seen.get(r.conv_id, 0)
+            seen[r.conv_id] = start + len(spans)
+            if r.role == "assistant" and r.text is None:
+                expected.add((r.conv_id, r.turn, None, None))
+            elif r.role == "assistant":
+                first = start + sum(b <= opening for _, b in spans)
+                own = sum(b > opening and a < opening + len(r.text) for a, b in spans) if r.text else 0
+                expected.add((r.conv_id, r.turn, first, first + own - 1))
+        got = tn.answer_tokens(every, family, column).collect()
+        assert len(got) == len(expected) and set(map(tuple, got)) == expected
+
+
 def test_system_turns(turns):
     with_system = tn.ensure_system(turns)
     assert tn.missing_system(with_system).count() == 0
