@@ -25,7 +25,6 @@ import math
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -35,12 +34,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dialoom.llm.common import limit_batches, text_slices
-from dialoom.llm.pieces import encoder, pieces_of, read_file
+from dialoom.llm.pieces import SPLIT_BYTES, encoder, read_file, split_column
 from dialoom.llm.textbytes import mixed
 
 END_ID = 2
 SHARD_DOCS = 8192
 PIECE_BYTES = 16 << 20
+MOST_TABLES = 200  # keys that differ are told apart by a few dozen
 SCHEMA = (
     "shard long, piece long, first_key long, last_key long, n_docs long, n_ids long, width int, ids binary, "
     "keys binary, nulls long, levels binary, level_sizes binary, fingerprints binary, starts binary, lengths binary"
@@ -70,6 +70,8 @@ def perfect_hash(keys: np.ndarray) -> PerfectHash:
     """The hash of distinct 64-bit keys: each table takes the keys that are alone on their bit, the rest goes on."""
     tables = []
     while len(keys):
+        if len(tables) == MOST_TABLES:
+            raise ValueError(f"{len(keys)} keys are still together after {MOST_TABLES} tables: they hash alike")
         at = (_hash(keys, len(tables)) % np.uint64(len(keys))).astype(np.int64)
         table = np.bincount(at, minlength=len(keys)) == 1
         tables.append(table)
@@ -159,6 +161,22 @@ def _raw(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()  # 32 bits each
 
 
+def _rows(raw: list[bytes], numbers: np.ndarray, rows: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Width and ids of each row, none without an id: row i has raw[numbers[j]], j from rows[i] to rows[i + 1]."""
+    sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+    of_piece = pa.LargeListArray.from_arrays(np.append(0, np.cumsum(sizes)), np.frombuffer(b"".join(raw), np.uint32))
+    ids = np.asarray(of_piece.take(pa.array(numbers)).flatten())
+    ends = np.append(0, np.cumsum(sizes[numbers]))[rows]
+    width = np.where(np.maximum.reduceat(ids, ends[:-1]) > 0xFFFF, 4, 2).astype(np.int32)
+    if (width == 2).all():
+        bounds = pa.py_buffer((ends * 2).astype(np.int32))
+        packed = pa.Array.from_buffers(pa.binary(), len(width), [None, bounds, pa.py_buffer(ids.astype("<u2"))])
+    else:
+        cut = zip(np.split(ids, ends[1:-1]), width.tolist(), strict=True)
+        packed = pa.array([x.astype(f"<u{w}").tobytes() for x, w in cut], pa.binary())
+    return pa.array(width), packed
+
+
 def _bounds(docs: DataFrame, shard_docs: int) -> np.ndarray:
     """Smallest keys of the shards but the first. Only the key column is read; a number for each shard comes back."""
     shards = math.ceil(docs.count() / shard_docs)
@@ -193,18 +211,14 @@ def write_ids(
         results = encoder(definition, _raw).results
         end = np.array([end_id], np.uint32).tobytes()
         for batch in batches:
-            for part in text_slices(batch, "text"):
-                split = [pieces_of(text or "") for text in part["text"].to_pylist()]
-                raw = results(chain.from_iterable(split)).__getitem__
-                ids = [np.frombuffer(b"".join([*map(raw, pieces), end]), np.uint32) for pieces in split]
-                wide = [int(x.max()) > 0xFFFF for x in ids]
-                packed = [x.astype("<u4" if w else "<u2").tobytes() for x, w in zip(ids, wide, strict=True)]
+            for part in text_slices(batch, "text", SPLIT_BYTES):
+                split = split_column(part["text"])
+                raw = [*map(results(split.pieces).__getitem__, split.pieces), end]
+                ended = np.insert(split.numbers, split.rows[1:], len(raw) - 1)
+                width, ids = _rows(raw, ended, split.rows + np.arange(len(split.rows)))
                 keys = part["doc_id"]
                 shard = np.searchsorted(bounds, np.asarray(keys.fill_null(np.iinfo(np.int64).min)), "right")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard), keys, pa.array([4 if w else 2 for w in wide], pa.int32()), pa.array(packed, pa.binary())],
-                    ["shard", "key", "width", "ids"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(shard), keys, width, ids], ["shard", "key", "width", "ids"])
 
     encoded = named.mapInArrow(encode, "shard long, key long, width int, ids binary")
     ordered = encoded.repartition(max(1, len(bounds) + 1), "shard").sortWithinPartitions("shard", "key", "ids")

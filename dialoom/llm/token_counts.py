@@ -8,15 +8,15 @@ batch of long texts costs what a batch of short ones does, and texts are split a
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialoom.llm.common import limit_batches, text_slices
-from dialoom.llm.pieces import encoder, pieces_of, read_file
+from dialoom.llm.pieces import SPLIT_BYTES, encoder, read_file, split_column
 
 LIMIT = 1024
 
@@ -36,10 +36,12 @@ def count_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         results = encoder(definition, len).results
         for batch in batches:
-            for part in text_slices(batch, "text"):
-                split = [pieces_of(text or "") for text in part["text"].to_pylist()]
-                length = results(chain.from_iterable(split)).__getitem__
-                n_tokens = pa.array([sum(map(length, pieces)) for pieces in split], pa.int64())
+            for part in text_slices(batch, "text", SPLIT_BYTES):
+                split = split_column(part["text"])
+                length = results(split.pieces).__getitem__
+                lengths = np.fromiter(map(length, split.pieces), np.int64, len(split.pieces))
+                before = np.append(0, np.cumsum(lengths[split.numbers]))
+                n_tokens = pa.array(np.diff(before[split.rows]))
                 n_bytes = pc.fill_null(pc.binary_length(part["text"]), 0).cast(pa.int64())
                 yield pa.RecordBatch.from_arrays([part["doc_id"], n_bytes, n_tokens], ["doc_id", "n_bytes", "n_tokens"])
 
