@@ -1,8 +1,9 @@
 """Encoding of texts by their pieces, each of which the tokenizer sees once in a while.
 
-A text is cut before every ASCII white space that follows a character of another kind. No token of the tokenizers
-used here spans such a place, and what follows it does not depend on what came before, so the tokens of a text are
-those of its pieces. Cuts are found over the UTF-8 bytes of many texts at once, and Arrow numbers the distinct
+A text is cut before every ASCII white space that follows a character of another kind, and between an ASCII letter
+or digit and a mark after it. No token of the tokenizers used here spans such a place, and what follows it does not
+depend on what came before, so the tokens of a text are those of its pieces. Marks that their special tokens
+(`<|endoftext|>`) or contractions hold are no cuts. Cuts are found over the UTF-8 bytes of many texts at once, and Arrow numbers the distinct
 pieces, so Python sees each of them once a slice. Pieces repeat far more than texts do: a worker keeps results, up
 to a number of characters.
 """
@@ -20,13 +21,19 @@ import pyarrow as pa
 from dialoom.llm.common import text_bytes
 from dialoom.llm.textbytes import WORD_SPACE
 
+# Kinds of bytes: white space, letters and digits, marks before which a piece may start.
+SPACE, WORD, MARK = 1, 2, 3
+KIND = np.where(WORD_SPACE, SPACE, 0).astype(np.uint8)
+KIND[[*b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"]] = WORD
+KIND[[*b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"]] = MARK
+
 # The characters with the property White_Space beyond ASCII; fixed values.
 WIDE_WHITE = (
     "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
 WIDE_WHITE_BYTES = {n: [int.from_bytes(c.encode()) for c in WIDE_WHITE if len(c.encode()) == n] for n in (2, 3)}
-KEPT_CHARS = 4_000_000
+KEPT_CHARS = 8_000_000
 SPLIT_BYTES = 4 << 20
 
 T = TypeVar("T")
@@ -55,12 +62,12 @@ def _after_white(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where the pieces of rows of UTF-8 bytes start, in ascending order; every row that is not empty starts one."""
-    white = WORD_SPACE[data]
-    at = np.flatnonzero(white[1:] & ~white[:-1]) + 1
-    wide = data[at - 1] >= 0x80
-    wide[wide] = _after_white(data, at[wide])
+    kind = KIND[data]
+    here, before = kind[1:], kind[:-1]
     start = np.zeros(len(data) + 1, bool)
-    start[at[~wide]] = True
+    start[1:-1] = (here == SPACE) & (before != SPACE) | (here == MARK) & (before == WORD)
+    at = np.flatnonzero(start[1:-1] & (data[:-1] >= 0x80)) + 1
+    start[at] = ~_after_white(data, at)
     start[offsets] = True
     return np.flatnonzero(start[:-1])
 

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -15,8 +16,8 @@ from tokenizers import Tokenizer
 from dialoom.llm import privacy
 from dialoom.llm.byte_bpe import Codec, decode_ids, encode_texts, read_ranks, round_trip_digests
 from dialoom.llm.exact_dedup import drop_copies, find_copies
-from dialoom.llm.id_shards import look_up, perfect_hash, read_documents, slots_of, write_ids
-from dialoom.llm.pieces import Encoder, pieces_of, read_file, tokenizer
+from dialoom.llm.id_shards import _rows, look_up, perfect_hash, read_documents, slots_of, write_ids
+from dialoom.llm.pieces import Encoder, pieces_of, read_file, split_column, tokenizer
 from dialoom.llm.token_counts import count_tokens
 from dialoom.session import work_path
 
@@ -74,6 +75,37 @@ def test_pieces_give_the_ids_of_whole_texts(path):
         assert [i for piece in pieces for i in known[piece]] == ids
 
 
+@pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
+def test_pieces_beside_marks_and_special_tokens(path):
+    rnd = random.Random(5)
+    parts = [*"abZ'sd  \n\t09!\"#$%&()*+,-./:;=?@[\\]^_`{|}~<>é世̸́\xa0 \x85€", "<|endoftext|>", "<|startoftext|>", "'re", "'s"]
+    encoder = Encoder(read_file(path), list)
+    for _ in range(1500):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(1, 200)))
+        pieces = pieces_of(text)
+        known = encoder.results(pieces)
+        ids = tokenizer(read_file(path)).encode(text, add_special_tokens=False).ids
+        assert "".join(pieces) == text and [i for piece in pieces for i in known[piece]] == ids
+    assert pieces_of("it is 3.14, (so)\xa0 <|endoftext|>") == ["it", " is", " 3", ".14", ",", " (so", ")\xa0 <|endoftext|>"]
+
+
+def test_rows_of_pieces():
+    split = split_column(pa.array([None, "a a", "", " a", None], pa.string()))
+    assert split.pieces == ["a", " a"] and split.numbers.tolist() == [0, 1, 1] and split.rows.tolist() == [0, 0, 2, 2, 3, 3]
+    none = split_column(pa.array([None, ""], pa.string()))
+    assert none.pieces == [] and none.rows.tolist() == [0, 0, 0]
+
+
+def test_rows_of_wide_and_narrow_ids():
+    raw = [np.array(x, np.uint32).tobytes() for x in ([1, 2], [70_000], [2])]
+    for numbers, rows, expected in (
+        ([0, 2, 2], [0, 2, 3], [(2, [1, 2, 2]), (2, [2])]),
+        ([0, 1, 2, 2], [0, 3, 4], [(4, [1, 2, 70_000, 2]), (2, [2])]),
+    ):
+        width, ids = (x.to_pylist() for x in _rows(raw, np.array(numbers), np.array(rows)))
+        assert [(w, np.frombuffer(x, f"<u{w}").tolist()) for w, x in zip(width, ids, strict=True)] == expected
+
+
 def test_token_counts(odd):
     own = Tokenizer.from_file(BYTE_BPE)
     for r in count_tokens(odd, BYTE_BPE, limit=100).collect():
