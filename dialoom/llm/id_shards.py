@@ -39,7 +39,7 @@ from dialoom.llm.textbytes import mixed
 
 END_ID = 2
 SHARD_DOCS = 8192
-PIECE_BYTES = 16 << 20
+PIECE_BYTES = 8 << 20
 MOST_TABLES = 200  # keys that differ are told apart by a few dozen
 SCHEMA = (
     "shard long, piece long, first_key long, last_key long, n_docs long, n_ids long, width int, ids binary, "
@@ -227,6 +227,7 @@ def write_ids(
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pieces of the shards in a sorted partition."""
+    encoder.cache_clear()  # encoding is over: a worker that did it has its results' memory back
     shard, piece, rows, held = None, 0, [], 0
 
     def close() -> pa.RecordBatch:
@@ -245,7 +246,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "n_docs": len(rows),
             "n_ids": int(lengths.sum()),
             "width": wide,
-            "ids": np.concatenate(arrays).astype("<u4" if wide == 4 else "<u2").tobytes(),
+            "ids": np.concatenate(arrays).astype("<u4" if wide == 4 else "<u2", copy=False).tobytes(),
             "keys": keys.astype("<i8").tobytes(),
             "nulls": nulls,
             **index.columns(),
