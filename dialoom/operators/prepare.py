@@ -79,6 +79,31 @@ def per_config(pairs: DataFrame, configs: list[tuple[str, str]]) -> DataFrame:
 CONFIGS_A_TASK = 10_000
 
 
+def _formed(configs: DataFrame) -> DataFrame:
+    """(config, _family, _ends) of the configs with a known family: all that their texts depend on."""
+    ends = F.lower(setting_or(F.col("settings"), "format_with_eos_token", F.lit("false"))) == "true"
+    return configs.select(
+        "config",
+        F.col("settings")["model_family"].alias("_family"),
+        F.coalesce(ends, F.lit(False)).alias("_ends"),
+    ).where(F.col("_family").isin(FAMILY_NAMES))
+
+
+TEXT_CLASSES = {f"{family}{end}": (family, bool(end)) for family in FAMILY_NAMES for end in ("", "+end")}
+
+
+def text_classes(configs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Configs by the texts they lead to: (config, class), a row for each config with a known family, and one config
+    (config, settings) to stand for each class that occurs, named after it. TEXT_CLASSES has all there are.
+    """
+    family, ends = F.col("_family"), F.col("_ends")
+    name = F.concat(family, F.when(ends, F.lit("+end")).otherwise(F.lit("")))
+    formed = _formed(configs)
+    settings = F.create_map(F.lit("model_family"), family, F.lit("format_with_eos_token"), ends.cast("string"))
+    standing = formed.select("_family", "_ends").distinct().select(name.alias("config"), settings.alias("settings"))
+    return formed.select("config", name.alias("class")), standing
+
+
 def per_config_table(pairs: DataFrame, configs: DataFrame, end_tokens: dict[str, str]) -> DataFrame:
     """Every pair once for each config of a table (config, settings), with its templated text.
 
@@ -87,12 +112,7 @@ def per_config_table(pairs: DataFrame, configs: DataFrame, end_tokens: dict[str,
     These are broadcast while there are few of them; more are dealt into blocks, so that no task meets them all.
     Configs without a known family have no texts.
     """
-    ends = F.lower(setting_or(F.col("settings"), "format_with_eos_token", F.lit("false"))) == "true"
-    named = configs.select(
-        "config",
-        F.col("settings")["model_family"].alias("_family"),
-        F.coalesce(ends, F.lit(False)).alias("_ends"),
-    ).where(F.col("_family").isin(FAMILY_NAMES))
+    named = _formed(configs)
     sizes = named.groupBy("_family", "_ends").count().collect()  # two rows for each family at most
     user, assistant = F.col("user"), F.col("assistant")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dialoom.functions.text import append_eos, render_pair
 from dialoom.operators import ordered, packing, prepare
-from dialoom.plans import jobs
+from dialoom.plans import jobs, queries
 from dialoom.session import work_path
 from dialoom.sources import files
 
@@ -48,6 +48,31 @@ def test_texts_for_a_table_of_configs(spark, monkeypatch, a_task):
     assert prepare.per_config_table(pairs, configs.limit(0), ends).collect() == []
 
 
+@pytest.mark.parametrize("n", [0, 300])
+def test_sums_by_config_make_a_text_once_for_each_class_of_configs(spark, monkeypatch, n):
+    kinds = [{"model_family": f} for f in ("qwen-2.5", "mistral", "none")] + [{}, None]
+    kinds += [{"model_family": f, "format_with_eos_token": e} for f in ("qwen-2.5", "phi-4") for e in ("TRUE", "no", None)]
+    rows = [(f"c{i // 2}" if i % 10 else None, kinds[i % len(kinds)]) for i in range(n)]  # names repeat
+    configs = spark.createDataFrame(rows, "config string, settings map<string,string>")
+    pairs = spark.createDataFrame([(i, 0, "u" * i if i else None, f"a{i}") for i in range(5)], "conv_id long, turn long, user string, assistant string")
+    monkeypatch.setattr(queries.inputs, "pairs", lambda *_: pairs)
+    monkeypatch.setattr(queries.inputs, "configs", lambda *_: configs)
+    made, whole = [], prepare.per_config_table
+
+    def spied(*args):
+        made.append(whole(*args))
+        return made[-1]
+
+    monkeypatch.setattr(prepare, "per_config_table", spied)
+    found = queries.QUERIES["config_texts"](spark, "").collect()
+    ends = {name: t.assistant_close.strip() for name, t in queries.TEMPLATES.items()}
+    sums = F.count("*").alias("texts"), F.sum(F.length("text")).alias("chars"), F.max("text").alias("last_text")
+    expected = whole(pairs, configs, ends).groupBy("config").agg(*sums).collect()
+    assert found[:1] == [] or found[0].asDict().keys() == expected[0].asDict().keys()
+    assert sorted(map(repr, found)) == sorted(map(repr, expected)) and bool(found) == bool(n)
+    assert made[0].count() == (5 * 5 if n else 0)  # five classes, however many configs
+
+
 @pytest.mark.parametrize("share", [0.0, 0.1, 0.25, 0.5, 1.0])
 def test_a_split_has_exactly_its_share_of_keys(spark, share):
     rows = [(k, i) for k in range(203) for i in range(k % 4 + 1)] + [(None, 0)] * 3
