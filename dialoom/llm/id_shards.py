@@ -24,7 +24,7 @@ from __future__ import annotations
 import math
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -157,7 +157,7 @@ def entries_of(keys: np.ndarray, nulls: int = 0) -> np.ndarray:
 # ---- writing
 
 
-def _raw(ids: list[int]) -> bytes:
+def _raw(ids: Sequence[int]) -> bytes:
     return array("I", ids).tobytes()  # 32 bits each
 
 

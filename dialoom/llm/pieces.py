@@ -6,12 +6,17 @@ depend on what came before, so the tokens of a text are those of its pieces. Mar
 (`<|endoftext|>`) or contractions hold are no cuts. Cuts are found over the UTF-8 bytes of many texts at once, and Arrow numbers the distinct
 pieces, so Python sees each of them once a slice. Pieces repeat far more than texts do: a worker keeps results, up
 to a number of characters.
+
+Half the time of encoding one word is spent around it. Where the model marks the last token of a word, pieces that
+are one white space and letters are encoded many at a time, and parted after these marks. They are encoded one by
+one unless there is a word for each piece, of as many bytes.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterable
+from array import array
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
 from typing import Generic, NamedTuple, TypeVar
 
@@ -34,6 +39,7 @@ WIDE_WHITE = (
 )
 WIDE_WHITE_BYTES = {n: [int.from_bytes(c.encode()) for c in WIDE_WHITE if len(c.encode()) == n] for n in (2, 3)}
 KEPT_CHARS = 8_000_000
+TOGETHER = 64  # pieces encoded at a time
 SPLIT_BYTES = 4 << 20
 
 T = TypeVar("T")
@@ -87,7 +93,7 @@ def split_column(column: pa.Array) -> Split:
     bounds = np.append(starts, len(data))
     spans = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
     numbered = spans.dictionary_encode()
-    return Split(numbered.dictionary.to_pylist(), np.asarray(numbered.indices), np.searchsorted(starts, offsets))
+    return Split(numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), np.asarray(numbered.indices), np.searchsorted(starts, offsets))
 
 
 def pieces_of(text: str) -> list[str]:
@@ -96,11 +102,30 @@ def pieces_of(text: str) -> list[str]:
     return [split.pieces[i] for i in split.numbers]
 
 
+def word_ends(tokenizer) -> tuple[np.ndarray, np.ndarray] | None:
+    """Whether the token of each id ends a word, and its bytes; None for a model that does not mark such tokens."""
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    if not suffix:
+        return None
+    vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+    ends = np.zeros(max([*vocabulary.values(), *tokenizer.get_added_tokens_decoder()]) + 1, bool)
+    sizes = np.zeros(len(ends), np.int64)
+    for token, i in vocabulary.items():
+        ends[i] = token.endswith(suffix)
+        sizes[i] = len(token) - len(suffix) * ends[i]  # a character for each byte
+    return ends, sizes
+
+
+def _is_word(piece: str) -> bool:
+    return piece[:1] in " \n\r\t" and piece[1:].isalpha()
+
+
 class Encoder(Generic[T]):
     """`reduce(ids)` for the pieces of texts. Results not asked for in the last KEPT_CHARS / 2 may be forgotten."""
 
-    def __init__(self, definition: str, reduce: Callable[[list[int]], T]):
+    def __init__(self, definition: str, reduce: Callable[[Sequence[int]], T]):
         self.tokenizer = tokenizer(definition)
+        self.ends = word_ends(self.tokenizer)
         self.reduce = reduce
         self.known: dict[str, T] = {}
         self.before: dict[str, T] = {}
@@ -114,13 +139,34 @@ class Encoder(Generic[T]):
         again = asked.intersection(self.before)
         self.known.update((piece, self.before[piece]) for piece in again)
         new = list(asked - again)
+        if self.ends:
+            words, new = [p for p in new if _is_word(p)], [p for p in new if not _is_word(p)]
+            for group, ids in self._together(words):
+                if ids:
+                    self.known.update(zip(group, map(self.reduce, ids), strict=True))
+                else:
+                    new += group
         found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         self.known.update(zip(new, (self.reduce(e.ids) for e in found), strict=True))
         self.chars += sum(map(len, asked))
         return self.known
 
+    def _together(self, words: list[str]) -> Iterator[tuple[list[str], list[Sequence[int]]]]:
+        """Groups of pieces, and the ids of each piece, or none where the words found are not the pieces."""
+        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        found = self.tokenizer.encode_batch_fast(list(map("".join, groups)), add_special_tokens=False)
+        ends, sizes = self.ends
+        for group, encoding in zip(groups, found, strict=True):
+            ids = array("I", encoding.ids)
+            at = np.asarray(ids)
+            bounds = np.append(0, np.flatnonzero(ends[at]) + 1)
+            same = len(bounds) == len(group) + 1 and bounds[-1] == len(ids)
+            same = same and np.add.reduceat(sizes[at], bounds[:-1]).tolist() == [len(p.encode()) - 1 for p in group]
+            cuts = bounds.tolist()
+            yield group, [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)] if same else []
+
 
 @lru_cache(maxsize=2)
-def encoder(definition: str, reduce: Callable[[list[int]], T]) -> Encoder[T]:
+def encoder(definition: str, reduce: Callable[[Sequence[int]], T]) -> Encoder[T]:
     """The encoder of a worker process, which keeps its results from task to task."""
     return Encoder(definition, reduce)

@@ -89,6 +89,28 @@ def test_pieces_beside_marks_and_special_tokens(path):
     assert pieces_of("it is 3.14, (so)\xa0 <|endoftext|>") == ["it", " is", " 3", ".14", ",", " (so", ")\xa0 <|endoftext|>"]
 
 
+def test_words_are_encoded_many_at_a_time(monkeypatch):
+    encoder = Encoder(read_file(WORD_BPE), list)
+    rng = random.Random(4)
+    some = ["strasse", "Straße", "ﬁsh", "İst", "n\u0303", "Ångström", "日本", "ǅ", "ª", "ΟΔΟΣ", "\U0001d400", "e\u0301", "K", "\u0149", "st"]
+    words = [f"{rng.choice(' ' + chr(10))}{''.join(rng.choices(['a', 'th', 'Re', 'é', *some], k=rng.randint(1, 6)))}" for _ in range(1500)]
+    pieces = list(dict.fromkeys([*words, " it's", " 3", ".", "<|endoftext|>", " <|startoftext|>", "\u00a0a", " ", " a1", " x\x1cy"]))
+    plain, asked = encoder.tokenizer, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return plain.encode_batch_fast(texts, **options)
+
+    monkeypatch.setattr(encoder, "tokenizer", Counted())
+    known = encoder.results([*pieces, *(f" {a}{b}" for a in "abcdefgh" for b in map(chr, range(97, 123)))])
+    assert {p: known[p] for p in pieces} == {p: plain.encode(p, add_special_tokens=False).ids for p in pieces}
+    assert known[" ab"] == plain.encode(" ab", add_special_tokens=False).ids
+    asked.clear()
+    encoder.results([f" {a}{b}x" for a in "abcdefgh" for b in map(chr, range(97, 123))])
+    assert len(asked) == 4  # 208 words
+
+
 def test_rows_of_pieces():
     split = split_column(pa.array([None, "a a", "", " a", None], pa.string()))
     assert split.pieces == ["a", " a"] and split.numbers.tolist() == [0, 1, 1] and split.rows.tolist() == [0, 0, 2, 2, 3, 3]
