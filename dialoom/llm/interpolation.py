@@ -37,6 +37,7 @@ from dialoom.llm.textbytes import LOWER, PRIME, mixed, row_counts, span_hashes,
 ORDER = 3
 BLOCK_TOKENS = 1 << 22
 CHUNK_TOKENS = 1 << 18
+BATCH_BYTES = 1 << 20
 FOLDS, HELD_OUT, DELETED = 7, 2, 3
 ROUNDS, SETTLED = 20, 1e-5
 BUCKETS = 64
@@ -67,18 +68,39 @@ def sorted_unshrunk(data: bytes) -> np.ndarray:
     return np.cumsum(unshrunk(data, np.uint64), dtype=np.uint64)
 
 
-def ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct values in order, the place of each value among them, and how often each occurs."""
+def in_order(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the values are in ascending order, the values in that order, and which of these are new."""
     order = np.argsort(values)
     ordered = values[order]
-    first = np.ones(len(values), bool)
+    return order, ordered, new_ones(ordered)
+
+
+def new_ones(ordered: np.ndarray) -> np.ndarray:
+    first = np.ones(len(ordered), bool)
     np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    return first
+
+
+def placed(order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    place = np.empty(len(order), np.uint32)
+    place[order] = np.cumsum(first, dtype=np.uint32)
+    place -= np.uint32(1)
+    return place
+
+
+def places(values: np.ndarray) -> np.ndarray:
+    """The place of each value among the distinct ones."""
+    order, ordered, first = in_order(values)
+    del ordered
+    return placed(order, first)
+
+
+def ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and the place of each value among them."""
+    order, ordered, first = in_order(values)
     distinct = ordered[first]
     del ordered
-    place = np.empty(len(values), np.uint32)
-    place[order] = np.cumsum(first, dtype=np.uint32) - np.uint32(1)
-    del order
-    return distinct, place, np.diff(np.flatnonzero(first), append=len(values))
+    return distinct, placed(order, first)
 
 
 def release() -> None:
@@ -119,9 +141,9 @@ class Block:
 
     def row(self, number: int, kind: int) -> pa.RecordBatch:
         hashes, self.hashes = np.concatenate(self.hashes), []
-        vocabulary, place, often = ranked(hashes)
+        vocabulary, place = ranked(hashes)
         del hashes
-        frequent = np.argsort(-often, kind="stable")
+        frequent = np.argsort(-np.bincount(place), kind="stable")
         rank = np.empty(len(frequent), np.uint32)
         rank[frequent] = np.arange(len(frequent), dtype=np.uint32)
         ids = pa.concat_arrays(self.ids)
@@ -220,6 +242,12 @@ def grams(tokens: np.ndarray, starts: np.ndarray, order: int) -> Iterator[np.nda
         yield gram
 
 
+def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, ["length", "range", "block", "kind", "grams", "counts"])
+
+
 def requests(blocks: DataFrame, order: int, bits: int) -> DataFrame:
     """(length, range, block, kind, grams, counts): the distinct n-grams of a block in a range of hashes."""
 
@@ -230,26 +258,22 @@ def requests(blocks: DataFrame, order: int, bits: int) -> DataFrame:
                 counts = unshrunk(batch["counts"][i].as_py(), np.int64)
                 tokens = read_tokens(*(batch[c][i].as_py() for c in ("vocabulary", "ranks", "tokens")))
                 for length, gram in enumerate(grams(tokens, starts_of(counts), order), 1):
-                    distinct, often = np.unique(gram, return_counts=True)
+                    ordered = np.sort(gram)
                     del gram
-                    ranges = (distinct >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(distinct), np.int64)
-                    bounds = np.flatnonzero(np.diff(ranges, prepend=-1, append=-1))
-                    cuts = list(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
-                    size = len(cuts)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([length] * size, pa.int32()),
-                            pa.array(ranges[bounds[:-1]], pa.int64()),
-                            pa.array([block] * size, pa.int64()),
-                            pa.array([kind] * size, pa.int32()),
-                            pa.array([sorted_shrunk(distinct[a:b]) for a, b in cuts], pa.binary()),
-                            pa.array(
-                                [None if kind == HELD_OUT_KIND else shrunk(often[a:b].astype(np.uint32)) for a, b in cuts],
-                                pa.binary(),
-                            ),
-                        ],
-                        ["length", "range", "block", "kind", "grams", "counts"],
-                    )
+                    bounds = np.searchsorted(ordered, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else []
+                    rows, held = [], 0
+                    for number, part in enumerate(np.split(ordered, bounds)):  # distinct ones a range at a time
+                        if len(part):
+                            first = new_ones(part)
+                            often = np.diff(np.flatnonzero(first), append=len(part)).astype(np.uint32)
+                            rows.append((length, number, block, kind, sorted_shrunk(part[first]), None if kind == HELD_OUT_KIND else shrunk(often)))
+                            held += len(rows[-1][4])
+                        if rows and held > BATCH_BYTES:
+                            yield batch_of(rows)
+                            rows, held = [], 0
+                    if rows:
+                        yield batch_of(rows)
+                    del ordered
                 del tokens
                 release()
 
@@ -265,7 +289,7 @@ def answers(asked: DataFrame) -> DataFrame:
 
     def run(key: tuple, asked: pd.DataFrame) -> pd.DataFrame:
         lists = [sorted_unshrunk(g) for g in asked["grams"]]
-        known, place, _ = ranked(np.concatenate(lists))
+        known, place = ranked(np.concatenate(lists))
         places = np.split(place, np.cumsum([len(x) for x in lists])[:-1])
         del lists
         kept, trained = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
@@ -313,7 +337,7 @@ def looked_up(rows: pd.DataFrame, column: str, item, order: int) -> Iterator[tup
     rows = rows.sort_values(["length", "range"])
     counts = []
     for length, gram in enumerate(grams(read_tokens(item.vocabulary, item.ranks, item.tokens), starts, order), 1):
-        place = ranked(gram)[1]
+        place = places(gram)
         del gram
         known = np.concatenate([unshrunk(x, np.int64) for x in rows.loc[rows["length"] == length, column]])
         counts.append(known.astype(np.min_scalar_type(known.max()))[place])

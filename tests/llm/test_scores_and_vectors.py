@@ -4,10 +4,12 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from dialoom.llm import centroids, interpolation, whitening
@@ -134,6 +136,41 @@ def test_chances_add_up_to_one():
     assert abs(total - 1) < 1e-12
 
 
+class Asked:
+    """Stands for blocks, and gives the function that a task runs."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):
+        return run
+
+
+@pytest.mark.parametrize("bits", [0, 5])
+def test_requests_of_a_block_take_little_memory(bits):
+    tokens = np.random.default_rng(1).integers(0, 1 << 64, 1 << 21, np.uint64)
+    tokens[::3] = 7
+    block = interpolation.Block()
+    block.add(pa.array([1, 2]), tokens, np.array([5, len(tokens) - 5]))
+    row = block.row(3, interpolation.KEPT_KIND)
+    found = defaultdict(lambda: ([], []))
+    tracemalloc.start()
+    most, shrunk = 0, []
+    for batch in interpolation.requests(Asked(), 2, bits)(iter([row])):
+        shrunk.append(batch)
+        most = max(most, tracemalloc.get_traced_memory()[1])
+    tracemalloc.stop()
+    for r in pa.Table.from_batches(shrunk).to_pylist():
+        grams, often = interpolation.sorted_unshrunk(r["grams"]), interpolation.unshrunk(r["counts"], np.uint32)
+        assert (r["block"], r["kind"]) == (3, 0) and (not bits or (grams >> np.uint64(64 - bits) == r["range"]).all())
+        found[r["length"]][0].append(grams)
+        found[r["length"]][1].append(often)
+    for length, gram in enumerate(interpolation.grams(tokens, np.array([0, 5]), 2), 1):
+        distinct, often = np.unique(gram, return_counts=True)
+        assert (np.concatenate(found[length][0]) == distinct).all() and (np.concatenate(found[length][1]) == often).all()
+    assert not bits or most < 5 * tokens.nbytes
+
+
 # ---- centroids
 
 
