@@ -12,7 +12,8 @@ weights make that part likely. Scores then use the counts of all training docume
 Counts of n-grams reach the tokens without a row for each token. Documents are cut into blocks of about
 `block_tokens` tokens, written once as numbers of words. A block asks for its distinct n-grams, sorted by their
 64-bit hashes, in one request to each range of hashes; a range adds up the counts of all blocks and answers each
-request with counts in the order asked. Requests number (tokens / block_tokens)**2 for each length of n-gram, so
+request with counts in the order asked. Groups come to Python in batches of about 1 MB and leave in such, as whole ones
+would take the executor's memory outside of its heap. Requests number (tokens / block_tokens)**2 for each length of n-gram, so
 they are fewer than the tokens up to block_tokens**2 of them (2e13). An n-gram comes once from a block however
 often it occurs, so that no frequent one makes a range large.
 """
@@ -24,12 +25,12 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from dialoom.llm.common import limit_batches, text_bytes, text_slices, written
 from dialoom.llm.textbytes import LOWER, PRIME, mixed, row_counts, span_hashes, words
@@ -38,6 +39,7 @@ ORDER = 3
 BLOCK_TOKENS = 1 << 22
 CHUNK_TOKENS = 1 << 18
 BATCH_BYTES = 1 << 20
+STRIP_BITS = 4
 FOLDS, HELD_OUT, DELETED = 7, 2, 3
 ROUNDS, SETTLED = 20, 1e-5
 BUCKETS = 64
@@ -88,19 +90,36 @@ def placed(order: np.ndarray, first: np.ndarray) -> np.ndarray:
     return place
 
 
-def places(values: np.ndarray) -> np.ndarray:
-    """The place of each value among the distinct ones."""
-    order, ordered, first = in_order(values)
-    del ordered
-    return placed(order, first)
+def joined(parts: list[np.ndarray]) -> np.ndarray:
+    """The parts one after the other; takes them out of the list, so that they go as they are copied."""
+    out = np.empty(sum(map(len, parts)), parts[0].dtype)
+    at = len(out)
+    while parts:
+        part = parts.pop()
+        at -= len(part)
+        out[at : at + len(part)] = part
+    return out
+
+
+def strips(values: np.ndarray, bits: int = STRIP_BITS) -> Iterator[np.ndarray]:
+    """Where the values with each number in their first bits are, in ascending order of these; temporaries stay small."""
+    strip = np.zeros(len(values), np.uint8)
+    for at in range(0, len(values) if bits else 0, CHUNK_TOKENS):
+        strip[at : at + CHUNK_TOKENS] = values[at : at + CHUNK_TOKENS] >> np.uint64(64 - bits)
+    for number in range(1 << bits):
+        yield np.flatnonzero(strip == number)
 
 
-def ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values in order, and the place of each value among them."""
-    order, ordered, first = in_order(values)
-    distinct = ordered[first]
-    del ordered
-    return distinct, placed(order, first)
+def ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values in order, how often each occurs, and the place of each value among them."""
+    distinct, often, place, done = [], [], np.empty(len(values), np.uint32), 0
+    for where in strips(values):
+        order, ordered, first = in_order(values[where])
+        distinct.append(ordered[first])
+        often.append(np.diff(np.flatnonzero(first), append=len(ordered)))
+        place[where] = placed(order, first) + np.uint32(done)
+        done += len(distinct[-1])
+    return np.concatenate(distinct), np.concatenate(often), place
 
 
 def release() -> None:
@@ -111,6 +130,13 @@ def release() -> None:
         trim(0)
 
 
+def limit_batch_bytes(df: DataFrame) -> None:
+    """Has Arrow batches of the session end once they hold BATCH_BYTES, unless it sets a limit of its own."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key, None) is None:
+        conf.set(key, BATCH_BYTES)
+
+
 # ---- blocks of documents
 
 
@@ -140,10 +166,8 @@ class Block:
         self.size += len(hashes)
 
     def row(self, number: int, kind: int) -> pa.RecordBatch:
-        hashes, self.hashes = np.concatenate(self.hashes), []
-        vocabulary, place = ranked(hashes)
-        del hashes
-        frequent = np.argsort(-np.bincount(place), kind="stable")
+        vocabulary, often, place = ranked(joined(self.hashes))
+        frequent = np.argsort(-often, kind="stable")
         rank = np.empty(len(frequent), np.uint32)
         rank[frequent] = np.arange(len(frequent), dtype=np.uint32)
         ids = pa.concat_arrays(self.ids)
@@ -163,11 +187,19 @@ class Block:
         )
 
 
-def read_tokens(vocabulary: bytes, ranks: bytes, tokens: bytes) -> np.ndarray:
-    """Hashes of the tokens of a block."""
-    by_rank = np.empty(len(order := unshrunk(ranks, np.uint32)), np.uint64)
-    by_rank[order] = sorted_unshrunk(vocabulary)
-    return by_rank[unshrunk(tokens, np.uint32)]
+class Tokens:
+    """Hashes of the tokens of a block, made where they are asked for."""
+
+    def __init__(self, vocabulary: bytes, ranks: bytes, tokens: bytes):
+        self.by_rank = np.empty(len(order := unshrunk(ranks, np.uint32)), np.uint64)
+        self.by_rank[order] = sorted_unshrunk(vocabulary)
+        self.ranks = unshrunk(tokens, np.uint32)
+
+    def __len__(self) -> int:
+        return len(self.ranks)
+
+    def __getitem__(self, some: slice) -> np.ndarray:
+        return self.by_rank[self.ranks[some]]
 
 
 def fold_of(doc_id: Column) -> Column:
@@ -191,7 +223,7 @@ def encoded(docs: DataFrame, id_col: str, text_col: str, block_tokens: int) -> D
         open_blocks: dict[int, Block] = {}
         task, done = 0, 0
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", BATCH_BYTES // 4):
                 if not len(part):
                     continue
                 task = part["task"][0].as_py()
@@ -227,25 +259,49 @@ def starts_of(counts: np.ndarray) -> np.ndarray:
     return np.cumsum(counts) - counts
 
 
-def grams(tokens: np.ndarray, starts: np.ndarray, order: int) -> Iterator[np.ndarray]:
-    """For each length up to `order` the hashes of the n-grams that end at each token, filled up in front of a text."""
-    gram = tokens
+def grams(tokens: np.ndarray | Tokens, starts: np.ndarray, order: int) -> Iterator[np.ndarray]:
+    """For each length up to `order` the hashes of the n-grams that end at each token, filled up in front of a text.
+    Longer ones take the place of those before, in the same array."""
+    gram = np.empty(len(tokens), np.uint64)
+    for at in range(0, len(gram), CHUNK_TOKENS):
+        gram[at : at + CHUNK_TOKENS] = tokens[at : at + CHUNK_TOKENS]
     yield gram
     for k in range(2, order + 1):
-        longer = np.empty_like(gram)
-        longer[1:] = gram[:-1]
-        longer[starts] = START + np.uint64(k)
-        for at in range(0, len(gram), CHUNK_TOKENS):
-            some = slice(at, at + CHUNK_TOKENS)
-            longer[some] = mixed(longer[some] * np.uint64(PRIME) + tokens[some] + np.uint64(k))
-        gram = longer
+        for at in reversed(range(0, len(gram), CHUNK_TOKENS)):  # from the back, as a token needs the n-gram before it
+            some = slice(at, min(at + CHUNK_TOKENS, len(gram)))
+            context = np.empty(some.stop - at, np.uint64)
+            context[0] = gram[at - 1]
+            context[1:] = gram[at : some.stop - 1]
+            context[starts[slice(*np.searchsorted(starts, [at, some.stop]))] - at] = START + np.uint64(k)
+            gram[some] = mixed(context * np.uint64(PRIME) + tokens[some] + np.uint64(k))
         yield gram
 
 
-def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
-    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
-    return pa.RecordBatch.from_arrays(columns, ["length", "range", "block", "kind", "grams", "counts"])
+ASKED = pa.schema({"length": pa.int32(), "range": pa.int64(), "block": pa.int64(), "kind": pa.int32(), "grams": pa.binary(), "counts": pa.binary()})
+ANSWERED = pa.schema(
+    {
+        **{c: ASKED.field(c).type for c in ("length", "range", "block", "kind")},
+        **{"kept": pa.binary(), "trained": pa.binary(), "distinct": pa.int64(), "distinct_kept": pa.int64()},
+    }
+)
+
+
+def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+def ranges(gram: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The number of each range that hashes are in, and the hashes there in ascending order."""
+    wide = min(bits, STRIP_BITS)
+    each = 1 << (bits - wide)
+    for strip, where in enumerate(strips(gram, wide)):
+        ordered = np.sort(gram[where])
+        del where
+        inner = np.arange(strip * each + 1, (strip + 1) * each, dtype=np.uint64) << np.uint64(64 - bits) if each > 1 else []
+        for number, part in enumerate(np.split(ordered, np.searchsorted(ordered, inner) if each > 1 else []), strip * each):
+            if len(part):
+                yield number, part
 
 
 def requests(blocks: DataFrame, order: int, bits: int) -> DataFrame:
@@ -256,25 +312,20 @@ def requests(blocks: DataFrame, order: int, bits: int) -> DataFrame:
             for i in range(len(batch)):
                 block, kind = batch["block"][i].as_py(), batch["kind"][i].as_py()
                 counts = unshrunk(batch["counts"][i].as_py(), np.int64)
-                tokens = read_tokens(*(batch[c][i].as_py() for c in ("vocabulary", "ranks", "tokens")))
+                tokens = Tokens(*(batch[c][i].as_py() for c in ("vocabulary", "ranks", "tokens")))
                 for length, gram in enumerate(grams(tokens, starts_of(counts), order), 1):
-                    ordered = np.sort(gram)
-                    del gram
-                    bounds = np.searchsorted(ordered, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else []
                     rows, held = [], 0
-                    for number, part in enumerate(np.split(ordered, bounds)):  # distinct ones a range at a time
-                        if len(part):
-                            first = new_ones(part)
-                            often = np.diff(np.flatnonzero(first), append=len(part)).astype(np.uint32)
-                            rows.append((length, number, block, kind, sorted_shrunk(part[first]), None if kind == HELD_OUT_KIND else shrunk(often)))
-                            held += len(rows[-1][4])
-                        if rows and held > BATCH_BYTES:
-                            yield batch_of(rows)
+                    for number, part in ranges(gram, bits):
+                        first = new_ones(part)
+                        often = np.diff(np.flatnonzero(first), append=len(part)).astype(np.uint32)
+                        rows.append((length, number, block, kind, sorted_shrunk(part[first]), None if kind == HELD_OUT_KIND else shrunk(often)))
+                        held += len(rows[-1][4])
+                        if held > BATCH_BYTES:
+                            yield batch_of(rows, ASKED)
                             rows, held = [], 0
                     if rows:
-                        yield batch_of(rows)
-                    del ordered
-                del tokens
+                        yield batch_of(rows, ASKED)
+                del tokens, gram
                 release()
 
     used = blocks.select("block", "kind", "counts", "vocabulary", "ranks", "tokens")
@@ -287,28 +338,40 @@ ANSWER = "length int, range long, block long, kind int, kept binary, trained bin
 def answers(asked: DataFrame) -> DataFrame:
     """For each request the counts in kept and in all training documents; and for each range how many n-grams are known."""
 
-    def run(key: tuple, asked: pd.DataFrame) -> pd.DataFrame:
-        lists = [sorted_unshrunk(g) for g in asked["grams"]]
-        known, place = ranked(np.concatenate(lists))
-        places = np.split(place, np.cumsum([len(x) for x in lists])[:-1])
-        del lists
-        kept, trained = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
-        for where, kind, counts in zip(places, asked["kind"], asked["counts"], strict=True):
-            if kind != HELD_OUT_KIND:
-                own = unshrunk(counts, np.uint32)
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        length, number = (k.as_py() for k in key)
+        asked, lists = [], []
+        for batch in batches:
+            asked += batch.select(["block", "kind", "counts"]).to_pylist()
+            lists += [sorted_unshrunk(g.as_py()) for g in batch["grams"]]
+        ends = np.cumsum([len(x) for x in lists])
+        values = joined(lists)
+        order, ordered, first = in_order(values)
+        del values, ordered
+        places = np.split(placed(order, first), ends[:-1])
+        known = int(first.sum())
+        del order, first
+        kept, trained = np.zeros(known, np.int64), np.zeros(known, np.int64)
+        for where, request in zip(places, asked, strict=True):
+            if request["kind"] != HELD_OUT_KIND:
+                own = unshrunk(request.pop("counts"), np.uint32)
                 trained[where] += own
-                if kind == KEPT_KIND:
+                if request["kind"] == KEPT_KIND:
                     kept[where] += own
-        out = asked[["length", "range", "block", "kind"]].copy()
-        out["kept"] = [shrunk(kept[where]) if kind == DELETED_KIND else None for where, kind in zip(places, asked["kind"], strict=True)]
-        out["trained"] = [shrunk(trained[where]) for where in places]
-        out["distinct"] = out["distinct_kept"] = 0
-        total = {"distinct": int((trained > 0).sum()), "distinct_kept": int((kept > 0).sum())}
-        fact = {"length": key[0], "range": key[1], "block": -1, "kind": -1, "kept": None, "trained": None, **total}
+        rows, held = [(length, number, -1, -1, None, None, int((trained > 0).sum()), int((kept > 0).sum()))], 0
+        for where, request in zip(places, asked, strict=True):
+            before = shrunk(kept[where]) if request["kind"] == DELETED_KIND else None
+            rows.append((length, number, request["block"], request["kind"], before, shrunk(trained[where]), 0, 0))
+            held += len(before or b"") + len(rows[-1][5])
+            if held > BATCH_BYTES:
+                yield batch_of(rows, ANSWERED)
+                rows, held = [], 0
+        if rows:
+            yield batch_of(rows, ANSWERED)
+        del places, kept, trained, asked
         release()
-        return pd.concat([out, pd.DataFrame([fact])])
 
-    return written(asked.groupBy("length", "range").applyInPandas(run, ANSWER), "answers")
+    return written(asked.groupBy("length", "range").applyInArrow(run, ANSWER), "answers")
 
 
 class Totals:
@@ -329,20 +392,52 @@ class Totals:
         return shares, buckets, counts[0] / max(self.tokens, 1)
 
 
-def looked_up(rows: pd.DataFrame, column: str, item, order: int) -> Iterator[tuple[slice, list[np.ndarray], np.ndarray]]:
+def meet(blocks: DataFrame, replies: DataFrame, run, schema: str) -> DataFrame:
+    """`run` over each block and its replies, as batches of rows of both that `gathered` reads."""
+    met = blocks.unionByName(replies.toDF("block", "length", "range", "reply"), allowMissingColumns=True)
+    return met.groupBy("block").applyInArrow(run, schema)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], order: int) -> tuple[dict, list[list[bytes]]]:
+    """The row of a block, with its ids as an array, and for each length the replies in ascending order of the ranges."""
+    block, replies = {}, [[] for _ in range(order)]
+    for batch in batches:
+        for i, length in enumerate(batch["length"].to_pylist()):
+            if length is None:
+                block = {c: batch[c][i].as_py() for c in batch.schema.names if c != "ids"}
+                if "ids" in batch.schema.names:
+                    block["ids"] = pa.concat_arrays([batch["ids"][i].values])
+            else:
+                replies[length - 1].append((batch["range"][i].as_py(), batch["reply"][i].as_py()))
+    return block, [[reply for _, reply in sorted(of_length)] for of_length in replies]
+
+
+def spread(gram: np.ndarray, replies: list[bytes]) -> np.ndarray:
+    """The count of each n-gram from the counts of the distinct ones in order; found for a strip of the hashes at a time."""
+    parts = (unshrunk(reply, np.int64) for reply in replies)
+    known = np.concatenate([part.astype(np.min_scalar_type(part.max())) for part in parts])
+    counts, done = np.empty(len(gram), known.dtype), 0
+    for where in strips(gram):
+        order, _, first = in_order(gram[where])
+        stop = done + int(first.sum())
+        counts[where] = known[done:stop][placed(order, first)]
+        done = stop
+    return counts
+
+
+def looked_up(block: dict, replies: list[list[bytes]]) -> Iterator[tuple[slice, list[np.ndarray], np.ndarray]]:
     """For some documents of a block at a time: which they are, the counts by length of the n-grams that end at each
-    of their tokens, and where each document starts among those tokens."""
-    sizes = unshrunk(item.counts, np.int64)
+    of their tokens, and where each document starts among those tokens. Takes the tokens and replies out of what it is given."""
+    sizes = unshrunk(block["counts"], np.int64)
     starts = starts_of(sizes)
-    rows = rows.sort_values(["length", "range"])
-    counts = []
-    for length, gram in enumerate(grams(read_tokens(item.vocabulary, item.ranks, item.tokens), starts, order), 1):
-        place = places(gram)
-        del gram
-        known = np.concatenate([unshrunk(x, np.int64) for x in rows.loc[rows["length"] == length, column]])
-        counts.append(known.astype(np.min_scalar_type(known.max()))[place])
-        del place, known
+    tokens = Tokens(*(block.pop(c) for c in ("vocabulary", "ranks", "tokens")))
     release()
+    counts = []
+    for gram in grams(tokens, starts, len(replies)):
+        counts.append(spread(gram, replies[len(counts)]))
+        replies[len(counts) - 1] = []
+        release()
+    del tokens, gram
     first = 0
     while first < len(sizes):
         last = max(first + 1, int(np.searchsorted(starts + sizes, starts[first] + CHUNK_TOKENS, "right")))
@@ -374,21 +469,17 @@ class Weights:
 def held_out_events(blocks: DataFrame, answered: DataFrame, order: int, kept: Totals) -> DataFrame:
     """Distinct events in deleted documents, by column: how often each was seen, its shares, own frequency and buckets."""
 
-    def run(key: tuple, block: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for item in block.itertuples():
-            for _, counts, starts in looked_up(rows, "kept", item, order):
-                shares, buckets, own = kept.ratios(counts, starts)
-                _, first, often = np.unique(mixed_columns([*shares, *buckets, own]), return_index=True, return_counts=True)
-                columns = [often.astype(np.uint32), *(x[first] for x in (*shares, own)), *(b[first].astype(np.uint8) for b in buckets)]
-                out.append({"event": [shrunk(c) for c in columns]})
-            release()
-        return pd.DataFrame(out, columns=["event"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, counts, starts in looked_up(*gathered(batches, order)):
+            shares, buckets, own = kept.ratios(counts, starts)
+            _, first, often = np.unique(mixed_columns([*shares, *buckets, own]), return_index=True, return_counts=True)
+            columns = [often.astype(np.uint32), *(x[first] for x in (*shares, own)), *(b[first].astype(np.uint8) for b in buckets)]
+            yield pa.RecordBatch.from_arrays([pa.array([[shrunk(c) for c in columns]], pa.list_(pa.binary()))], ["event"])
+        release()
 
     own = blocks.where(F.col("kind") == DELETED_KIND).select("block", "counts", "vocabulary", "ranks", "tokens")
     replies = answered.where(F.col("kind") == DELETED_KIND).select("block", "length", "range", "kept")
-    met = own.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(run, "event array<binary>")
-    return written(met, "events")
+    return written(meet(own, replies, run, "event array<binary>"), "events")
 
 
 def mixed_columns(columns: list[np.ndarray]) -> np.ndarray:
@@ -474,7 +565,8 @@ def score_texts(
     """
     if order < 2:
         raise ValueError("order must be 2 or more")
-    kind = docs.schema[id_col].dataType.simpleString()
+    limit_batch_bytes(docs)
+    kind = docs.schema[id_col].dataType
     blocks = encoded(docs, id_col, text_col, block_tokens)
     size = {r.kind: (r.tokens, r.documents) for r in blocks.groupBy("kind").agg(F.sum("n_tokens").alias("tokens"), F.sum(F.size("ids")).alias("documents")).collect()}  # three rows
     bits = max(0, math.ceil(math.log2(max(1, sum(tokens for tokens, _ in size.values())) / block_tokens)))
@@ -492,29 +584,27 @@ def score_texts(
 RESULT = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def scored(blocks: DataFrame, answered: DataFrame, order: int, every: Totals, weights: Weights, kind: str) -> DataFrame:
-    def run(key: tuple, block: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for item in block.itertuples():
-            sizes = unshrunk(item.counts, np.int64)
-            for some, counts, starts in looked_up(rows, "trained", item, order):
-                chances = weights.chances(*every.ratios(counts, starts), 1 / (every.distinct + 1))
-                base = np.log10((counts[0] + 1) / (every.tokens + every.distinct + 1))
-                out.append(
-                    pd.DataFrame(
-                        {
-                            "doc_id": list(item.ids[some]),
-                            "held_out": item.kind == HELD_OUT_KIND,
-                            "n_tokens": sizes[some],
-                            "n_known": np.add.reduceat((counts[0] > 0).astype(np.int64), starts),
-                            "train_tokens": every.tokens,
-                            "base_score": np.add.reduceat(base, starts),
-                            "score": np.add.reduceat(np.log10(chances[-1]), starts),
-                        }
-                    )
-                )
-        return pd.concat(out) if out else pd.DataFrame(columns=["doc_id", *[c.split()[0] for c in RESULT.split(", ")]])
+def scored(blocks: DataFrame, answered: DataFrame, order: int, every: Totals, weights: Weights, kind: T.DataType) -> DataFrame:
+    names = ["doc_id", *[c.split()[0] for c in RESULT.split(", ")]]
+    id_type = to_arrow_type(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, replies = gathered(batches, order)
+        sizes, held_out = unshrunk(block["counts"], np.int64), block["kind"] == HELD_OUT_KIND
+        for some, counts, starts in looked_up(block, replies):
+            chances = weights.chances(*every.ratios(counts, starts), 1 / (every.distinct + 1))
+            base = np.log10((counts[0] + 1) / (every.tokens + every.distinct + 1))
+            columns = [
+                np.full(len(starts), held_out),
+                sizes[some],
+                np.add.reduceat((counts[0] > 0).astype(np.int64), starts),
+                np.full(len(starts), every.tokens, np.int64),
+                np.add.reduceat(base, starts),
+                np.add.reduceat(np.log10(chances[-1]), starts),
+            ]
+            yield pa.RecordBatch.from_arrays([block["ids"][some].cast(id_type), *map(pa.array, columns)], names)
+        release()
 
     own = blocks.select("block", "kind", "ids", "counts", "vocabulary", "ranks", "tokens")
     replies = answered.where(F.col("block") >= 0).select("block", "length", "range", "trained")
-    return own.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(run, f"doc_id {kind}, {RESULT}")
+    return meet(own, replies, run, f"doc_id {kind.simpleString()}, {RESULT}")

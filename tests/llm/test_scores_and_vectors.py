@@ -171,6 +171,75 @@ def test_requests_of_a_block_take_little_memory(bits):
     assert not bits or most < 5 * tokens.nbytes
 
 
+class Grouped:
+    """Stands for requests, and gives the function that a task runs on a group."""
+
+    def groupBy(self, *_):
+        return self
+
+    def applyInArrow(self, run, _):
+        return run
+
+
+def most_traced(run):
+    tracemalloc.start()
+    try:
+        return run(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_counts_meet_a_block_in_little_memory():
+    tokens = np.random.default_rng(2).integers(0, 1 << 64, 1 << 21, np.uint64)
+    tokens[::3], tokens[1 << 20 :] = 7, tokens[: 1 << 20]
+    sizes = np.array([5, 1 << 20, len(tokens) - (1 << 20) - 5])
+    block = interpolation.Block()
+    block.add(pa.array([1, 2, 3]), tokens, sizes)
+    row = block.row(3, interpolation.KEPT_KIND).to_pylist()[0]
+    replies, expected = [], []
+    for gram in interpolation.grams(tokens, interpolation.starts_of(sizes), 3):
+        _, place, often = np.unique(gram, return_inverse=True, return_counts=True)
+        replies.append([interpolation.shrunk(part) for part in np.split(often, [1000, len(often) // 2])])
+        expected.append(often[place])
+    del gram, place, often
+
+    def run():
+        found = [[] for _ in replies]
+        for _, counts, _ in interpolation.looked_up(row, list(replies)):
+            for of_length, some in zip(found, counts, strict=True):
+                of_length.append(some.astype(np.uint8) if some.max() < 256 else some)
+        return found
+
+    found, most = most_traced(run)
+    assert all((np.concatenate(f) == e).all() for f, e in zip(found, expected, strict=True))
+    assert most < 5 * tokens.nbytes
+
+
+def test_answers_of_a_large_group_leave_in_batches(monkeypatch):
+    monkeypatch.setattr(interpolation, "written", lambda df, _: df)
+    rnd, kinds = np.random.default_rng(3), [interpolation.KEPT_KIND, interpolation.DELETED_KIND, interpolation.HELD_OUT_KIND]
+    lists = [np.unique(rnd.integers(0, 1 << 18, 1 << 17, np.uint64)) for _ in range(30)]
+    often = [rnd.integers(1, 1 << 30, len(x)).astype(np.uint32) for x in lists]
+    rows = [
+        (2, 5, i, kinds[i % 3], interpolation.sorted_shrunk(x), None if i % 3 == 2 else interpolation.shrunk(n))
+        for i, (x, n) in enumerate(zip(lists, often, strict=True))
+    ]
+    asked = (interpolation.batch_of([row], interpolation.ASKED) for row in rows)
+    out = list(interpolation.answers(Grouped())((pa.scalar(2), pa.scalar(5)), asked))
+    assert len(out) > 5 and max(batch.nbytes for batch in out) < 3 * interpolation.BATCH_BYTES
+    kept, trained = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
+    for i, (x, n) in enumerate(zip(lists, often, strict=True)):
+        kept[x] += n if i % 3 == 0 else 0
+        trained[x] += n if i % 3 < 2 else 0
+    fact, *answers = pa.Table.from_batches(out).to_pylist()
+    assert (fact["block"], fact["distinct"], fact["distinct_kept"]) == (-1, (trained > 0).sum(), (kept > 0).sum())
+    assert [r["block"] for r in answers] == list(range(30))
+    for r, x in zip(answers, lists, strict=True):
+        assert (interpolation.unshrunk(r["trained"], np.int64) == trained[x]).all()
+        assert (r["kept"] is None) == (r["kind"] != 1)
+        assert r["kept"] is None or (interpolation.unshrunk(r["kept"], np.int64) == kept[x]).all()
+
+
 # ---- centroids
 
 
