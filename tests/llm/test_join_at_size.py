@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from dialoom.llm import ngram_join
 
 
@@ -30,6 +31,18 @@ def test_ngrams_of_one_text_are_no_prefixes_however_many_share_a_slot(spark, mon
     assert seen[0][0].select("gram").distinct().count() < 200  # of 2,000 in the prefixes of all
 
 
+def test_the_stage_of_the_pipeline_sends_no_ngrams_of_one_text_out(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SLOT_BITS", 8)
+    rows = [(i, " ".join(f"w{i}-{k}" for k in range(200)), "en") for i in range(100)]
+    rows += [(100, rows[0][1] + " some more words", "de"), (101, None, "en"), (102, None, "fr")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    spy(monkeypatch, "_clusters", seen)
+    kept = corpus_pipeline.ngram_jaccard_join(spark, df, "")
+    assert sorted(map(tuple, kept.collect())) == sorted(rows[:100] + rows[101:])
+    assert seen[0][0].select("gram").distinct().count() < 400  # of 4,000 in the prefixes of all
+
+
 def test_a_chain_of_texts_that_do_not_link_is_parted(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "CELL_NGRAMS", 1000)
     words = [" ".join(f"w{i}-{k}" for k in range(60)) for i in range(81)]
